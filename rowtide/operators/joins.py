@@ -1,0 +1,22 @@
+"""Broadcast only what was counted."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A cursor or layout row is well under a kilobyte: this stays below 100 MB.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def small_enough(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; reads no more than one beyond."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def sized(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if counted small, else without.
+
+    Without the hint Spark joins by shuffle, with AQE's skew handling.
+    """
+    return F.broadcast(df) if small_enough(df, max_rows) else df
