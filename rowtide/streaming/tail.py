@@ -37,6 +37,8 @@ def tail_log(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
+    batches: list[int] = []
+
     def write(batch: DataFrame, batch_id: int) -> None:
         path = f"{out_dir}/records/batch={batch_id}"
         shape_changes(batch, pk, columns).write.mode("overwrite").parquet(path)
@@ -46,6 +48,7 @@ def tail_log(
         written.groupBy("keyspace", "table", "shard").agg(
             F.max("seq").alias("seq"), F.max_by("position", "seq").alias("position")
         ).write.mode("overwrite").parquet(f"{out_dir}/cursors/batch={batch_id}")
+        batches.append(batch_id)
 
     query = (
         reader.parquet(log_dir)
@@ -55,7 +58,7 @@ def tail_log(
         .start()
     )
     query.awaitTermination()
-    return len([p for p in query.recentProgress if p.numInputRows > 0])
+    return len(batches)
 
 
 def streamed_records(spark: SparkSession, out_dir: str) -> DataFrame:
