@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.operators.joins import small_enough
+from rowtide.operators.joins import sized
+from rowtide.operators.lineage import settle
 from rowtide.operators.running import carry_forward, running_number, span_chunk
 from rowtide.sources.log import COPY_COMPLETED, LASTPK, ROW, VGTID, bare_name
 
@@ -91,9 +92,13 @@ def response_cursors(events: DataFrame, table: str) -> DataFrame:
 def cursor_timeline(
     events: DataFrame, table: str, start: DataFrame | None = None, span: int = 4096
 ) -> DataFrame:
-    """The cursor after each response, beginning from ``start``."""
+    """The cursor after each response, beginning from ``start``.
+
+    The events are read once: their per-response rows are settled before the order
+    is worked out on them.
+    """
     filled = carry_forward(
-        response_cursors(events, table),
+        settle(response_cursors(events, table)),
         PLACE,
         ["resp_id"],
         {"position": F.col("set_position"), "__pk": F.col("set_last_pk")},
@@ -128,20 +133,20 @@ def bounded_stop(timeline: DataFrame, stops: DataFrame) -> DataFrame:
     stays there, and ends after the first response that ends elsewhere with no
     copy under way. A completed copy ends it too. ``end_resp`` is null where the
     log does not reach that point yet.
+
+    No window: the first response at the stop is one aggregate per shard, the end
+    another. Pass a settled timeline, it is read twice.
     """
     at = timeline.join(stops.select(*PLACE, "stop"), PLACE)
     here = F.col("position") == F.col("stop")
     first = at.filter(here).groupBy(*PLACE).agg(F.min("resp_id").alias("__first"))
-    # One row per shard on the right; the shards of a stop frame are few (checked).
-    joined = at.join(_by_shard(first, stops), PLACE, "left")
     past = (F.col("resp_id") > F.col("__first")) & ~here & F.col("last_pk").isNull()
     ends = F.coalesce(F.col("copy_completed"), F.lit(False)) | F.coalesce(past, F.lit(False))
-    return joined.groupBy(*PLACE).agg(F.min(F.when(ends, F.col("resp_id"))).alias("end_resp"))
-
-
-def _by_shard(per_shard: DataFrame, shards: DataFrame) -> DataFrame:
-    """Broadcast a frame with one row per shard, if the shards were counted to be few."""
-    return F.broadcast(per_shard) if small_enough(shards.select(*PLACE)) else per_shard
+    return (
+        at.join(first, PLACE, "left")
+        .groupBy(*PLACE)
+        .agg(F.min(F.when(ends, F.col("resp_id"))).alias("end_resp"))
+    )
 
 
 def bounded_read(
@@ -151,15 +156,15 @@ def bounded_read(
     """The events up to the end rule, and the cursor to continue from.
 
     The rows of the ending response are part of the read, and its position is the
-    new cursor.
+    new cursor. The events are read twice: once for their cursors, once for the
+    rows, which meet the ends (one row per shard, counted) without a shuffle.
     """
-    timeline = cursor_timeline(events, table, start, span)
-    ends = bounded_stop(timeline, stops)
+    timeline = settle(cursor_timeline(events, table, start, span))
+    ends = sized(settle(bounded_stop(timeline, stops)))
     within = F.col("end_resp").isNull() | (F.col("resp_id") <= F.col("end_resp"))
-    ends_small = _by_shard(ends, stops)
-    read = events.join(ends_small, PLACE).filter(within).drop("end_resp")
+    read = events.join(ends, PLACE).filter(within).drop("end_resp")
     cursors = (
-        timeline.join(ends_small, PLACE)
+        timeline.join(ends, PLACE)
         .filter(within)
         .groupBy(*PLACE)
         .agg(F.max_by(F.struct("position", "last_pk"), "resp_id").alias("__c"))

@@ -129,8 +129,10 @@ def shape_changes(
     row = F.struct(
         *[F.when(carried[c], F.col("__image")[c]).alias(c) for c in columns]
     )
-    written = F.filter(
-        F.array(*[F.when(carried[c], F.lit(c)) for c in columns]), lambda n: n.isNotNull()
+    # Joined from one-name arrays: that stays inside generated code, a lambda would not.
+    nothing = F.array().cast("array<string>")
+    written = F.concat(
+        *[F.when(carried[c], F.array(F.lit(c))).otherwise(nothing) for c in columns]
     )
     records = flagged.select(*others, "op", row.alias("row"), written.alias("written"))
     if drop_noop:

@@ -107,34 +107,38 @@ def apply_records(
     spark = records.sparkSession
     pk = list(pk)
     values = [c for c in columns if c not in pk]
-    where, last, truncated = _current(spark, root)
+    where, last, _ = _current(spark, root)
     version = last + 1
-    folded = apply.fold_records(records, pk, columns).withColumn("bucket", _bucket(pk, buckets))
 
-    keys = records.filter(F.col("op") != TRUNCATE).select(
-        _bucket([f"row.{k}" for k in pk], buckets).alias("bucket")
-    )
-    touched = sorted(r.bucket for r in keys.distinct().collect())
-    seen = apply.last_truncate(records).collect()[0].truncate_seq
-    if not touched and seen is None:
+    is_truncate = F.col("op") == TRUNCATE
+    found = records.agg(
+        # At most ``buckets`` numbers.
+        F.collect_set(
+            F.when(~is_truncate, _bucket([f"row.{k}" for k in pk], buckets))
+        ).alias("touched"),
+        F.max(F.when(is_truncate, F.col("seq"))).alias("truncate_seq"),
+    ).collect()[0]
+    touched = sorted(found.touched)
+    if not touched and found.truncate_seq is None:
         return last
 
     if touched:
+        both = apply.fold_records(records, pk, columns)
         old = [f"{root}/data/version={where[b]}/bucket={b}" for b in touched if b in where]
-        both = folded
         if old:
-            before = spark.read.parquet(*old).withColumn("bucket", _bucket(pk, buckets))
-            both = folded.unionByName(before)
+            both = both.unionByName(spark.read.parquet(*old))
         # Each side has one row per key, so a bucket is as even as the hash. Bucket is
         # a subset of the grouping, so the merge needs no further shuffle.
-        apply.merge_state_rows(both.repartition("bucket"), ["bucket", *pk], values).write.mode(
+        placed = both.withColumn("bucket", _bucket(pk, buckets)).repartition("bucket")
+        apply.merge_state_rows(placed, ["bucket", *pk], values).write.mode(
             "overwrite"
         ).partitionBy("bucket").parquet(f"{root}/data/version={version}")
 
-    entries = [(b, seen) for b in touched] or [(None, seen)]
-    spark.createDataFrame(entries, "bucket int, truncate_seq bigint").coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(f"{root}/manifest/version={version}")
+    entries = F.explode(F.lit(touched or [None]).cast("array<int>"))
+    spark.range(1).coalesce(1).select(
+        entries.alias("bucket"),
+        F.lit(found.truncate_seq).cast("bigint").alias("truncate_seq"),
+    ).write.mode("overwrite").parquet(f"{root}/manifest/version={version}")
     return version
 
 

@@ -43,25 +43,20 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         before.alias("before"),
         after.alias("after"),
     )
-    steps = F.filter(
-        F.array(
-            change(0, none, image(status, priority)),
-            F.when(
-                k % 3 == 0,
-                change(UPDATE_AT, image(status, priority), image(F.lit("U"), priority)),
-            ),
-            F.when(
-                k % 7 == 0,
-                change(
-                    NULL_AT,
-                    image(status2, priority),
-                    image(status2, F.lit(None).cast("string")),
-                ),
+    steps = F.array(
+        change(0, none, image(status, priority)),
+        F.when(
+            k % 3 == 0,
+            change(UPDATE_AT, image(status, priority), image(F.lit("U"), priority)),
+        ),
+        F.when(
+            k % 7 == 0,
+            change(
+                NULL_AT, image(status2, priority), image(status2, F.lit(None).cast("string"))
             ),
-            F.when(k % 11 == 0, change(DELETE_AT, image(status2, priority2), none)),
-            F.when(k % 22 == 0, change(REINSERT_AT, none, image(F.lit("R"), F.lit("9-RE")))),
         ),
-        lambda c: c.isNotNull(),
+        F.when(k % 11 == 0, change(DELETE_AT, image(status2, priority2), none)),
+        F.when(k % 22 == 0, change(REINSERT_AT, none, image(F.lit("R"), F.lit("9-RE")))),
     )
     return (
         read(spark, sf_dir, "orders")
@@ -71,6 +66,7 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
             shard_of("o_custkey").alias("shard"),
             F.explode(steps).alias("c"),
         )
+        .filter(F.col("c").isNotNull())
         .select(
             "keyspace",
             "table",
