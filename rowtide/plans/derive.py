@@ -283,9 +283,9 @@ def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.floor(k / COLUMNS_PER_TABLE).cast("bigint")
     number = t.cast("string")
     table = _cases(
-        (t % 10 == 3, F.concat(F.lit("_vt_hld_"), F.md5(number), F.lit("_20240528153135_"))),
-        (t % 10 == 7, F.concat(F.lit("_"), F.md5(number), F.lit("_20240528153135_vrepl"))),
-        (t % 10 == 9, F.concat(F.lit("_750a3e1f_e6f3_5249_"), number)),
+        (t % 10 == 3, F.concat(F.lit("_vt_hld_"), F.md5(number), F.lit("_20250101000000_"))),
+        (t % 10 == 7, F.concat(F.lit("_"), F.md5(number), F.lit("_20250101000000_vrepl"))),
+        (t % 10 == 9, F.concat(F.lit("_0a1b2c3d_4e5f_6071_"), number)),
         otherwise=F.concat(F.lit("t"), number),
     )
     return read(spark, sf_dir, "part").select(
@@ -302,11 +302,11 @@ PART_CATALOG_SQL = f"""
 cat AS (
   SELECT 'ks' || CAST((p_partkey // 16) % 5 AS VARCHAR) AS keyspace,
          CASE WHEN (p_partkey // 16) % 10 = 3
-                THEN '_vt_hld_' || md5(CAST(p_partkey // 16 AS VARCHAR)) || '_20240528153135_'
+                THEN '_vt_hld_' || md5(CAST(p_partkey // 16 AS VARCHAR)) || '_20250101000000_'
               WHEN (p_partkey // 16) % 10 = 7
-                THEN '_' || md5(CAST(p_partkey // 16 AS VARCHAR)) || '_20240528153135_vrepl'
+                THEN '_' || md5(CAST(p_partkey // 16 AS VARCHAR)) || '_20250101000000_vrepl'
               WHEN (p_partkey // 16) % 10 = 9
-                THEN '_750a3e1f_e6f3_5249_' || CAST(p_partkey // 16 AS VARCHAR)
+                THEN '_0a1b2c3d_4e5f_6071_' || CAST(p_partkey // 16 AS VARCHAR)
               ELSE 't' || CAST(p_partkey // 16 AS VARCHAR) END AS tbl,
          (p_partkey // 16) % 10 IN (3, 7, 9) AS internal,
          CAST(p_partkey % 16 + 1 AS INTEGER) AS ordinal,

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowtide.operators import cursor, shape, state
+from rowtide.operators.checkpoints import response_checkpoints
+from rowtide.operators.lineage import settle
 from rowtide.plans import derive as d
 from rowtide.plans.registry import query
 from rowtide.sources import log
@@ -118,6 +120,30 @@ def copy_checkpoints(spark, sf_dir):
     )
 
 
+@query(f"""WITH RECURSIVE {d.STREAM_EVENTS_SQL},
+seen AS (
+  SELECT shard, resp, position, pk, records, resp * 12000 AS secs,
+         row_number() OVER (PARTITION BY shard ORDER BY resp) AS n FROM timeline),
+walk AS (
+  SELECT shard, CAST(0 AS BIGINT) AS n, CAST(-1 AS BIGINT) AS resp, CAST(0 AS BIGINT) AS c, min(secs) AS t0, FALSE AS fired,
+         CAST(0 AS BIGINT) AS had
+  FROM seen GROUP BY shard
+  UNION ALL
+  SELECT shard, n, resp, CASE WHEN fire THEN 0 ELSE c END, CASE WHEN fire THEN secs ELSE t0 END, fire, c FROM (
+    SELECT s.shard, s.n, s.resp, w.c + s.records AS c, w.t0, s.secs,
+           s.pk IS NOT NULL AND w.c + s.records > 0 AND (w.c + s.records >= 120 OR s.secs - w.t0 >= 48000) AS fire
+    FROM walk w JOIN seen s ON s.shard = w.shard AND s.n = w.n + 1))
+SELECT w.shard, w.resp AS resp_id, w.had AS records, s.position, s.pk AS last_pk
+FROM walk w JOIN seen s ON w.shard = s.shard AND w.resp = s.resp WHERE fired""")
+def copy_checkpoints_by_response(spark, sf_dir):
+    """The exact rule, rows and time, at the ends of responses."""
+    timeline = settle(cursor.cursor_timeline(d.stream_events(spark, sf_dir), TABLE))
+    found = response_checkpoints(
+        timeline, rows=120, at=F.col("resp_id") * 12000, minutes=800
+    )
+    return found.select("shard", "resp_id", "records", "position", _value_of().alias("last_pk"))
+
+
 # --- rows, layouts and responses -----------------------------------------------------
 
 LAYOUT_SQL = """
@@ -153,7 +179,7 @@ def layout_as_of(spark, sf_dir):
 @query(LAYOUT_OUT)
 def layout_carried_forward(spark, sf_dir):
     """C8 when layouts are too many to travel as a list."""
-    return _layouts(spark, sf_dir, span=16, max_versions=0)
+    return _layouts(spark, sf_dir, max_versions=0)
 
 
 @query(f"""WITH {d.STREAM_EVENTS_SQL}, {LAYOUT_SQL}

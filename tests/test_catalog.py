@@ -36,9 +36,9 @@ def test_keyspaces(spark):
 
 def test_internal_tables(spark):
     internal = [
-        f"_vt_{k}_6ace8bcef73211ea87e9f875a4d24e90_20200915120410" + end
+        f"_vt_{k}_0123456789abcdef0123456789abcdef_20250101000000" + end
         for k, end in [(k, "_") for k in ("hld", "prg", "evc", "del")] + [("DROP", ""), ("HOLD", "")]
-    ] + ["_750a3e1f_e6f3_5249_82af_82f5d325ecab_20240528153135_vrepl"]
+    ] + ["_0a1b2c3d_4e5f_6071_8293_a4b5c6d7e8f9_20250101000000_vrepl"]
     tables = spark.createDataFrame([(t,) for t in internal + ["staff", "a_vt"]], "table string")
     assert column(catalog.drop_internal_tables(tables), "table") == ["a_vt", "staff"]
 
