@@ -7,7 +7,7 @@ the message; nothing here depends on the session's ANSI setting.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -184,32 +184,46 @@ def enum_label(value: Column, labels: Column) -> Column:
 
 def _mask(v: Column) -> Column:
     """Unsigned 64-bit text as the long with the same bits; null if it is none."""
-    wide = F.when(v.rlike(UNSIGNED_TEXT), v.try_cast("decimal(38,0)"))
+    digits = v.rlike(UNSIGNED_TEXT)
+    narrow = F.when(digits, v.try_cast("bigint"))
+    # Only the upper half of the range needs a decimal.
+    wide = F.when(digits & narrow.isNull(), v.try_cast("decimal(38,0)"))
     top = F.lit("18446744073709551616").cast("decimal(38,0)")
-    half = F.lit("9223372036854775808").cast("decimal(38,0)")
-    return F.when(wide < half, wide.try_cast("bigint")).when(
-        wide < top, (wide - top).try_cast("bigint")
-    )
+    return F.coalesce(narrow, F.when(wide < top, (wide - top).try_cast("bigint")))
 
 
-def set_labels(value: Column, labels: Column, as_json: bool = False) -> Column:
+def set_labels(
+    value: Column, labels: Column | Sequence[str], as_json: bool = False
+) -> Column:
     """The labels of a mask's bits, low to high, joined by commas.
 
-    Text that is no mask passes. A bit without a label is an error. ``as_json``
+    Text that is no mask passes. A bit without a label is an error. Labels known
+    while planning, as a plain list, keep the work in generated code. ``as_json``
     gives a JSON array of the labels instead of the bare join (A10).
     """
     v = clean_utf8(value)
     mask = _mask(v)
-    bit = lambda i: F.call_function("shiftrightunsigned", mask, i).bitwiseAND(F.lit(1)) == 1
-    picked = F.filter(labels, lambda _, i: bit(i))
-    n = F.size(labels)
-    unknown = (n < 64) & (F.call_function("shiftrightunsigned", mask, n) != 0)
-    if as_json:
-        joined, passed = F.to_json(picked), F.to_json(F.split(v, ","))
+    if isinstance(labels, Column):
+        n = F.size(labels)
+        unknown = (n < 64) & (F.call_function("shiftrightunsigned", mask, n) != 0)
+        bit = lambda m, i: F.call_function("shiftrightunsigned", m, i).bitwiseAND(F.lit(1)) == 1
+        # The one-element array binds the mask, so that it is not read once per label.
+        picked = F.transform(
+            F.array(mask), lambda m: F.filter(labels, lambda _, i: bit(m, i))
+        )[0]
+        joined = F.to_json(picked) if as_json else F.array_join(picked, ",")
     else:
-        joined, passed = F.array_join(picked, ","), v
+        n = len(labels)
+        unknown = F.shiftrightunsigned(mask, n) != 0 if n < 64 else F.lit(False)
+        # Bit 63 is the sign.
+        bits = [1 << i if i < 63 else -(1 << 63) for i in range(n)]
+        parts = [
+            F.when(mask.bitwiseAND(F.lit(bit).cast("bigint")) != 0, F.lit(label))
+            for bit, label in zip(bits, labels)
+        ]
+        joined = F.to_json(F.array_compact(F.array(*parts))) if as_json else F.concat_ws(",", *parts)
     return (
-        F.when(mask.isNull(), passed)
+        F.when(mask.isNull(), F.to_json(F.split(v, ",")) if as_json else v)
         .when(unknown, _fail("SET (bit without label)", value))
         .otherwise(joined)
     )

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import struct
 from decimal import Decimal
+from math import isfinite
 
 import pandas as pd
 from pyspark.sql import Column
@@ -29,48 +30,49 @@ SRID_BYTES = 4
 
 def number_text(x: float) -> str:
     """JSON text of a coordinate: shortest digits, no trailing ``.0``."""
-    if x != x or x in (float("inf"), float("-inf")):
-        raise ValueError(f"not a coordinate: {x}")
-    if x == int(x) and abs(x) < 1e21:
-        return "-0" if x == 0 and str(x)[0] == "-" else str(int(x))
+    text = repr(x)
+    if text.endswith(".0"):
+        return text[:-2]
+    if "e" not in text:
+        if not isfinite(x):
+            raise ValueError(f"not a coordinate: {x}")
+        return text
     if 1e-6 <= abs(x) < 1e21:
-        return format(Decimal(repr(x)), "f")
-    digits, exponent = repr(x).split("e")
-    return f"{digits}e{'-' if exponent[0] == '-' else '+'}{exponent[1:].lstrip('0')}"
+        return format(Decimal(text), "f")
+    digits, exponent = text.split("e")
+    return f"{digits}e{exponent[0]}{exponent[1:].lstrip('0')}"
+
+
+def _points(raw: bytes, at: int, n: int, order: str) -> list[str]:
+    flat = struct.unpack_from(f"{order}{2 * n}d", raw, at)
+    return [
+        f"[{number_text(flat[i])},{number_text(flat[i + 1])}]" for i in range(0, 2 * n, 2)
+    ]
 
 
 def _shape(raw: bytes, at: int) -> tuple[int, str, int]:
     """(shape code, coordinates or members as JSON text, next offset)."""
     order = "<" if raw[at] == 1 else ">"
-    code, = struct.unpack_from(order + "I", raw, at + 1)
+    head = struct.unpack_from(order + "I", raw, at + 1)[0]
     at += 5
-    if code not in SHAPES:
-        raise ValueError(f"unknown shape code {code}")
-
-    def count() -> int:
-        nonlocal at
-        n, = struct.unpack_from(order + "I", raw, at)
-        at += 4
-        return n
-
-    def points(n: int) -> list[str]:
-        nonlocal at
-        flat = struct.unpack_from(f"{order}{2 * n}d", raw, at)
-        at += 16 * n
-        return [f"[{number_text(x)},{number_text(y)}]" for x, y in zip(flat[::2], flat[1::2])]
-
-    if code == 1:
-        return code, points(1)[0], at
-    if code == 2:
-        return code, f"[{','.join(points(count()))}]", at
-    if code == 3:
-        rings = [f"[{','.join(points(count()))}]" for _ in range(count())]
-        return code, f"[{','.join(rings)}]", at
-    members = []
-    for _ in range(count()):
-        inner, text, at = _shape(raw, at)
-        members.append(_object(inner, text) if code == 7 else text)
-    return code, f"[{','.join(members)}]", at
+    if head == 1:
+        return head, _points(raw, at, 1, order)[0], at + 16
+    if head not in SHAPES:
+        raise ValueError(f"unknown shape code {head}")
+    members = struct.unpack_from(order + "I", raw, at)[0]
+    at += 4
+    if head == 2:
+        return head, f"[{','.join(_points(raw, at, members, order))}]", at + 16 * members
+    parts = []
+    for _ in range(members):
+        if head == 3:
+            n = struct.unpack_from(order + "I", raw, at)[0]
+            parts.append(f"[{','.join(_points(raw, at + 4, n, order))}]")
+            at += 4 + 16 * n
+        else:
+            inner, text, at = _shape(raw, at)
+            parts.append(_object(inner, text) if head == 7 else text)
+    return head, f"[{','.join(parts)}]", at
 
 
 def _object(code: int, text: str) -> str:
@@ -90,7 +92,7 @@ def geojson_text(raw: bytes | None) -> str | None:
 
 @F.pandas_udf(StringType())
 def _geojson(raw: pd.Series) -> pd.Series:
-    return raw.map(geojson_text, na_action="ignore")
+    return pd.Series([geojson_text(value) for value in raw], dtype=object)
 
 
 def geometry_to_geojson(raw: Column) -> Column:

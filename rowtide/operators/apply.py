@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowtide.operators.running import running_number, span_chunk
 from rowtide.operators.shape import DELETE, TRUNCATE
 
 # State columns beside the key: a column's value sits in ``v_<name>``, the seq
@@ -71,9 +72,10 @@ def _value(column: str, truncated: Column) -> Column:
 
 
 def rows_of_state(state: DataFrame, pk: Sequence[str], columns: Sequence[str],
-                  truncate_seq: int | None = None) -> DataFrame:
-    """The living rows of a folded state."""
-    floor = F.lit(-1 if truncate_seq is None else truncate_seq).cast("bigint")
+                  truncate_seq: Column | int | None = None) -> DataFrame:
+    """The living rows of a folded state, none older than the last TRUNCATE."""
+    last = truncate_seq if isinstance(truncate_seq, Column) else F.lit(truncate_seq)
+    floor = F.coalesce(last.cast("bigint"), F.lit(-1).cast("bigint"))
     return state.filter(_alive(floor)).select(
         *[F.col(c) if c in pk else _value(c, floor) for c in columns]
     )
@@ -85,17 +87,11 @@ def current_state(records: DataFrame, pk: Sequence[str], columns: Sequence[str],
 
     TRUNCATE empties it, DELETE removes a row, other records create the row if
     absent and overwrite the columns they carry. ``truncates=True`` looks for
-    TRUNCATE records; their highest seq is one row, joined to all.
+    TRUNCATE records; their highest seq is a scalar subquery, worked out once.
     """
     state = fold_records(records, pk, columns, seq)
-    if not truncates:
-        return rows_of_state(state, pk, columns)
-    floor = F.coalesce(F.col("truncate_seq"), F.lit(-1)).cast("bigint")
-    # A global aggregate has exactly one row.
-    joined = state.crossJoin(F.broadcast(last_truncate(records, seq)))
-    return joined.filter(_alive(floor)).select(
-        *[F.col(c) if c in pk else _value(c, floor) for c in columns]
-    )
+    last = last_truncate(records, seq).scalar() if truncates else None
+    return rows_of_state(state, pk, columns, last)
 
 
 def soft_delete(records: DataFrame, pk: Sequence[str], columns: Sequence[str],
@@ -137,6 +133,29 @@ def _hash(values: dict[str, Column], bits: int) -> Column:
     return F.md5(joined) if bits == 128 else F.sha2(joined, bits)
 
 
+def distinct_rows(table: DataFrame, columns: Sequence[str], bits: int = 256) -> DataFrame:
+    """Equal rows once, with their ``row_id``.
+
+    Equal rows have equal ids, so the values themselves are the grouping: that is a
+    hash aggregate with map-side combining, and only its result is hashed.
+    """
+    return table.select(*columns).distinct().withColumn("row_id", row_id(columns, bits))
+
+
+def row_index(
+    table: DataFrame, columns: Sequence[str], span: int, name: str = "row_index"
+) -> DataFrame:
+    """Number equal rows in the order ``shard, seq``.
+
+    Rows with equal ``columns`` are those with equal ids; for wide tables give
+    ``["row_id"]``. However often one row comes, it is numbered in pieces of
+    ``span`` values of ``seq``.
+    """
+    return running_number(
+        table, columns, [F.col("shard"), span_chunk("seq", span)], ["shard", "seq"], name
+    )
+
+
 def with_row_id(changes: DataFrame, columns: Sequence[str]) -> DataFrame:
     """A5: give both images of a table without primary key their ``row_id``.
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.operators.cursor import CHECKPOINT_MINUTES, CHECKPOINT_ROWS, PLACE
-from rowtide.operators.running import CHUNK, span_chunk
+from rowtide.operators.running import CHUNK, SPAN, span_chunk
 
 SUMMARY_DDL = (
     f"keyspace string, shard string, {CHUNK} bigint, start_at double, total bigint, "
@@ -52,7 +52,7 @@ def _after_each(so_far, at, rows: int, wait: float):
 
 def response_checkpoints(
     timeline: DataFrame,
-    span: int = 65_536,
+    span: int = SPAN,
     rows: int = CHECKPOINT_ROWS,
     at: Column | None = None,
     minutes: float = CHECKPOINT_MINUTES,

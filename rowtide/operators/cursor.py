@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from rowtide.operators.joins import sized
 from rowtide.operators.lineage import settle
-from rowtide.operators.running import carry_forward, running_number, span_chunk
+from rowtide.operators.running import SPAN, carry_forward, running_number, span_chunk
 from rowtide.sources.log import COPY_COMPLETED, LASTPK, ROW, VGTID, bare_name
 
 PLACE = ["keyspace", "shard"]
@@ -90,7 +90,7 @@ def response_cursors(events: DataFrame, table: str) -> DataFrame:
 
 
 def cursor_timeline(
-    events: DataFrame, table: str, start: DataFrame | None = None, span: int = 4096
+    events: DataFrame, table: str, start: DataFrame | None = None, span: int = SPAN
 ) -> DataFrame:
     """The cursor after each response, beginning from ``start``.
 
@@ -151,7 +151,7 @@ def bounded_stop(timeline: DataFrame, stops: DataFrame) -> DataFrame:
 
 def bounded_read(
     events: DataFrame, table: str, stops: DataFrame, start: DataFrame | None = None,
-    span: int = 4096,
+    span: int = SPAN,
 ) -> tuple[DataFrame, DataFrame]:
     """The events up to the end rule, and the cursor to continue from.
 

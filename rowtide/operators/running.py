@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 CHUNK = "__chunk"
 _CARRY = "__carry"
 
+# Values of the leading order column per chunk. A chunk is sorted by one task, the
+# chunks of a group by another: both stay small up to some 10^12 rows a group.
+SPAN = 262_144
+
 
 def span_chunk(column: str, span: int) -> Column:
     """An order-preserving chunk number: ``span`` consecutive values share one."""
@@ -28,7 +32,7 @@ def carry_forward(
     keys: Sequence[str],
     order: Sequence[str],
     values: dict[str, Column],
-    span: int,
+    span: int = SPAN,
 ) -> DataFrame:
     """Last non-null ``values`` at or before each row, per ``keys`` in ``order``.
 

@@ -201,9 +201,10 @@ def plan_writers(
 
     def writer(r: Mapping):
         logical, is_pk = r["logical_type"], bool(r["is_pk"])
-        labels = F.array(*[F.lit(v) for v in r["labels"] or []]).cast("array<string>")
+        labels = list(r["labels"] or [])
         if r["label_kind"] == "enum":
-            return lambda v: convert.enum_label(v, labels)
+            listed = F.array(*[F.lit(x) for x in labels]).cast("array<string>")
+            return lambda v: convert.enum_label(v, listed)
         if r["label_kind"] == "set":
             return lambda v: convert.set_labels(v, labels, set_as_json)
         source = r["column_type"].lower()

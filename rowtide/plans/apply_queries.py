@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.operators import apply, cursor, shape, sinks
-from rowtide.operators.running import running_number, span_chunk
 from rowtide.plans import derive as d
 from rowtide.plans.registry import query
 from rowtide.session import shared_dir
@@ -93,10 +92,10 @@ def change_records(spark, sf_dir):
 
 
 @query("""WITH v AS (
-  SELECT event_id, user_id % 50 AS account, lag(user_id % 50) OVER w AS old_account,
-         event_type, lag(event_type) OVER w AS old_type
-  FROM events WINDOW w AS (PARTITION BY user_id // 2 ORDER BY event_id)),
-p AS (SELECT * FROM v WHERE old_account IS NOT NULL)
+  SELECT event_id, user_id AS old_account, user_id + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS account,
+         CASE WHEN event_id % 3 = 0 THEN 'view' ELSE event_type END AS old_type, event_type
+  FROM events),
+p AS (SELECT * FROM v)
 SELECT event_id AS seq, 'UPDATE' AS op, account, CASE WHEN event_type <> old_type THEN event_type END AS event_type,
        CASE WHEN event_type <> old_type THEN 'account,event_type' ELSE 'account' END AS written
 FROM p WHERE account = old_account
@@ -106,14 +105,12 @@ UNION ALL
 SELECT event_id, 'UPSERT', account, event_type, 'account,event_type' FROM p WHERE account <> old_account""")
 def moved_and_unchanged_rows(spark, sf_dir):
     """A moved key gives DELETE and UPSERT, an unchanged row a bare UPDATE."""
-    from pyspark.sql import Window as W
-
-    w = W.partitionBy(F.floor(F.col("user_id") / 2)).orderBy("event_id")
-    image = F.struct((F.col("user_id") % 50).alias("account"), "event_type")
-    pairs = (
-        d.read(spark, sf_dir, "events")
-        .select(F.col("event_id").alias("seq"), F.lag(image).over(w).alias("before"), image.alias("after"))
-        .filter(F.col("before").isNotNull())
+    i, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
+    image = lambda account, t: F.struct(account.alias("account"), t.alias("event_type"))
+    pairs = d.read(spark, sf_dir, "events").select(
+        i.alias("seq"),
+        image(user, F.when(i % 3 == 0, F.lit("view")).otherwise(kind)).alias("before"),
+        image(F.when(i % 5 == 0, user + 1).otherwise(user), kind).alias("after"),
     )
     return shape.shape_changes(pairs, ["account"]).select(
         "seq", "op", "row.*", F.array_join("written", ",").alias("written")
@@ -247,8 +244,7 @@ LINE_ID_SQL = " || '|' || ".join(
 @query(f"""SELECT DISTINCT md5({LINE_ID_SQL}) AS row_id, {', '.join(LINE_COLUMNS)} FROM lineitem""")
 def row_id_dedupe(spark, sf_dir):
     """Rows without a key, told apart by the hash of their values."""
-    lines = d.read(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
-    return lines.withColumn("row_id", apply.row_id(LINE_COLUMNS, 128)).dropDuplicates(["row_id"])
+    return apply.distinct_rows(d.read(spark, sf_dir, "lineitem"), LINE_COLUMNS, 128)
 
 
 @query("""SELECT user_id, event_type, event_id AS seq,
@@ -260,10 +256,7 @@ def row_index(spark, sf_dir):
     events = d.read(spark, sf_dir, "events").select(
         "user_id", "event_type", F.col("event_id").alias("seq"), d.shard_of("user_id").alias("shard")
     )
-    keyed = events.withColumn("row_id", apply.row_id(["user_id", "event_type"]))
-    numbered = running_number(
-        keyed, ["row_id"], [F.col("shard"), span_chunk("seq", 100_000)], ["shard", "seq"], "row_index"
-    )
+    numbered = apply.row_index(events, ["user_id", "event_type"], span=1_000_000)
     return numbered.select("user_id", "event_type", "seq", "row_index")
 
 

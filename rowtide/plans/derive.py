@@ -170,6 +170,7 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (user % 2 == 0).alias("completed"),
         i.alias("seq"),
         F.col("ts"),
+        "user_id",
     )
     return base.select(
         "keyspace",
@@ -185,6 +186,7 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         only("LASTPK", F.col("completed"))("completed"),
         "seq",
         "ts",
+        "user_id",
     )
 
 

@@ -19,6 +19,8 @@ def local_session(cores: str = "8", partitions: int = 8, app: str = "rowtide") -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("ROWTIDE_DRIVER_MEMORY", "8g"))
+        # Recording a call site per column costs more than planning these queries.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.operators.joins import small_enough
-from rowtide.operators.running import carry_forward
+from rowtide.operators.running import SPAN, carry_forward
 
 # The event types that carry meaning; all others are ignored.
 FIELD, ROW, VGTID, LASTPK, COPY_COMPLETED = "FIELD", "ROW", "VGTID", "LASTPK", "COPY_COMPLETED"
@@ -160,7 +160,7 @@ def peek_latest(events: DataFrame) -> DataFrame:
 MAX_VERSIONS = 2_000
 
 
-def layout_as_of(events: DataFrame, span: int = 4096, max_versions: int = MAX_VERSIONS) -> DataFrame:
+def layout_as_of(events: DataFrame, span: int = SPAN, max_versions: int = MAX_VERSIONS) -> DataFrame:
     """Each ROW event with ``layout``, the field list in force before it.
 
     A FIELD event sets the list for its exact table name and for its bare name.

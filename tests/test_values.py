@@ -26,7 +26,7 @@ def fails(spark, value, build, ddl="string", match=None):
     "build", [v.to_string, v.to_boolean, v.to_short, v.to_int, v.to_long, v.to_float, v.to_double,
               v.to_decimal, v.to_date, v.to_timestamp_ntz, v.to_timestamp_utc, v.to_json, v.bits_to_long,
               lambda c: v.to_date(c, is_pk=True), lambda c: v.to_timestamp_utc(c, strict=True),
-              lambda c: v.enum_label(c, F.array(F.lit("a"))), lambda c: v.set_labels(c, F.array(F.lit("a")))],
+              lambda c: v.enum_label(c, F.array(F.lit("a"))), lambda c: v.set_labels(c, F.array(F.lit("a"))), lambda c: v.set_labels(c, ["a"])],
 )
 def test_null_stays_null(spark, build):
     assert one(spark, None, build, "binary") is None
@@ -140,17 +140,19 @@ def test_enum(spark, value, out):
      ("-1", "-1"), ("99999999999999999999", "99999999999999999999")],
 )
 def test_set(spark, value, out):
-    labels = F.array(*[F.lit(x) for x in ("read", "write", "delete", "admin")])
-    assert one(spark, value, lambda c: v.set_labels(c, labels)) == out
+    labels = ["read", "write", "delete", "admin"]
+    for known in (labels, F.array(*[F.lit(x) for x in labels])):
+        assert one(spark, value, lambda c: v.set_labels(c, known)) == out
 
 
 def test_set_wide_and_unknown(spark):
-    labels = F.array(*[F.lit(f"slot{i}") for i in range(1, 65)])
-    assert one(spark, "9223372036854775808", lambda c: v.set_labels(c, labels)) == "slot64"
-    assert one(spark, "18446744073709551615", lambda c: v.set_labels(c, labels)).count(",") == 63
-    two = F.array(F.lit("read"), F.lit("write"))
-    fails(spark, "4", lambda c: v.set_labels(c, two), match="bit without label")
-    assert one(spark, "3", lambda c: v.set_labels(c, two, as_json=True)) == '["read","write"]'
+    labels = [f"slot{i}" for i in range(1, 65)]
+    for known in (labels, F.array(*[F.lit(x) for x in labels])):
+        assert one(spark, "9223372036854775808", lambda c: v.set_labels(c, known)) == "slot64"
+        assert one(spark, "18446744073709551615", lambda c: v.set_labels(c, known)).count(",") == 63
+    for known in (labels[:2], F.array(*[F.lit(x) for x in labels[:2]])):
+        fails(spark, "4", lambda c: v.set_labels(c, known), match="bit without label")
+        assert one(spark, "3", lambda c: v.set_labels(c, known, as_json=True)) == '["slot1","slot2"]'
 
 
 def test_unknown_type():
