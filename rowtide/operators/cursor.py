@@ -167,12 +167,25 @@ def bounded_read(
         timeline.join(ends, PLACE)
         .filter(within)
         .groupBy(*PLACE)
-        .agg(F.max_by(F.struct("position", "last_pk"), "resp_id").alias("__c"))
-        .select(*PLACE, "__c.position", "__c.last_pk")
+        .agg(F.max_by(F.struct("position", "last_pk", "resp_id"), "resp_id").alias("__c"))
+        .select(*PLACE, "__c.position", "__c.last_pk", F.col("__c.resp_id").alias("seq"))
     )
     return read, cursors
 
 
+def positions(events: DataFrame) -> DataFrame:
+    """Each response's own positions, for ``peek_latest``: ``keyspace, shard, position, seq``."""
+    own = F.filter(
+        "shard_gtids",
+        lambda g: (g["keyspace"] == F.col("keyspace")) & (g["shard"] == F.col("shard")),
+    )
+    return events.filter(F.col("event_type") == VGTID).select(
+        *PLACE,
+        F.try_element_at(own, F.lit(1))["gtid"].alias("position"),
+        F.col("resp_id").alias("seq"),
+    )
+
+
 def skip_if_current(state: DataFrame, latest: DataFrame) -> DataFrame:
     """The cursors that have something to read.
 

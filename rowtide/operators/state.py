@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 CURSOR = ["keyspace", "table", "shard"]
 STREAM_JSON = (
     "struct<keyspaces: map<string, struct<streams: map<string, struct<shards: "
-    "map<string, struct<position: string, last_pk: string, error_code: string>>>>>>>"
+    "map<string, struct<position: string, last_pk: string, seq: bigint, error_code: string>>>>>>>"
 )
 
 
@@ -71,13 +71,15 @@ def merge_state(
             ),
         )
     )
-    kept = saved.select(*CURSOR, "position", "last_pk", F.lit(True).alias("__saved"))
+    extra = [c for c in saved.columns if c not in (*CURSOR, "position", "last_pk")]
+    kept = saved.select(*CURSOR, "position", "last_pk", *extra, F.lit(True).alias("__saved"))
     return kept.join(wanted, CURSOR, "full_outer").select(
         *CURSOR,
         F.when(F.col("__saved"), F.coalesce("position", F.lit("")))
         .otherwise(F.col("__fresh"))
         .alias("position"),
         "last_pk",
+        *extra,
         (F.coalesce("__ignored", F.lit(False)) & F.col("__saved").isNull()).alias("start_ignored"),
     )
 
@@ -99,11 +101,12 @@ def _sorted_map(key: Column, value: Column) -> Column:
 
 def stream_shards(state: DataFrame) -> DataFrame:
     """The shard map of each stream, named ``keyspace:table``; a group is one table's shards."""
-    error = F.col("error_code") if "error_code" in state.columns else F.lit(None).cast("string")
+    optional = lambda c, ddl: (F.col(c) if c in state.columns else F.lit(None)).cast(ddl).alias(c)
     cursor = F.struct(
         F.coalesce("position", F.lit("")).alias("position"),
         F.col("last_pk").cast("string").alias("last_pk"),
-        error.alias("error_code"),
+        optional("seq", "bigint"),
+        optional("error_code", "string"),
     )
     return state.groupBy("keyspace", "table").agg(
         F.struct(_sorted_map(F.col("shard"), cursor).alias("shards")).alias("stream")
@@ -137,7 +140,7 @@ def state_from_json(spark: SparkSession, text: str) -> DataFrame:
             F.substr("__stream", F.length("keyspace") + 2).alias("table"),
             F.explode("__s.shards").alias("shard", "__c"),
         )
-        .select(*CURSOR, "__c.position", "__c.last_pk", "__c.error_code")
+        .select(*CURSOR, "__c.position", "__c.last_pk", "__c.seq", "__c.error_code")
     )
 
 

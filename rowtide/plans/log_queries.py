@@ -356,7 +356,7 @@ def _merged(spark, sf_dir):
 @query(MERGE_SQL + 'SELECT keyspace, tbl AS "table", shard, position, last_pk, start_ignored FROM merged')
 def merge_state(spark, sf_dir):
     """W9."""
-    return _merged(spark, sf_dir)
+    return _merged(spark, sf_dir).drop("seq")
 
 
 @query(MERGE_SQL + """SELECT keyspace, tbl AS "table",
@@ -371,7 +371,7 @@ def truncate_gate(spark, sf_dir):
        || '}}' AS stream FROM merged GROUP BY keyspace, tbl""")
 def stream_state_json(spark, sf_dir):
     """K3: the JSON of each stream in the state."""
-    return state.stream_shards(_merged(spark, sf_dir)).select(
+    return state.stream_shards(_merged(spark, sf_dir).drop("seq")).select(
         "keyspace", "table", F.to_json("stream").alias("stream")
     )
 
