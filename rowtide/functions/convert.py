@@ -170,15 +170,16 @@ def to_json(value: Column) -> Column:
 
 def enum_label(value: Column, labels: Column) -> Column:
     """An index gives its label, 0 the empty text; all else passes as text."""
-    v = clean_utf8(value)
-    index = F.when(v.rlike(INTEGER_TEXT), v.try_cast("bigint"))
+    # Bytes that need cleaning are no number, so only the text that passes is cleaned.
+    plain = _text(value)
+    index = F.when(plain.rlike(INTEGER_TEXT), plain.try_cast("bigint"))
     return (
         F.when(index == 0, F.lit(""))
         .when(
             (index >= 1) & (index <= F.size(labels)),
             F.try_element_at(labels, index.try_cast("int")),
         )
-        .otherwise(v)
+        .otherwise(clean_utf8(value))
     )
 
 
@@ -202,7 +203,7 @@ def set_labels(
     gives a JSON array of the labels instead of the bare join (A10).
     """
     v = clean_utf8(value)
-    mask = _mask(v)
+    mask = _mask(_text(value))
     if isinstance(labels, Column):
         n = F.size(labels)
         unknown = (n < 64) & (F.call_function("shiftrightunsigned", mask, n) != 0)

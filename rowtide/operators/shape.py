@@ -232,6 +232,84 @@ def write_row(image: Column, writers: Mapping[str, "callable"]) -> Column:
     )
 
 
+# Beyond this many different layouts in one read, names are looked up per row.
+MAX_PLANNED_LAYOUTS = 16
+
+
+def write_rows(
+    changes: DataFrame, writers: Mapping[str, "callable"], layouts: Sequence[Sequence[str]]
+) -> DataFrame:
+    """Raw ``before`` and ``after`` arrays, laid out as ``layout``, as typed structs.
+
+    ``layouts`` are the field lists that occur; where each name stands in them is
+    planned here, not searched in every row. A row of another width than its layout
+    is an error. The wire values become columns of their own first, so that a
+    converter reads each one once.
+    """
+    sides = ("before", "after")
+    others = [c for c in changes.columns if c not in (*sides, "layout")]
+    layouts = [list(x) for x in layouts]
+    known = 0 < len(layouts) <= MAX_PLANNED_LAYOUTS
+
+    def place(name: str) -> Column:
+        if not known:
+            return F.array_position("layout", name).cast("int")
+        places = [x.index(name) + 1 if name in x else 0 for x in layouts]
+        if len(set(places)) == 1:
+            return F.lit(places[0])
+        chain = F
+        for x, at in zip(layouts, places):
+            chain = chain.when(F.col("layout") == F.array(*[F.lit(n) for n in x]), F.lit(at))
+        return chain
+
+    width = F.size("layout")
+    def checked(side: str) -> Column:
+        return F.when(F.size(side) == width, F.col(side)).when(
+            F.col(side).isNotNull(),
+            F.raise_error(
+                F.format_string(
+                    "row value count %d does not match column count %d", F.size(side), width
+                )
+            ),
+        )
+
+    placed = changes.select(
+        *others,
+        *[checked(side).alias(side) for side in sides],
+        *[place(c).alias(f"__at_{c}") for c in writers],
+    )
+    wire = placed.select(
+        *others,
+        *[F.col(side).isNotNull().alias(f"__has_{side}") for side in sides],
+        *[
+            F.when(F.col(f"__at_{c}") > 0, F.try_element_at(side, F.col(f"__at_{c}"))).alias(
+                f"__{side}_{c}"
+            )
+            for side in sides
+            for c in writers
+        ],
+    )
+    typed = wire.select(
+        *others,
+        *[f"__has_{side}" for side in sides],
+        *[
+            w(F.col(f"__{side}_{c}")).alias(f"__{side}_{c}")
+            for side in sides
+            for c, w in writers.items()
+        ],
+    )
+    return typed.select(
+        *others,
+        *[
+            F.when(
+                F.col(f"__has_{side}"),
+                F.struct(*[F.col(f"__{side}_{c}").alias(c) for c in writers]),
+            ).alias(side)
+            for side in sides
+        ],
+    )
+
+
 def check_shapes(changes: DataFrame) -> DataFrame:
     """C11: an update must have exactly one row on each side, in ``n_before``/``n_after``."""
     bad = (F.col("n_before") > 0) & (F.col("n_after") > 0) & (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rowtide.operators import apply, cursor, shape, sinks
 from rowtide.plans import derive as d
 from rowtide.plans.registry import query
+from rowtide.plans.sync import sync
 from rowtide.session import shared_dir
 from rowtide.sources import log
 from rowtide.streaming import tail
@@ -323,3 +324,25 @@ GIVEN = (
 def copy_order(spark, sf_dir):
     """D9, D10."""
     return sinks.copy_order({t: d.read(spark, sf_dir, t) for t in GIVEN})
+
+
+# --- whole syncs ------------------------------------------------------------------------
+
+@query(CURRENT_SQL)
+def synced_table(spark, sf_dir):
+    """Two syncs over the raw orders log, the second from the first one's state."""
+    root = _scratch(spark, "synced")
+    kinds = ("bigint", "varchar(1)", "varchar(20)")
+    catalog = spark.createDataFrame(
+        [("shop", "orders", i + 1, c, t, "" if i else "PRI") for i, (c, t) in enumerate(zip(COLUMNS, kinds))],
+        "keyspace string, table string, ordinal int, column string, column_type string, column_key string",
+    )
+    selection = catalog.select("keyspace", "table", "column", F.lit(True).alias("included"))
+    shards = spark.createDataFrame([("shop", "-80"), ("shop", "80-")], "keyspace string, shard string")
+    d.raw_order_log(spark, sf_dir).write.parquet(f"{root}/log")
+    events = spark.read.parquet(f"{root}/log")
+    early = events.filter(F.col("resp_id") < d.NULL_AT)
+    state = sync(early, catalog, selection, shards, root, "1")
+    sync(events, catalog, selection, shards, root, "2", state)
+    records = spark.read.parquet(f"{root}/records/shop/orders")
+    return apply.current_state(records, PK, COLUMNS, truncates=True)

@@ -428,3 +428,65 @@ saved AS (
          s_suppkey * 10 AS seq
   FROM supplier WHERE s_suppkey % 3 <> 0)
 """
+
+
+# --- a raw log ---------------------------------------------------------------------
+
+def raw_order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders log as a source's stream gives it: wire bytes, positions, field lists.
+
+    Each change is a response of its own, with the row and then the position.
+    """
+    wire = lambda side: F.when(
+        F.col(side).isNotNull(),
+        F.array(*[F.col(side)[c].cast("string").cast("binary") for c in ORDERS_COLUMNS]),
+    )
+    gtid = F.struct(
+        F.lit("shop").alias("keyspace"),
+        "shard",
+        "position",
+        F.array().cast(f"array<struct<table: string, last_pk: {LAST_PK}>>").alias("table_pks"),
+    )
+    event = lambda idx, kind, rows, gtids: F.struct(
+        F.lit(idx).alias("event_idx"),
+        F.lit(kind).alias("event_type"),
+        rows.alias("row_changes"),
+        gtids.alias("shard_gtids"),
+    )
+    no_rows = F.lit(None).cast("array<struct<before: array<binary>, after: array<binary>>>")
+    no_gtids = F.lit(None).cast(
+        "array<struct<keyspace: string, shard: string, gtid: string, "
+        f"table_pks: array<struct<table: string, last_pk: {LAST_PK}>>>>"
+    )
+    pair = F.array(F.struct(wire("before").alias("before"), wire("after").alias("after")))
+    positions = F.array(gtid).cast(
+        "array<struct<keyspace: string, shard: string, gtid: string, "
+        f"table_pks: array<struct<table: string, last_pk: {LAST_PK}>>>>"
+    )
+    changes = order_changes(spark, sf_dir).select(
+        "keyspace",
+        "shard",
+        F.col("seq").alias("resp_id"),
+        F.explode(F.array(event(0, "ROW", pair, no_gtids), event(1, "VGTID", no_rows, positions))).alias("e"),
+    )
+    nothing = {
+        "fields": F.lit(None).cast("array<string>"),
+        "last_pk": F.lit(None).cast(LAST_PK),
+        "completed": F.lit(None).cast("boolean"),
+    }
+    stream = changes.select("keyspace", "shard", "resp_id", "e.*").withColumns(
+        {"table": F.lit("shop.orders"), **nothing}
+    )
+    layouts = stream.limit(0).unionByName(
+        spark.range(1).select(
+            F.lit("shop").alias("keyspace"),
+            F.explode(F.array(F.lit("-80"), F.lit("80-"))).alias("shard"),
+            F.lit(0).cast("bigint").alias("resp_id"),
+            F.lit(-1).alias("event_idx"),
+            F.lit("FIELD").alias("event_type"),
+            F.lit("shop.orders").alias("table"),
+            F.array(*[F.lit(c) for c in ORDERS_COLUMNS]).alias("fields"),
+        ),
+        allowMissingColumns=True,
+    )
+    return stream.unionByName(layouts)

@@ -29,11 +29,11 @@ def pack_seq(resp: Column, event: Column, change: Column) -> Column:
     """The place in the log as one number; a place that does not fit is an error."""
     fits = (
         (resp < 1 << (62 - EVENT_BITS - CHANGE_BITS))
-        & (event < 1 << EVENT_BITS)
+        & event.between(-1, (1 << EVENT_BITS) - 2)
         & (change < 1 << CHANGE_BITS)
     )
     packed = F.shiftleft(
-        F.shiftleft(resp.cast("bigint"), EVENT_BITS) + event, CHANGE_BITS
+        F.shiftleft(resp.cast("bigint"), EVENT_BITS) + event + 1, CHANGE_BITS
     ) + change
     return F.when(fits, packed).otherwise(F.raise_error(F.lit("place in the log is out of range")))
 
@@ -79,26 +79,29 @@ def table_records(
         .drop("__from")
     )
     begin = _begin_layouts(mine, active)
-    log.require_same_schema(
-        log.match_table(begin.unionByName(ahead, allowMissingColumns=True), table), list(writers)
+    fields = settle(
+        log.match_table(begin.unionByName(ahead, allowMissingColumns=True), table).filter(
+            F.col("event_type") == log.FIELD
+        )
     )
+    log.require_same_schema(fields, list(writers))
+    # One per shard at most, as the layouts did not change.
+    layouts = [r.fields for r in fields.select("fields").distinct().limit(shape.MAX_PLANNED_LAYOUTS + 1).collect()]
     stops = latest.withColumnRenamed("latest", "stop")
     read, after = cursor.bounded_read(ahead, table, stops, active)
 
     rows = log.match_table(begin.unionByName(read, allowMissingColumns=True), table)
     laid = log.require_layout(log.layout_as_of(rows))
-    changes = log.unnest_row_changes(laid)
-    image = lambda side: shape.write_row(
-        shape.positional_to_named(F.col(side), F.col("layout")), writers
-    ).alias(side)
-    typed = changes.select(
+    changes = log.unnest_row_changes(laid).select(
         F.lit(keyspace).alias("keyspace"),
         F.lit(table).alias("table"),
         "shard",
         pack_seq(F.col("resp_id"), F.col("event_idx"), F.col("change_idx")).alias("seq"),
-        image("before"),
-        image("after"),
+        "layout",
+        "before",
+        "after",
     )
+    typed = shape.write_rows(changes, writers, layouts)
     moved = after.select(
         "keyspace",
         F.lit(table).alias("table"),

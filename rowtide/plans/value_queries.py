@@ -246,7 +246,7 @@ def typed_rows(spark, sf_dir):
     time = F.when(k % 9 == 0, F.lit("0000-00-00 00:00:00")).otherwise(
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     )
-    image = F.struct(
+    wire = d.read(spark, sf_dir, "orders").select(
         _raw(k).alias("o_orderkey"),
         _raw(F.col("o_custkey")).alias("o_custkey"),
         # Half the rows as a copy gives them, half as the change log does.
@@ -254,5 +254,5 @@ def typed_rows(spark, sf_dir):
         _raw(F.col("o_totalprice").cast("decimal(12,2)")).alias("o_totalprice"),
         _raw(time).alias("o_orderdate"),
     )
-    typed = d.read(spark, sf_dir, "orders").select(shape.write_row(image, writers).alias("r"))
-    return typed.select("r.*").withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+    typed = wire.select(*[write(F.col(c)).alias(c) for c, write in writers.items()])
+    return typed.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))

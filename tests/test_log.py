@@ -275,6 +275,21 @@ def test_positional_width(spark):
         short.select(shape.positional_to_named(F.col("v"), F.col("n"))).collect()
 
 
+def test_write_rows_by_layout(spark):
+    ab, ba, a = ["id", "name"], ["name", "id"], ["id"]
+    b = lambda *v: [None if x is None else bytearray(x.encode()) for x in v]
+    data = [(1, ab, b("1", "x"), None), (2, ba, None, b("y", "2")), (3, a, b("3"), b("4")), (4, ab, b("5", None), b("6", "z"))]
+    frame = spark.createDataFrame(data, "seq int, layout array<string>, before array<binary>, after array<binary>")
+    writers = {"id": lambda v: v.cast("string").cast("int"), "name": lambda v: v.cast("string")}
+    for layouts in ([ab, ba, a], []):
+        got = shape.write_rows(frame, writers, layouts).orderBy("seq").collect()
+        assert [(r.before and tuple(r.before), r.after and tuple(r.after)) for r in got] == [
+            ((1, "x"), None), (None, (2, "y")), ((3, None), (4, None)), ((5, None), (6, "z"))]
+    bad = spark.createDataFrame([(1, ab, b("1"), None)], frame.schema)
+    with pytest.raises(PySparkException, match="row value count 1 does not match column count 2"):
+        shape.write_rows(bad, writers, [ab]).collect()
+
+
 # --- scans -----------------------------------------------------------------------------------
 
 def test_resume_after_composite_key(spark):
