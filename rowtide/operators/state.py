@@ -144,9 +144,12 @@ def state_from_json(spark: SparkSession, text: str) -> DataFrame:
     )
 
 
-def write_checkpoint(state: DataFrame, path: str) -> None:
-    """K3: write the state as JSON text; call it after the records are written."""
-    state_to_json(state).coalesce(1).write.mode("overwrite").text(path)
+def write_checkpoint(state: DataFrame, path: str) -> str:
+    """K3: write the state as JSON text and return it; call it after the records are written."""
+    text = state_to_json(state).first().state
+    whole = state.sparkSession.range(1).coalesce(1).select(F.lit(text).alias("state"))
+    whole.write.mode("overwrite").text(path)
+    return text
 
 
 def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:

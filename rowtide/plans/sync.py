@@ -149,7 +149,6 @@ def sync(
             state.starting_positions(spark, starts_text),
         ).drop("start_ignored")
     )
-    state.require_state(picked, cursors)
     fresh = shape.truncate_gate(cursors)
 
     # The catalog's own size, not the data's: one row per selected column.
@@ -169,5 +168,4 @@ def sync(
             records = sinks.emit_truncate(records, keyspace=keyspace, table=table)
         sinks.write_records(records, f"{out_dir}/records/{keyspace}/{table}/run={run}", "overwrite")
         done = settle(done.filter(~of_table).drop("error_code").unionByName(moved, allowMissingColumns=True))
-    state.write_checkpoint(done, f"{out_dir}/state/run={run}")
-    return state.state_to_json(done).first()[0]
+    return state.write_checkpoint(done, f"{out_dir}/state/run={run}")
