@@ -247,24 +247,26 @@ def expired_log_reset(state: DataFrame, purged: DataFrame, compat: bool = False)
     """Cursors whose next log entry is gone start a full copy.
 
     ``purged`` gives per keyspace and shard the highest removed ``purged_upto``.
-    Rows deleted while the log was lost would survive the copy, so ``truncate`` is
-    set too; ``compat=True`` leaves it off (A15).
+    Rows deleted while the log was lost would survive the copy, so the table is to be
+    emptied first (``truncate``), and then every shard of it is copied anew.
+    ``compat=True`` resets the one shard and leaves its old rows (A15).
     """
     gone = F.coalesce(
         (F.coalesce("position", F.lit("")) != "") & (F.col("seq") < F.col("purged_upto")),
         F.lit(False),
     )
-    return (
-        state.join(purged, PLACE, "left")
-        .withColumn("__gone", gone)
-        .withColumns(
-            {
-                "position": F.when(F.col("__gone"), F.lit("")).otherwise(F.col("position")),
-                "last_pk": F.when(~F.col("__gone"), F.col("last_pk")),
-                "seq": F.when(~F.col("__gone"), F.col("seq")),
-                "error_code": F.when(F.col("__gone"), F.lit(EXPIRED)),
-                "truncate": F.lit(False) if compat else F.col("__gone"),
-            }
-        )
-        .drop("__gone", "purged_upto")
-    )
+    marked = state.join(purged, PLACE, "left").withColumn("__gone", gone)
+    if compat:
+        marked = marked.withColumn("__reset", F.col("__gone"))
+    else:
+        tables = marked.groupBy("keyspace", "table").agg(F.bool_or("__gone").alias("__reset"))
+        marked = marked.join(tables, ["keyspace", "table"])
+    return marked.withColumns(
+        {
+            "position": F.when(F.col("__reset"), F.lit("")).otherwise(F.col("position")),
+            "last_pk": F.when(~F.col("__reset"), F.col("last_pk")),
+            "seq": F.when(~F.col("__reset"), F.col("seq")),
+            "error_code": F.when(F.col("__gone"), F.lit(EXPIRED)),
+            "truncate": F.lit(False) if compat else F.col("__reset"),
+        }
+    ).drop("__gone", "__reset", "purged_upto")

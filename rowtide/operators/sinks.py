@@ -59,12 +59,11 @@ def write_table(table: DataFrame, path: str) -> None:
 # --- the applied table ---------------------------------------------------------
 #
 # root/data/version=V/bucket=B   state rows of the keys hashed to B, as of run V
-# root/manifest/version=V        which buckets run V wrote, and its last TRUNCATE
+# root/manifest/version=V        after run V: the version of each bucket, the last TRUNCATE
 #
-# A bucket's rows are those of its highest version in the manifest. Data is
-# written first, the manifest last and in one file: a run that dies in between
-# leaves no trace, and running it again gives the same rows. Only the buckets
-# that a run's keys fall into are read and rewritten.
+# The highest manifest counts. Data is written first, the manifest last and in one
+# file: a run that dies in between leaves no trace, and running it again gives the
+# same rows. Only the buckets that a run's keys fall into are read and rewritten.
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
     try:
@@ -80,14 +79,12 @@ def _current(spark: SparkSession, root: str) -> tuple[dict[int, int], int, int |
     manifest = _read(spark, f"{root}/manifest")
     if manifest is None:
         return {}, 0, None
-    rows = manifest.groupBy("bucket").agg(
-        F.max("version").alias("v"), F.max("truncate_seq").alias("t")
-    ).collect()
-    truncates = [r.t for r in rows if r.t is not None]
+    last = manifest.agg(F.max("version")).first()[0]
+    rows = manifest.filter(F.col("version") == last).collect()
     return (
-        {r.bucket: r.v for r in rows if r.bucket is not None},
-        max(r.v for r in rows),
-        max(truncates) if truncates else None,
+        {r.bucket: r.bucket_version for r in rows if r.bucket is not None},
+        last,
+        rows[0].truncate_seq,
     )
 
 
@@ -107,7 +104,7 @@ def apply_records(
     spark = records.sparkSession
     pk = list(pk)
     values = [c for c in columns if c not in pk]
-    where, last, _ = _current(spark, root)
+    where, last, truncated = _current(spark, root)
     version = last + 1
 
     is_truncate = F.col("op") == TRUNCATE
@@ -134,11 +131,13 @@ def apply_records(
             "overwrite"
         ).partitionBy("bucket").parquet(f"{root}/data/version={version}")
 
-    entries = F.explode(F.lit(touched or [None]).cast("array<int>"))
-    spark.range(1).coalesce(1).select(
-        entries.alias("bucket"),
-        F.lit(found.truncate_seq).cast("bigint").alias("truncate_seq"),
-    ).write.mode("overwrite").parquet(f"{root}/manifest/version={version}")
+    where.update(dict.fromkeys(touched, version))
+    seen = [t for t in (truncated, found.truncate_seq) if t is not None]
+    truncate_seq = max(seen, default=None)
+    entries = [(b, v, truncate_seq) for b, v in where.items()] or [(None, None, truncate_seq)]
+    spark.createDataFrame(
+        entries, "bucket int, bucket_version int, truncate_seq bigint"
+    ).coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/version={version}")
     return version
 
 

@@ -396,11 +396,12 @@ purged AS (
   FROM supplier GROUP BY s_nationkey),
 g AS (
   SELECT s.*, coalesce(position <> '' AND seq < purged_upto, FALSE) AS gone
-  FROM saved s LEFT JOIN purged p ON s.keyspace = p.keyspace AND s.shard = p.shard)
-SELECT keyspace, tbl AS "table", shard, CASE WHEN gone THEN '' ELSE position END AS position,
-       CASE WHEN NOT gone THEN last_pk END AS last_pk, CASE WHEN NOT gone THEN seq END AS seq,
-       CASE WHEN gone THEN 'BINLOG_EXPIRATION_ERROR' END AS error_code, gone AS truncate
-FROM g""")
+  FROM saved s LEFT JOIN purged p ON s.keyspace = p.keyspace AND s.shard = p.shard),
+r AS (SELECT keyspace, tbl, bool_or(gone) AS reset FROM g GROUP BY keyspace, tbl)
+SELECT g.keyspace, g.tbl AS "table", shard, CASE WHEN reset THEN '' ELSE position END AS position,
+       CASE WHEN NOT reset THEN last_pk END AS last_pk, CASE WHEN NOT reset THEN seq END AS seq,
+       CASE WHEN gone THEN 'BINLOG_EXPIRATION_ERROR' END AS error_code, reset AS truncate
+FROM g JOIN r ON g.keyspace = r.keyspace AND g.tbl = r.tbl""")
 def expired_log_reset(spark, sf_dir):
     """Cursors behind the purged part of their log start over."""
     purged = (

@@ -29,6 +29,9 @@ def local_session(cores: str = "8", partitions: int = 8, app: str = "rowtide") -
     return spark
 
 
+_MADE: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -38,6 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    made = tempfile.mkdtemp(prefix="rowtide-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _MADE:
+        _MADE[app] = tempfile.mkdtemp(prefix="rowtide-", dir="/tmp")
+    return _MADE[app]

@@ -225,3 +225,15 @@ def test_flagship_numbers(spark):
         F.sum("o_orderkey").alias("k"),
     ).first()
     assert tuple(r) == (14318, 12370, 4545, 682, 107376136)
+
+
+def test_apply_a_truncate(spark, tmp_path):
+    root = str(tmp_path / "t")
+    up = lambda i, seq: record_frame(spark, [("UPSERT", dict(id=i, name="a", qty=1), COLUMNS)], seq)
+    only = record_frame(spark, [("TRUNCATE", None, [])], 5)
+    sinks.apply_records(up(1, 1), root, ["id"], COLUMNS, 4)
+    assert sinks.apply_records(only, root, ["id"], COLUMNS, 4) == 2
+    assert as_set(sinks.read_table(spark, root, ["id"], COLUMNS)) == set()
+    sinks.apply_records(up(2, 6), root, ["id"], COLUMNS, 4)
+    sinks.apply_records(up(3, 2), root, ["id"], COLUMNS, 4)  # late, from before the TRUNCATE
+    assert as_set(sinks.read_table(spark, root, ["id"], COLUMNS)) == {(2, "a", 1)}
