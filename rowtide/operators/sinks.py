@@ -42,6 +42,31 @@ def sync_report(records: DataFrame) -> DataFrame:
     )
 
 
+def sync_outcome(before: DataFrame, after: DataFrame) -> DataFrame:
+    """K4: where each cursor began and stands, and what became of it.
+
+    An error keeps its code here (A16); RESET is a cursor put back to the start,
+    PROGRESS one that moved, CURRENT one that had nothing to read.
+    """
+    key = ["keyspace", "table", "shard"]
+    old = before.select(
+        *key, F.col("position").alias("start_position"), F.col("last_pk").alias("__pk")
+    )
+    error = F.col("error_code") if "error_code" in after.columns else F.lit(None).cast("string")
+    start, stop = (F.coalesce(c, F.lit("")) for c in ("start_position", "position"))
+    moved = (start != stop) | ~F.col("last_pk").eqNullSafe(F.col("__pk"))
+    return after.join(old, key, "left").select(
+        *key,
+        start.alias("start_position"),
+        stop.alias("stop_position"),
+        F.when(error.isNotNull(), error)
+        .when((start != "") & (stop == ""), F.lit("RESET"))
+        .when(moved, F.lit("PROGRESS"))
+        .otherwise(F.lit("CURRENT"))
+        .alias("outcome"),
+    )
+
+
 def copy_order(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The tables by row count, small ones first; an empty table counts 0."""
     counts = None

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowtide.operators import cursor, shape, state
+from rowtide.operators import cursor, shape, sinks, state
 from rowtide.operators.checkpoints import response_checkpoints
 from rowtide.operators.lineage import settle
 from rowtide.plans import derive as d
@@ -390,7 +390,7 @@ def made_progress(spark, sf_dir):
     )
 
 
-@query(f"""WITH {d.STATE_SQL},
+EXPIRED_SQL = f"""WITH {d.STATE_SQL},
 purged AS (
   SELECT 'ks' || CAST(s_nationkey AS VARCHAR) AS keyspace, 's0' AS shard, max(s_suppkey) * 5 AS purged_upto
   FROM supplier GROUP BY s_nationkey),
@@ -398,12 +398,19 @@ g AS (
   SELECT s.*, coalesce(position <> '' AND seq < purged_upto, FALSE) AS gone
   FROM saved s LEFT JOIN purged p ON s.keyspace = p.keyspace AND s.shard = p.shard),
 r AS (SELECT keyspace, tbl, bool_or(gone) AS reset FROM g GROUP BY keyspace, tbl)
-SELECT g.keyspace, g.tbl AS "table", shard, CASE WHEN reset THEN '' ELSE position END AS position,
+"""
+
+
+@query(EXPIRED_SQL + """SELECT g.keyspace, g.tbl AS "table", shard, CASE WHEN reset THEN '' ELSE position END AS position,
        CASE WHEN NOT reset THEN last_pk END AS last_pk, CASE WHEN NOT reset THEN seq END AS seq,
        CASE WHEN gone THEN 'BINLOG_EXPIRATION_ERROR' END AS error_code, reset AS truncate
 FROM g JOIN r ON g.keyspace = r.keyspace AND g.tbl = r.tbl""")
 def expired_log_reset(spark, sf_dir):
     """Cursors behind the purged part of their log start over."""
+    return _expired(spark, sf_dir)
+
+
+def _expired(spark, sf_dir):
     purged = (
         d.read(spark, sf_dir, "supplier")
         .groupBy(F.concat(F.lit("ks"), F.col("s_nationkey").cast("string")).alias("keyspace"))
@@ -411,3 +418,19 @@ def expired_log_reset(spark, sf_dir):
         .withColumn("shard", F.lit("s0"))
     )
     return cursor.expired_log_reset(d.saved_state(spark, sf_dir), purged)
+
+
+@query(EXPIRED_SQL + """, a AS (
+  SELECT g.keyspace, g.tbl, g.shard, g.position AS start_position, gone,
+         CASE WHEN g.shard = 'gone' THEN 'moved' WHEN reset THEN '' ELSE g.position END AS stop_position,
+         NOT reset OR g.last_pk IS NULL AS same_pk
+  FROM g JOIN r ON g.keyspace = r.keyspace AND g.tbl = r.tbl)
+SELECT keyspace, tbl AS "table", shard, start_position, stop_position,
+       CASE WHEN gone THEN 'BINLOG_EXPIRATION_ERROR' WHEN start_position <> '' AND stop_position = '' THEN 'RESET'
+            WHEN start_position <> stop_position OR NOT same_pk THEN 'PROGRESS' ELSE 'CURRENT' END AS outcome
+FROM a""")
+def sync_outcome(spark, sf_dir):
+    """K4: what became of each saved cursor after a run that lost a part of the log."""
+    moved = F.when(F.col("shard") == "gone", F.lit("moved")).otherwise(F.col("position"))
+    after = _expired(spark, sf_dir).withColumn("position", moved)
+    return sinks.sync_outcome(d.saved_state(spark, sf_dir), after)
