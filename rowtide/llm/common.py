@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-__all__ = ["LOWER", "SPACE", "SPACE_CHARS", "UPPER", "documents", "lower_ascii", "settle", "text_of", "words"]
+__all__ = ["LOWER", "SPACE", "SPACE_CHARS", "UPPER", "documents", "let", "lower_ascii", "settle", "text_of", "words"]
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -33,3 +35,12 @@ def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, every other character as it is; texts of ASCII alone take the fast way."""
     ascii_only = F.octet_length(text) == F.char_length(text)
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value worked out once a row.
+
+    A lambda that looks into an array expression would otherwise have it made anew for
+    each element, as the optimizer puts a column that is named once in its place.
+    """
+    return F.get(F.transform(F.array(value), body), 0)

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import SPACE_CHARS, settle, text_of, words
+from rowtide.llm.common import SPACE_CHARS, let, settle, text_of, words
 
 MIN_SITES = 5
 MIN_WORDS = 3
@@ -98,15 +98,15 @@ def remove_boilerplate(
     if counts:
         n = F.when(own.isNull() | (own == ""), F.lit(0)).otherwise(F.size(F.split(own, "\n")))
         columns += [n.cast("long").alias(counts[0]), F.coalesce(F.size(gone), F.lit(0)).cast("long").alias(counts[1])]
-    # The lines are a column of their own, so that the lambda doesn't split the text anew for each.
-    split = joined.select(
-        *columns, own.alias("__own"), gone.alias("__gone"), F.when(gone.isNotNull(), F.split(own, "\n")).alias("__lines")
+    left_over = let(
+        F.split(own, "\n"),
+        lambda ls: F.array_join(
+            F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), gone), lambda i: F.get(ls, i)), "\n"
+        ),
     )
-    keep = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
-    left_over = F.array_join(F.transform(keep, lambda i: F.get("__lines", i)), "\n")
-    kept = F.when(F.col("__gone").isNull(), F.col("__own")).otherwise(left_over)
-    return split.withColumn("__own", kept).select(
-        *[F.col("__own").alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns], *(counts or ())
+    kept = F.when(gone.isNull(), own).otherwise(left_over)
+    return joined.select(*columns, kept.alias(text)).select(
+        *[F.col(f"`{c}`") for c in docs.columns], *(counts or ())
     )
 
 

@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import settle, text_of, words
+from rowtide.llm.common import let, settle, text_of, words
 
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 8
@@ -55,22 +55,22 @@ def _covered(starts: Column) -> Column:
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with its counts, as struct column ``__m``; the text stays as it is."""
     own = text_of(text)
-    staged = docs.withColumn("__w", words(own)).withColumn("__h", F.transform("__w", lambda w: F.xxhash64(w)))
+    staged = docs.withColumn("__w", words(own))
     n_windows = F.size("__w") - (WINDOW - 1)
-    # Every array that a lambda looks into is a column of its own, so that it is made once a text.
+    windows = let(
+        F.transform("__w", lambda w: F.xxhash64(w)),
+        lambda h: F.transform(F.sequence(F.lit(1), n_windows), lambda i: F.xxhash64(F.slice(h, i, WINDOW))),
+    )
     staged = staged.withColumn(
-        "__win",
-        F.when(
-            n_windows > 1,
-            F.transform(F.sequence(F.lit(1), n_windows), lambda i: F.xxhash64(F.slice("__h", i, WINDOW))),
-        ).otherwise(F.array().cast("array<bigint>")),
+        "__win", F.when(n_windows > 1, windows).otherwise(F.array().cast("array<bigint>"))
     )
     any_twice = F.size(F.array_distinct("__win")) < F.size("__win")
     placed = F.sort_array(F.transform("__win", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     staged = staged.withColumn("__placed", F.when(any_twice, placed))
-    h_at = lambda j: F.get("__placed", j)["h"]
-    twice = F.transform(
-        "__placed", lambda x, j: F.when(x["h"].eqNullSafe(h_at(j + 1)) | x["h"].eqNullSafe(h_at(j - 1)), x["i"])
+    same = lambda x, p, j: x["h"].eqNullSafe(F.get(p, j)["h"])
+    twice = let(
+        F.col("__placed"),
+        lambda p: F.transform(p, lambda x, j: F.when(same(x, p, j + 1) | same(x, p, j - 1), x["i"])),
     )
     staged = staged.withColumn("__twice", F.sort_array(F.array_compact(twice)))
     staged = staged.withColumn("__lines", F.filter(F.split(own, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
