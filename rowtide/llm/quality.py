@@ -56,13 +56,16 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with its counts, as struct column ``__m``; the text stays as it is."""
     own = text_of(text)
     staged = docs.withColumn("__w", words(own))
-    n_windows = F.size("__w") - (WINDOW - 1)
-    windows = let(
-        F.transform("__w", lambda w: F.xxhash64(w)),
-        lambda h: F.transform(F.sequence(F.lit(1), n_windows), lambda i: F.xxhash64(F.slice(h, i, WINDOW))),
+    # Hashes of 2, 4 and then 8 words in a row, each from two of the hashes before.
+    pairs = lambda p, gap: let(
+        p,
+        lambda x: F.zip_with(
+            x, F.slice(x, gap + 1, F.greatest(F.lit(0), F.size(x) - gap)), lambda a, b: F.xxhash64(a, b)
+        ),
     )
+    windows = pairs(pairs(pairs(F.col("__w"), 1), 2), 4)
     staged = staged.withColumn(
-        "__win", F.when(n_windows > 1, windows).otherwise(F.array().cast("array<bigint>"))
+        "__win", let(windows, lambda x: F.slice(x, 1, F.greatest(F.lit(0), F.size(x) - (WINDOW - 1))))
     )
     any_twice = F.size(F.array_distinct("__win")) < F.size("__win")
     placed = F.sort_array(F.transform("__win", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
