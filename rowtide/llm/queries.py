@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import line_dedup, quality, secret_scan
+from rowtide.llm import line_dedup, pii, quality, secret_scan, simhash
 from rowtide.llm.common import documents
 from rowtide.plans.registry import Registry
 
@@ -25,3 +25,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @LLM.query()
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(documents(spark, sf_dir))
+
+
+@LLM.query()
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_report(documents(spark, sf_dir))
+
+
+@LLM.query()
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_personal(documents(spark, sf_dir).select("doc_id", "text"), count="n_replaced")
