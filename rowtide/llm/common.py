@@ -14,7 +14,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-__all__ = ["LOWER", "SPACE", "SPACE_CHARS", "UPPER", "documents", "let", "lower_ascii", "settle", "text_of", "words"]
+__all__ = ["LOWER", "SPACE", "SPACE_CHARS", "UPPER", "documents", "let", "lower_ascii", "settle", "text_of", "tokenizer_file", "words"]
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -44,3 +44,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     each element, as the optimizer puts a column that is named once in its place.
     """
     return F.get(F.transform(F.array(value), body), 0)
+
+
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import line_dedup, pii, quality, secret_scan, simhash
-from rowtide.llm.common import documents
+from rowtide.llm import bpe, line_dedup, packing, pii, quality, secret_scan, simhash
+from rowtide.llm.common import documents, tokenizer_file
 from rowtide.plans.registry import Registry
 
 LLM = Registry()
@@ -35,3 +35,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @LLM.query()
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_personal(documents(spark, sf_dir).select("doc_id", "text"), count="n_replaced")
+
+
+@LLM.query()
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
+
+
+@LLM.query()
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
