@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import bpe, line_dedup, packing, pii, quality, secret_scan, simhash
+from rowtide.llm import bpe, langid, line_dedup, packing, pii, quality, secret_scan, simhash
 from rowtide.llm.common import documents, tokenizer_file
 from rowtide.plans.registry import Registry
 
@@ -45,3 +45,8 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @LLM.query()
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
+
+
+@LLM.query()
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
