@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import ann, bpe, langid, line_dedup, packing, pii, quality, secret_scan, simhash
+from rowtide.llm import ann, bpe, langid, line_dedup, lm, packing, pii, quality, secret_scan, simhash
 from rowtide.llm.common import documents, tokenizer_file
 from rowtide.plans.registry import Registry
 
@@ -56,3 +56,8 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents(spark, sf_dir, "embeddings")
     return ann.search(rows, rows.filter("vec_id % 100 = 0"))
+
+
+@LLM.query()
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
