@@ -160,3 +160,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def fingerprint_report(docs: DataFrame) -> DataFrame:
     done = near_duplicates(docs.select("doc_id", "text"))
     return done.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the smallest doc_id of their component, one row of each.
+
+    Among several texts under that id the one of least hash stays; among repeated rows any.
+    """
+    own = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("version"), F.col(text).alias("t"))
+    grouped = settle(near_duplicates(own, "doc", "t", ("version",)))
+    # A null id comes last, so that it stays only where there is no other.
+    first = F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "version"))
+    alone = F.when(F.col("component_id").isNull(), F.col("fp"))
+    stay = grouped.groupBy("component_id", alone.alias("alone")).agg(first.alias("s"))
+    stay = stay.select(F.col("s.doc").alias("__doc"), F.col("s.version").alias("__version"))
+    same = F.col(f"d.`{doc_id}`").eqNullSafe(F.col("__doc")) & (F.xxhash64(F.col(f"d.`{text}`")) == F.col("__version"))
+    kept = docs.alias("d").join(stay, same, "left_semi")
+    if grouped.groupBy("doc", "version").count().filter("count > 1").isEmpty():
+        return kept
+    return kept.withColumn("__version", F.xxhash64(text)).dropDuplicates([doc_id, "__version"]).drop("__version")
