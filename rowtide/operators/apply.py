@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from rowtide.operators.running import running_number, span_chunk
 from rowtide.operators.shape import DELETE, TRUNCATE
@@ -46,12 +47,22 @@ def fold_records(records: DataFrame, pk: Sequence[str], columns: Sequence[str],
 
 def merge_state_rows(rows: DataFrame, pk: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Merge any number of state rows per key into one; associative and idempotent."""
-    return rows.groupBy(*pk).agg(
+    # One maximum per column, of (seq, value); a column that was not written has no pair.
+    # A written null has one, so absent and null differ.
+    last = lambda c: F.max(
+        F.when(F.col(f"s_{c}").isNotNull(), F.struct(F.col(f"s_{c}").alias("s"), F.col(f"v_{c}").alias("v")))
+    )
+    merged = rows.groupBy(*pk).agg(
         F.max(WRITE_SEQ).alias(WRITE_SEQ),
         F.max(DELETE_SEQ).alias(DELETE_SEQ),
-        # max_by skips rows without a seq but keeps null values: absent and null differ.
-        *[F.max_by(f"v_{c}", f"s_{c}").alias(f"v_{c}") for c in values],
-        *[F.max(f"s_{c}").alias(f"s_{c}") for c in values],
+        *[last(c).alias(f"__{c}") for c in values],
+    )
+    return merged.select(
+        *pk,
+        WRITE_SEQ,
+        DELETE_SEQ,
+        *[F.col(f"__{c}.v").alias(f"v_{c}") for c in values],
+        *[F.col(f"__{c}.s").alias(f"s_{c}") for c in values],
     )
 
 
@@ -60,24 +71,31 @@ def last_truncate(records: DataFrame, seq: str = "seq") -> DataFrame:
     return records.filter(F.col("op") == TRUNCATE).agg(F.max(seq).alias("truncate_seq"))
 
 
-def _alive(truncated: Column) -> Column:
-    floor = F.greatest(F.coalesce(F.col(DELETE_SEQ), F.lit(-1)), truncated)
-    return F.coalesce(F.col(WRITE_SEQ) > floor, F.lit(False))
+def literal(value, like: DataType) -> Column:
+    """A seq as a literal: a number, or a tuple for a place of several numbers; null for none."""
+    if isinstance(value, tuple):
+        value = F.struct(*[F.lit(v).alias(f.name) for v, f in zip(value, like.fields)])
+    return (value if isinstance(value, Column) else F.lit(value)).cast(like)
+
 
+def _after(seq: Column, floor: Column) -> Column:
+    """Whether there is a seq, and it is later than the floor, if there is one."""
+    return F.coalesce(seq > floor, seq.isNotNull())
 
-def _value(column: str, truncated: Column) -> Column:
-    """The value, unless a delete or truncate came after it was written."""
-    floor = F.greatest(F.coalesce(F.col(DELETE_SEQ), F.lit(-1)), truncated)
-    return F.when(F.col(f"s_{column}") > floor, F.col(f"v_{column}")).alias(column)
 
+def _floor(state: DataFrame, truncate_seq) -> Column:
+    """What a write must be later than: the key's delete and the last TRUNCATE; null if neither is there."""
+    return F.greatest(F.col(DELETE_SEQ), literal(truncate_seq, state.schema[DELETE_SEQ].dataType))
 
-def rows_of_state(state: DataFrame, pk: Sequence[str], columns: Sequence[str],
-                  truncate_seq: Column | int | None = None) -> DataFrame:
-    """The living rows of a folded state, none older than the last TRUNCATE."""
-    last = truncate_seq if isinstance(truncate_seq, Column) else F.lit(truncate_seq)
-    floor = F.coalesce(last.cast("bigint"), F.lit(-1).cast("bigint"))
-    return state.filter(_alive(floor)).select(
-        *[F.col(c) if c in pk else _value(c, floor) for c in columns]
+
+def rows_of_state(state: DataFrame, pk: Sequence[str], columns: Sequence[str], truncate_seq=None) -> DataFrame:
+    """The living rows of a folded state, none older than the last TRUNCATE (a seq or a column)."""
+    floor = _floor(state, truncate_seq)
+    return state.filter(_after(F.col(WRITE_SEQ), floor)).select(
+        *[
+            F.col(c) if c in pk else F.when(_after(F.col(f"s_{c}"), floor), F.col(f"v_{c}")).alias(c)
+            for c in columns
+        ]
     )
 
 
@@ -95,16 +113,17 @@ def current_state(records: DataFrame, pk: Sequence[str], columns: Sequence[str],
 
 
 def soft_delete(records: DataFrame, pk: Sequence[str], columns: Sequence[str],
-                seq: str = "seq", synced_at: str | None = None) -> DataFrame:
+                seq: str = "seq", synced_at: str | None = None, truncates: bool = False) -> DataFrame:
     """Rows stay with their last values, ``deleted`` marks the removed ones.
 
-    ``synced_at`` is one UTC time for the whole run, handed in by the caller.
+    With ``truncates=True`` a TRUNCATE marks all rows before it. ``synced_at`` is one UTC
+    time for the whole run, handed in by the caller.
     """
     state = fold_records(records, pk, columns, seq)
-    removed = F.coalesce(F.col(DELETE_SEQ) > F.coalesce(F.col(WRITE_SEQ), F.lit(-1)), F.lit(False))
+    floor = _floor(state, last_truncate(records, seq).scalar() if truncates else None)
     out = state.select(
         *[F.col(c) if c in pk else F.col(f"v_{c}").alias(c) for c in columns],
-        removed.alias("deleted"),
+        (~_after(F.col(WRITE_SEQ), floor)).alias("deleted"),
     )
     if synced_at is not None:
         out = out.withColumn("synced_at", F.lit(synced_at + "Z").cast("timestamp"))

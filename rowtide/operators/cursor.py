@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.operators.joins import sized
 from rowtide.operators.lineage import settle
 from rowtide.operators.running import SPAN, carry_forward, running_number, span_chunk
 from rowtide.sources.log import COPY_COMPLETED, LASTPK, ROW, VGTID, bare_name
@@ -72,7 +71,8 @@ def response_cursors(events: DataFrame, table: str) -> DataFrame:
             "event_idx",
             F.nullif(own["gtid"], F.lit("")).alias("__pos"),
             set_pk.alias("__pk"),
-            (kind == COPY_COMPLETED).alias("__done"),
+            # The end of another table's copy is not this one's.
+            ((kind == COPY_COMPLETED) & (F.col("table").isNull() | mine)).alias("__done"),
             F.when((kind == ROW) & mine, changes).otherwise(0).alias("__n"),
         )
         .groupBy(*PLACE, "resp_id")
@@ -157,10 +157,10 @@ def bounded_read(
 
     The rows of the ending response are part of the read, and its position is the
     new cursor. The events are read twice: once for their cursors, once for the
-    rows, which meet the ends (one row per shard, counted) without a shuffle.
+    rows, which meet the ends (one row per shard; Spark broadcasts them if they are small).
     """
     timeline = settle(cursor_timeline(events, table, start, span))
-    ends = sized(settle(bounded_stop(timeline, stops)))
+    ends = settle(bounded_stop(timeline, stops))
     within = F.col("end_resp").isNull() | (F.col("resp_id") <= F.col("end_resp"))
     read = events.join(ends, PLACE).filter(within).drop("end_resp")
     cursors = (

@@ -173,7 +173,7 @@ def positional_to_named(values: Column, names: Column) -> Column:
         values.isNotNull(),
         F.raise_error(
             F.format_string(
-                "row value count %d does not match column count %d", F.size(values), F.size(names)
+                "a row holds %d values where its layout names %d", F.size(values), F.size(names)
             )
         ),
     )
@@ -232,51 +232,30 @@ def write_row(image: Column, writers: Mapping[str, "callable"]) -> Column:
     )
 
 
-# Beyond this many different layouts in one read, names are looked up per row.
-MAX_PLANNED_LAYOUTS = 16
-
-
-def write_rows(
-    changes: DataFrame, writers: Mapping[str, "callable"], layouts: Sequence[Sequence[str]]
-) -> DataFrame:
+def write_rows(changes: DataFrame, writers: Mapping[str, "callable"]) -> DataFrame:
     """Raw ``before`` and ``after`` arrays, laid out as ``layout``, as typed structs.
 
-    ``layouts`` are the field lists that occur; where each name stands in them is
-    planned here, not searched in every row. A row of another width than its layout
-    is an error. The wire values become columns of their own first, so that a
-    converter reads each one once.
+    Each row's names are looked up in its own layout, so rows of different layouts may
+    stand side by side. A row of another width than its layout is an error, as is a row
+    without one. The wire values become columns of their own first, so that a converter
+    reads each one once.
     """
     sides = ("before", "after")
     others = [c for c in changes.columns if c not in (*sides, "layout")]
-    layouts = [list(x) for x in layouts]
-    known = 0 < len(layouts) <= MAX_PLANNED_LAYOUTS
-
-    def place(name: str) -> Column:
-        if not known:
-            return F.array_position("layout", name).cast("int")
-        places = [x.index(name) + 1 if name in x else 0 for x in layouts]
-        if len(set(places)) == 1:
-            return F.lit(places[0])
-        chain = F
-        for x, at in zip(layouts, places):
-            chain = chain.when(F.col("layout") == F.array(*[F.lit(n) for n in x]), F.lit(at))
-        return chain
-
-    width = F.size("layout")
+    width = F.coalesce(F.size("layout"), F.lit(-1))
+
     def checked(side: str) -> Column:
         return F.when(F.size(side) == width, F.col(side)).when(
             F.col(side).isNotNull(),
             F.raise_error(
-                F.format_string(
-                    "row value count %d does not match column count %d", F.size(side), width
-                )
+                F.format_string("a row holds %d values where its layout names %d", F.size(side), width)
             ),
         )
 
     placed = changes.select(
         *others,
         *[checked(side).alias(side) for side in sides],
-        *[place(c).alias(f"__at_{c}") for c in writers],
+        *[F.array_position("layout", c).cast("int").alias(f"__at_{c}") for c in writers],
     )
     wire = placed.select(
         *others,
@@ -320,7 +299,7 @@ def check_shapes(changes: DataFrame) -> DataFrame:
         F.when(
             bad,
             F.format_string(
-                "unable to shape update, found %d rows before, %d after",
+                "an update pairs one row with one: %d before, %d after",
                 F.col("n_before"),
                 F.col("n_after"),
             ),

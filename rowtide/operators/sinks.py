@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.operators import apply
+from rowtide.operators.lineage import settle
 from rowtide.operators.shape import DELETE, TRUNCATE, UPDATE, UPSERT
 
 
@@ -17,12 +18,16 @@ def write_records(records: DataFrame, path: str, mode: str = "append") -> None:
     records.write.mode(mode).partitionBy("op").parquet(path)
 
 
-def emit_truncate(records: DataFrame, seq: int = -1, **place: str) -> DataFrame:
-    """K2: ``records`` with a TRUNCATE before them: no row, nothing written."""
+def emit_truncate(records: DataFrame, seq, **place: str) -> DataFrame:
+    """K2: ``records`` with a TRUNCATE at ``seq``: no row, nothing written.
+
+    It empties what is older, so it must be later than all that was applied before: a
+    sync gives it the first place of a new generation.
+    """
     one = records.sparkSession.range(1)
     truncate = one.select(
         *[F.lit(v).alias(k) for k, v in place.items()],
-        F.lit(seq).cast("bigint").alias("seq"),
+        apply.literal(seq, records.schema["seq"].dataType).alias("seq"),
         F.lit(TRUNCATE).alias("op"),
         F.array().cast("array<string>").alias("written"),
     )
@@ -99,7 +104,7 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _current(spark: SparkSession, root: str) -> tuple[dict[int, int], int, int | None]:
+def _current(spark: SparkSession, root: str) -> tuple[dict[int, int], int, int | tuple | None]:
     """(bucket -> version, last version, last truncate seq); as many entries as buckets."""
     manifest = _read(spark, f"{root}/manifest")
     if manifest is None:
@@ -132,36 +137,38 @@ def apply_records(
     where, last, truncated = _current(spark, root)
     version = last + 1
 
-    is_truncate = F.col("op") == TRUNCATE
-    found = records.agg(
-        # At most ``buckets`` numbers.
-        F.collect_set(
-            F.when(~is_truncate, _bucket([f"row.{k}" for k in pk], buckets))
-        ).alias("touched"),
-        F.max(F.when(is_truncate, F.col("seq"))).alias("truncate_seq"),
-    ).collect()[0]
-    touched = sorted(found.touched)
-    if not touched and found.truncate_seq is None:
+    # The keys of the records are worked out once; the look for a TRUNCATE decodes no rows.
+    delta = settle(
+        apply.fold_records(records, pk, columns).withColumn("bucket", _bucket(pk, buckets))
+    )
+    # At most ``buckets`` numbers.
+    touched = sorted(r.bucket for r in delta.select("bucket").distinct().collect())
+    emptied = apply.last_truncate(records).first().truncate_seq
+    if not touched and emptied is None:
         return last
 
     if touched:
-        both = apply.fold_records(records, pk, columns)
+        both = delta
         old = [f"{root}/data/version={where[b]}/bucket={b}" for b in touched if b in where]
         if old:
-            both = both.unionByName(spark.read.parquet(*old))
+            before = spark.read.option("mergeSchema", True).parquet(*old)
+            # Columns that came since are null in older rows; those that went are left behind.
+            both = both.unionByName(
+                before.withColumn("bucket", _bucket(pk, buckets)), allowMissingColumns=True
+            )
         # Each side has one row per key, so a bucket is as even as the hash. Bucket is
         # a subset of the grouping, so the merge needs no further shuffle.
-        placed = both.withColumn("bucket", _bucket(pk, buckets)).repartition("bucket")
-        apply.merge_state_rows(placed, ["bucket", *pk], values).write.mode(
-            "overwrite"
-        ).partitionBy("bucket").parquet(f"{root}/data/version={version}")
+        apply.merge_state_rows(
+            both.repartition(len(touched), "bucket"), ["bucket", *pk], values
+        ).write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/data/version={version}")
 
     where.update(dict.fromkeys(touched, version))
-    seen = [t for t in (truncated, found.truncate_seq) if t is not None]
+    seen = [t for t in (truncated, emptied) if t is not None]
     truncate_seq = max(seen, default=None)
     entries = [(b, v, truncate_seq) for b, v in where.items()] or [(None, None, truncate_seq)]
+    kind = records.schema["seq"].dataType.simpleString()
     spark.createDataFrame(
-        entries, "bucket int, bucket_version int, truncate_seq bigint"
+        entries, f"bucket int, bucket_version int, truncate_seq {kind}"
     ).coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/version={version}")
     return version
 
@@ -174,4 +181,5 @@ def read_table(
     if not where:
         return None
     paths = [f"{root}/data/version={v}/bucket={b}" for b, v in sorted(where.items())]
-    return apply.rows_of_state(spark.read.parquet(*paths), list(pk), columns, truncated)
+    state = spark.read.option("mergeSchema", True).parquet(*paths)
+    return apply.rows_of_state(state, list(pk), columns, truncated)

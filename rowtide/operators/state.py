@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 CURSOR = ["keyspace", "table", "shard"]
 STREAM_JSON = (
     "struct<keyspaces: map<string, struct<streams: map<string, struct<shards: "
-    "map<string, struct<position: string, last_pk: string, seq: bigint, error_code: string>>>>>>>"
+    "map<string, struct<position: string, last_pk: string, seq: bigint, error_code: string, "
+    "generation: bigint, layouts: string>>>>>>>"
 )
 
 
@@ -107,6 +108,8 @@ def stream_shards(state: DataFrame) -> DataFrame:
         F.col("last_pk").cast("string").alias("last_pk"),
         optional("seq", "bigint"),
         optional("error_code", "string"),
+        optional("generation", "bigint"),
+        optional("layouts", "string"),
     )
     return state.groupBy("keyspace", "table").agg(
         F.struct(_sorted_map(F.col("shard"), cursor).alias("shards")).alias("stream")
@@ -140,7 +143,7 @@ def state_from_json(spark: SparkSession, text: str) -> DataFrame:
             F.substr("__stream", F.length("keyspace") + 2).alias("table"),
             F.explode("__s.shards").alias("shard", "__c"),
         )
-        .select(*CURSOR, "__c.position", "__c.last_pk", "__c.seq", "__c.error_code")
+        .select(*CURSOR, "__c.position", "__c.last_pk", "__c.seq", "__c.error_code", "__c.generation", "__c.layouts")
     )
 
 

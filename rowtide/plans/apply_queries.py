@@ -328,21 +328,165 @@ def copy_order(spark, sf_dir):
 
 # --- whole syncs ------------------------------------------------------------------------
 
-@query(CURRENT_SQL)
-def synced_table(spark, sf_dir):
-    """Two syncs over the raw orders log, the second from the first one's state."""
-    root = _scratch(spark, "synced")
-    kinds = ("bigint", "varchar(1)", "varchar(20)")
+ORDER_TYPES = ("bigint", "varchar(1)", "varchar(20)")
+
+
+def _order_source(spark: SparkSession):
+    """Catalog, selection and shards of the orders table."""
     catalog = spark.createDataFrame(
-        [("shop", "orders", i + 1, c, t, "" if i else "PRI") for i, (c, t) in enumerate(zip(COLUMNS, kinds))],
+        [("shop", "orders", i + 1, c, t, "" if i else "PRI") for i, (c, t) in enumerate(zip(COLUMNS, ORDER_TYPES))],
         "keyspace string, table string, ordinal int, column string, column_type string, column_key string",
     )
     selection = catalog.select("keyspace", "table", "column", F.lit(True).alias("included"))
     shards = spark.createDataFrame([("shop", "-80"), ("shop", "80-")], "keyspace string, shard string")
+    return catalog, selection, shards
+
+
+def _order_log(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     d.raw_order_log(spark, sf_dir).write.parquet(f"{root}/log")
-    events = spark.read.parquet(f"{root}/log")
-    early = events.filter(F.col("resp_id") < d.NULL_AT)
-    state = sync(early, catalog, selection, shards, root, "1")
-    sync(events, catalog, selection, shards, root, "2", state)
+    return spark.read.parquet(f"{root}/log")
+
+
+@query(CURRENT_SQL)
+def synced_table(spark, sf_dir):
+    """Two syncs over the raw orders log, the second from the first one's state."""
+    root, source = _scratch(spark, "synced"), _order_source(spark)
+    events = _order_log(spark, sf_dir, root)
+    state = sync(events.filter(F.col("resp_id") < d.NULL_AT), *source, root, "1")
+    sync(events, *source, root, "2", state)
+    records = spark.read.parquet(f"{root}/records/shop/orders")
+    return apply.current_state(records, PK, COLUMNS, truncates=True)
+
+
+def _orders_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders as a snapshot has them at last: every third is gone, the others are new."""
+    return d.read(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 3 != 0).select(
+        "o_orderkey", F.lit("S").alias("o_orderstatus"), "o_orderpriority", d.shard_of("o_custkey").alias("shard")
+    )
+
+
+SNAPSHOT_SQL = "SELECT o_orderkey, 'S' AS o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 3 <> 0"
+
+
+@query(SNAPSHOT_SQL)
+def resynced_table(spark, sf_dir):
+    """A second full sync, its state lost, over a table in use: only the snapshot is left."""
+    root, source = _scratch(spark, "resynced"), _order_source(spark)
+    events = _order_log(spark, sf_dir, root)
+    for run, state_of in (("1", None), ("2", lambda keyspace, table: _orders_now(spark, sf_dir))):
+        sync(events, *source, root, run, snapshots=state_of)
+        records = spark.read.parquet(f"{root}/records/shop/orders/run={run}")
+        # A bucket for about a million rows.
+        sinks.apply_records(records, f"{root}/table", PK, COLUMNS, buckets=max(1, records.count() // 1_000_000))
+    return sinks.read_table(spark, f"{root}/table", PK, COLUMNS)
+
+
+@query(SNAPSHOT_SQL)
+def expired_log_recopy(spark, sf_dir):
+    """The log was removed behind the cursors, so the next sync copies the table anew."""
+    root, source = _scratch(spark, "expired"), _order_source(spark)
+    events = _order_log(spark, sf_dir, root)
+    early = F.col("resp_id") < d.NULL_AT
+    state = sync(events.filter(early), *source, root, "1")
+    purged = spark.createDataFrame([("shop", "-80", 2**62)], "keyspace string, shard string, purged_upto bigint")
+    sync(
+        events.filter(~early), *source, root, "2", state, purged=purged,
+        snapshots=lambda keyspace, table: _orders_now(spark, sf_dir),
+    )
     records = spark.read.parquet(f"{root}/records/shop/orders")
     return apply.current_state(records, PK, COLUMNS, truncates=True)
+
+
+@query(f"""WITH {d.ORDER_RECORDS_SQL} {FOLD_SQL}
+SELECT k AS o_orderkey, struct_extract(st, 'v') AS o_orderstatus, struct_extract(pr, 'v') AS o_orderpriority,
+       NOT coalesce(w > greatest(x, {d.TRUNCATE_AT}), FALSE) AS deleted
+FROM fold""")
+def soft_delete_truncate(spark, sf_dir):
+    """A TRUNCATE marks every row before it."""
+    records = sinks.emit_truncate(order_records(spark, sf_dir), d.TRUNCATE_AT, keyspace="shop", table="orders")
+    return apply.soft_delete(records, PK, COLUMNS, truncates=True)
+
+
+def _wire(*columns: str):
+    return F.array(*[F.col(c).cast("string").cast("binary") for c in columns])
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders")
+def wide_event_records(spark, sf_dir):
+    """Copy packets of up to 100,000 changes in one event."""
+    root, source = _scratch(spark, "wide"), _order_source(spark)
+    packets = (
+        d.read(spark, sf_dir, "orders")
+        .withColumn("resp_id", (F.floor(F.col("o_orderkey") / 100_000) + 1).cast("bigint"))
+        .groupBy(d.shard_of("o_custkey").alias("shard"), "resp_id")
+        .agg(F.collect_list(_wire(*COLUMNS)).alias("images"))
+        .select(
+            F.lit("shop").alias("keyspace"),
+            "shard",
+            "resp_id",
+            F.lit(0).alias("event_idx"),
+            F.lit("ROW").alias("event_type"),
+            F.lit("shop.orders").alias("table"),
+            F.transform(
+                "images", lambda i: F.struct(F.lit(None).cast("array<binary>").alias("before"), i.alias("after"))
+            ).alias("row_changes"),
+        )
+    )
+    stream = d.raw_order_log(spark, sf_dir)
+    ends = packets.select("keyspace", "shard", "resp_id").distinct().select(
+        "keyspace",
+        "shard",
+        "resp_id",
+        F.lit(1).alias("event_idx"),
+        F.lit("VGTID").alias("event_type"),
+        F.array(
+            F.struct("keyspace", "shard", F.concat("shard", F.lit(":"), "resp_id").alias("gtid"), F.array().alias("table_pks"))
+        ).cast(stream.schema["shard_gtids"].dataType).alias("shard_gtids"),
+    )
+    fields = stream.filter(F.col("event_type") == log.FIELD)
+    events = fields.unionByName(packets, allowMissingColumns=True).unionByName(ends, allowMissingColumns=True)
+    sync(events, *source, root, "1")
+    return apply.current_state(spark.read.parquet(f"{root}/records/shop/orders"), PK, COLUMNS, truncates=True)
+
+
+@query("""SELECT o_orderkey AS seq, o_orderkey, o_orderstatus, o_orderpriority FROM orders""")
+def mixed_layout_rows(spark, sf_dir):
+    """Two shards name their columns in different orders."""
+    key = d.shard_of("o_custkey")
+    turned = ["o_orderpriority", "o_orderkey", "o_orderstatus"]
+    rows = d.read(spark, sf_dir, "orders").select(
+        F.lit("shop").alias("keyspace"),
+        key.alias("shard"),
+        F.col("o_orderkey").alias("resp_id"),
+        F.lit(0).alias("event_idx"),
+        F.lit("ROW").alias("event_type"),
+        F.lit("shop.orders").alias("table"),
+        F.when(key == "-80", _wire(*COLUMNS)).otherwise(_wire(*turned)).alias("after"),
+    )
+    fields = rows.select("keyspace", "shard").distinct().select(
+        "keyspace",
+        "shard",
+        F.lit(-1).cast("bigint").alias("resp_id"),
+        F.lit(0).alias("event_idx"),
+        F.lit("FIELD").alias("event_type"),
+        F.lit("shop.orders").alias("table"),
+        F.when(F.col("shard") == "-80", F.array(*map(F.lit, COLUMNS))).otherwise(F.array(*map(F.lit, turned))).alias("fields"),
+    )
+    laid = log.require_layout(log.layout_as_of(rows.unionByName(fields, allowMissingColumns=True)))
+    changes = laid.select(F.col("resp_id").alias("seq"), "layout", F.lit(None).cast("array<binary>").alias("before"), "after")
+    text = lambda v: v.cast("string")
+    writers = {"o_orderkey": lambda v: text(v).cast("bigint"), "o_orderstatus": text, "o_orderpriority": text}
+    return shape.write_rows(changes, writers).select("seq", "after.*")
+
+
+@query("""SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS o_orderpriority
+FROM orders""")
+def evolved_table(spark, sf_dir):
+    """A column that came after the first run; older rows have it null."""
+    root = _scratch(spark, "evolved")
+    orders = d.read(spark, sf_dir, "orders")
+    first = shape.snapshot_records(orders.select("o_orderkey", "o_orderstatus"), COLUMNS[:2])
+    later = shape.snapshot_records(orders.filter("o_orderkey % 2 = 0").select(*COLUMNS), COLUMNS, seq=1)
+    sinks.apply_records(first, root, PK, COLUMNS[:2], buckets=4)
+    sinks.apply_records(later, root, PK, COLUMNS, buckets=4)
+    return sinks.read_table(spark, root, PK, COLUMNS)

@@ -256,8 +256,8 @@ TYPE_TEXTS = (
     "int(%d)", "int unsigned", "TINYINT(1)", "tinyint(4)", "smallint", "bigint(%d)",
     "bigint unsigned", "bit(%d)", "varbinary(%d)", "binary(16)", "decimal(%d,2)",
     "DECIMAL(%d)", "decimal", "double", "float", "timestamp", "time", "datetime(3)", "year",
-    "varchar(%d)", "text", "char(%d)", "enum('a%d','with,comma','owner''s')",
-    "set('r%d','w,x','it''s')", "geometry", "geomcollection", "point", "multilinestring", "date",
+    "varchar(%d)", "text", "char(%d)", "enum('a%d','fern, dry','skipper''s')",
+    "set('r%d','rope,knot','it''s')", "geometry", "geomcollection", "point", "multilinestring", "date",
     "json", "mediumtext", "mediumint", "mediumint unsigned", "blob", "numeric(%d,2)", "real",
     "unsigned int",
 )

@@ -1,53 +1,84 @@
-"""One sync from end to end.
+"""One sync from end to end.
 
 The log holds every response of every shard, row images as arrays of wire bytes.
 A sync reads, for each selected table, from the saved cursors to the positions
 that were the latest when it began, writes the records, and then the state. A run
-that fails writes no state, so the next one starts where this one did and gives
-the same records again.
+that fails writes no state beyond the tables it finished, so the next one starts
+there and gives the same records again.
+
+Records are ordered by ``(generation, resp, event, change)``. A full copy opens a new
+generation of its table: a TRUNCATE at its first place, the snapshot's rows at its next,
+and the log from the positions peeked before the snapshot on. So a copy outranks all that
+was applied before, and a row that is gone at the source is gone after it. A table is
+copied when it has no cursor yet, when its log was removed behind its cursor, and when its
+layout changed, if ``snapshots`` can give its rows; a new table without a snapshot is read
+from the start of the log, and the other two cases are errors without one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.operators import cursor, shape, sinks, state
-from rowtide.operators.joins import sized
 from rowtide.operators.lineage import settle
 from rowtide.sources import catalog as cat
 from rowtide.sources import log
 
-# A record's seq is its place in the log: response, event, change.
-EVENT_BITS, CHANGE_BITS = 12, 14
 LAST_PK = "struct<fields: array<string>, values: array<string>>"
+PLACE = "struct<generation: bigint, resp: bigint, event: bigint, change: bigint>"
+LAYOUTS = "array<struct<table: string, resp_id: bigint, event_idx: int, fields: array<string>>>"
+SHARD = ["keyspace", "shard"]
+CURSORS = [*SHARD, "table", "position", "last_pk", "seq", "generation", "layouts"]
 
+Snapshots = Callable[[str, str], DataFrame | None]
 
-def pack_seq(resp: Column, event: Column, change: Column) -> Column:
-    """The place in the log as one number; a place that does not fit is an error."""
-    fits = (
-        (resp < 1 << (62 - EVENT_BITS - CHANGE_BITS))
-        & event.between(-1, (1 << EVENT_BITS) - 2)
-        & (change < 1 << CHANGE_BITS)
-    )
-    packed = F.shiftleft(
-        F.shiftleft(resp.cast("bigint"), EVENT_BITS) + event + 1, CHANGE_BITS
-    ) + change
-    return F.when(fits, packed).otherwise(F.raise_error(F.lit("place in the log is out of range")))
+
+def place(generation: int, *numbers) -> Column:
+    """A place in the order of a table's records."""
+    parts = [F.lit(generation), *[n if not isinstance(n, int) else F.lit(n) for n in numbers]]
+    return F.struct(*parts).cast(PLACE)
 
 
 def _begin_layouts(events: DataFrame, cursors: DataFrame) -> DataFrame:
-    """The field lists in force where a read begins, as events just before it."""
-    older = events.filter(F.col("event_type") == log.FIELD).join(
-        cursors.select("keyspace", "shard", F.col("seq").alias("__from")), ["keyspace", "shard"]
-    ).filter(F.col("resp_id") <= F.col("__from"))
-    return (
-        older.groupBy("keyspace", "shard", "table")
+    """The field lists in force where a read begins, as events just before it.
+
+    They come from the cursors' own notes; only for cursors without them (of a copy, or of
+    an older state) is the log looked through, and there for FIELD events alone.
+    """
+    noted = cursors.filter(F.col("layouts").isNotNull()).select(
+        *SHARD, F.inline(F.from_json("layouts", LAYOUTS))
+    )
+    bare = cursors.filter(F.col("layouts").isNull()).select(*SHARD, F.col("seq").alias("__from"))
+    older = (
+        events.filter(F.col("event_type") == log.FIELD)
+        .join(bare, SHARD)
+        .filter(F.col("resp_id") <= F.col("__from"))
+        .groupBy(*SHARD, "table")
         .agg(F.max_by(F.struct("resp_id", "event_idx", "fields"), F.struct("resp_id", "event_idx")).alias("f"))
-        .select("keyspace", "shard", "table", "f.*", F.lit(log.FIELD).alias("event_type"))
+        .select(*SHARD, "table", "f.*")
     )
+    return noted.unionByName(older).withColumn("event_type", F.lit(log.FIELD))
+
+
+def _noted_layouts(fields: DataFrame) -> DataFrame:
+    """Per shard, the last field list of each table name, as the next read's note."""
+    last = fields.groupBy(*SHARD, "table").agg(
+        F.max_by(F.struct("table", "resp_id", "event_idx", "fields"), F.struct("resp_id", "event_idx")).alias("f")
+    )
+    # As many entries as names that the log has for one table.
+    return last.groupBy(*SHARD).agg(F.to_json(F.array_sort(F.collect_list("f"))).alias("layouts"))
+
+
+def ahead_of(events: DataFrame, keyspace: str, cursors: DataFrame) -> DataFrame:
+    """The events after the cursors; the least of them is a literal that reaches the files."""
+    starts = cursors.select(*SHARD, F.coalesce("seq", F.lit(-1)).alias("__from"))
+    least = starts.agg(F.min("__from")).first()[0]
+    mine = events.filter((F.col("keyspace") == keyspace) & (F.col("resp_id") > F.lit(-1 if least is None else least)))
+    return mine.join(starts, SHARD).filter(F.col("resp_id") > F.col("__from")).drop("__from")
 
 
 def table_records(
@@ -57,64 +88,70 @@ def table_records(
     table: str,
     columns: Sequence[str],
     cursors: DataFrame,
+    latest: DataFrame,
+    generation: int = 1,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
     """The records of one table since its ``cursors``, and the cursors after them.
 
     ``described`` are the table's catalog rows; ``cursors`` have one row per shard
-    with ``position, last_pk`` (JSON text or null) and ``seq``, the last response read.
+    with ``position, last_pk`` (JSON text or null), ``seq``, the last response read, and
+    ``layouts``; ``latest`` has the positions to stop at.
     """
     writers, pk = shape.plan_writers(described, columns, **options)
-    mine = events.filter(F.col("keyspace") == keyspace)
-    latest = log.peek_latest(cursor.positions(mine))
     active = settle(
-        cursor.skip_if_current(cursors, latest).withColumn(
-            "last_pk", F.from_json("last_pk", LAST_PK)
-        )
+        cursor.skip_if_current(cursors, latest.drop("latest_seq")).withColumn("last_pk", F.from_json("last_pk", LAST_PK))
     )
-    starts = sized(active.select("keyspace", "shard", F.coalesce("seq", F.lit(-1)).alias("__from")))
-    ahead = (
-        mine.join(starts, ["keyspace", "shard"])
-        .filter(F.col("resp_id") > F.col("__from"))
-        .drop("__from")
-    )
-    begin = _begin_layouts(mine, active)
+    ahead = ahead_of(events, keyspace, active)
+    begin = _begin_layouts(events.filter(F.col("keyspace") == keyspace), active)
     fields = settle(
-        log.match_table(begin.unionByName(ahead, allowMissingColumns=True), table).filter(
-            F.col("event_type") == log.FIELD
-        )
+        log.match_table(
+            begin.unionByName(ahead.filter(F.col("event_type") == log.FIELD), allowMissingColumns=True), table
+        ).select(*SHARD, "table", "resp_id", "event_idx", "event_type", "fields")
     )
     log.require_same_schema(fields, list(writers))
-    # One per shard at most, as the layouts did not change.
-    layouts = [r.fields for r in fields.select("fields").distinct().limit(shape.MAX_PLANNED_LAYOUTS + 1).collect()]
-    stops = latest.withColumnRenamed("latest", "stop")
+    stops = latest.select(*SHARD, F.col("latest").alias("stop"))
     read, after = cursor.bounded_read(ahead, table, stops, active)
 
-    rows = log.match_table(begin.unionByName(read, allowMissingColumns=True), table)
-    laid = log.require_layout(log.layout_as_of(rows))
+    rows = log.match_table(read.filter(F.col("event_type") == log.ROW), table)
+    laid = log.require_layout(log.layout_as_of(rows.unionByName(fields, allowMissingColumns=True)))
     changes = log.unnest_row_changes(laid).select(
         F.lit(keyspace).alias("keyspace"),
         F.lit(table).alias("table"),
         "shard",
-        pack_seq(F.col("resp_id"), F.col("event_idx"), F.col("change_idx")).alias("seq"),
+        place(generation, F.col("resp_id"), F.col("event_idx"), F.col("change_idx")).alias("seq"),
         "layout",
         "before",
         "after",
     )
-    typed = shape.write_rows(changes, writers, layouts)
-    moved = after.select(
-        "keyspace",
+    typed = shape.write_rows(changes, writers)
+    moved = after.join(_noted_layouts(fields), SHARD, "left").select(
+        *SHARD,
         F.lit(table).alias("table"),
-        "shard",
         "position",
         F.to_json("last_pk").alias("last_pk"),
         "seq",
+        F.lit(generation).cast("bigint").alias("generation"),
+        "layouts",
     )
     # Shards with nothing to read keep their cursor.
-    kept = cursors.join(moved.select("keyspace", "shard"), ["keyspace", "shard"], "left_anti")
-    return shape.shape_changes(typed, pk, list(writers)), moved.unionByName(
-        kept.select(moved.columns)
+    kept = cursors.join(moved.select(*SHARD), SHARD, "left_anti")
+    return shape.shape_changes(typed, pk, list(writers)), moved.unionByName(kept.select(moved.columns))
+
+
+def copied_records(
+    snapshot: DataFrame, records: DataFrame, keyspace: str, table: str, columns: Sequence[str], generation: int
+) -> DataFrame:
+    """The snapshot as the first rows of a generation, typed like ``records``."""
+    row = records.schema["row"].dataType
+    typed = snapshot.select(
+        F.col("shard") if "shard" in snapshot.columns else F.lit("-").alias("shard"),
+        *[F.col(c).cast(row[c].dataType).alias(c) for c in columns],
+    )
+    copied = shape.snapshot_records(typed, columns).withColumns(
+        {"seq": place(generation, -1, 0, 0), "keyspace": F.lit(keyspace), "table": F.lit(table)}
     )
+    return copied.withColumn("row", F.col("row").cast(row)).select(records.columns)
 
 
 def sync(
@@ -126,46 +163,101 @@ def sync(
     run: str,
     state_text: str = "",
     starts_text: str | None = None,
+    snapshots: Snapshots | None = None,
+    purged: DataFrame | None = None,
+    shard_names: str = "",
     **options,
 ) -> str:
     """Sync every selected table; returns the new state as JSON text.
 
-    ``selection`` has ``keyspace, table, column, included``. Records go to
-    ``out_dir/records/<keyspace>/<table>/run=<run>``, the state to
-    ``out_dir/state/run=<run>`` after all of them. Tables are taken one after
-    another, all shards of a table at once.
+    ``selection`` has ``keyspace, table, column, included``. ``snapshots(keyspace, table)``
+    gives a table's rows as they are now, with its columns by name and ``shard``, or null.
+    ``purged`` has ``keyspace, shard, purged_upto``, the last response that was removed.
+    ``shard_names`` is a comma list of the shards to read; empty means all. A generation is
+    numbered by the milliseconds at which its sync began, so that a copy outranks all that an
+    earlier sync applied, even if its state is lost.
+
+    Records go to ``out_dir/records/<keyspace>/<table>/run=<run>``, what became of each
+    cursor to ``out_dir/report/run=<run>``, the state to ``out_dir/state/run=<run>`` after
+    each table. Tables are taken one after another, all shards of a table at once.
     """
-    spark = events.sparkSession
+    spark, opened = events.sparkSession, int(time.time() * 1000)
+    shards = cat.check_shards(shard_names, shards)
     chosen = selection.filter(F.col("included"))
     tables = settle(
         shape.select_objects(cat.drop_internal_tables(catalog), chosen, ["keyspace", "table", "column"])
     )
-    picked = tables.select("keyspace", "table").distinct()
-    cursors = settle(
-        state.merge_state(
-            state.state_from_json(spark, state_text),
-            picked,
-            shards,
-            state.starting_positions(spark, starts_text),
-        ).drop("start_ignored")
+    cursors = state.merge_state(
+        state.state_from_json(spark, state_text),
+        tables.select("keyspace", "table").distinct(),
+        shards,
+        state.starting_positions(spark, starts_text),
+    ).drop("start_ignored")
+    state.require_state(tables.select("keyspace", "table").distinct(), cursors)
+    if purged is not None:
+        cursors = cursor.expired_log_reset(cursors.drop("error_code"), purged)
+    else:
+        cursors = cursors.withColumn("truncate", F.lit(False))
+    cursors = settle(cursors)
+    fresh = {(r["keyspace"], r["table"]) for r in shape.truncate_gate(cursors).filter("truncate").collect()}
+    lost = {(r["keyspace"], r["table"]) for r in cursors.filter("truncate").select("keyspace", "table").distinct().collect()}
+    # Peeked once, before any snapshot is read.
+    latest = settle(
+        cursor.positions(events)
+        .filter(F.coalesce(F.col("position"), F.lit("")) != "")
+        .groupBy(*SHARD)
+        .agg(F.max_by("position", "seq").alias("latest"), F.max("seq").alias("latest_seq"))
     )
-    fresh = shape.truncate_gate(cursors)
-
     # The catalog's own size, not the data's: one row per selected column.
     described: dict[tuple[str, str], list[dict]] = {}
     for r in cat.describe_columns(tables).orderBy("keyspace", "table", "ordinal").collect():
         described.setdefault((r["keyspace"], r["table"]), []).append(r.asDict())
-    truncate = {(r["keyspace"], r["table"]) for r in fresh.filter("truncate").collect()}
 
-    done = cursors
+    before, done, text = cursors, cursors.drop("truncate"), state_text
     for (keyspace, table), columns in described.items():
+        names = [c["column"] for c in columns]
         of_table = (F.col("keyspace") == keyspace) & (F.col("table") == table)
-        records, moved = table_records(
-            events, columns, keyspace, table, [c["column"] for c in columns],
-            cursors.filter(of_table), **options,
-        )
-        if (keyspace, table) in truncate:
-            records = sinks.emit_truncate(records, keyspace=keyspace, table=table)
+        own = done.filter(of_table).join(shards.select(*SHARD), SHARD, "left_semi").select(*CURSORS)
+        generation = own.agg(F.max("generation")).first()[0] or 0
+
+        def read(cursors: DataFrame, generation: int) -> tuple[DataFrame, DataFrame]:
+            return table_records(events, columns, keyspace, table, names, cursors, latest, generation, **options)
+
+        def copy(generation: int) -> tuple[DataFrame, DataFrame]:
+            """The snapshot, and cursors at the positions peeked before it."""
+            at = own.select(*SHARD, "table").join(latest, SHARD, "left").select(
+                *SHARD,
+                "table",
+                F.coalesce("latest", F.lit("")).alias("position"),
+                F.lit(None).cast("string").alias("last_pk"),
+                F.col("latest_seq").alias("seq"),
+                F.lit(generation).cast("bigint").alias("generation"),
+                F.lit(None).cast("string").alias("layouts"),
+            )
+            records, moved = read(at, generation)  # nothing yet: the log begins where it ends
+            snapshot = snapshots(keyspace, table)
+            return copied_records(snapshot, records, keyspace, table, names, generation), moved
+
+        opening = max(generation + 1, opened)
+        can_copy = snapshots is not None and snapshots(keyspace, table) is not None
+        if (keyspace, table) in lost and not can_copy:
+            raise RuntimeError(f"the log of {keyspace}.{table} was removed before it was read: a snapshot is needed")
+        new = (keyspace, table) in fresh or (keyspace, table) in lost
+        if new and can_copy:
+            records, moved = copy(opening)
+        else:
+            try:
+                records, moved = read(own, opening if new else generation)
+            except log.LayoutChanged:
+                if not can_copy:
+                    raise
+                new = True
+                records, moved = copy(opening)
+        if new:
+            records = sinks.emit_truncate(records, (opening, -1, -1, -1), keyspace=keyspace, table=table)
         sinks.write_records(records, f"{out_dir}/records/{keyspace}/{table}/run={run}", "overwrite")
-        done = settle(done.filter(~of_table).drop("error_code").unionByName(moved, allowMissingColumns=True))
-    return state.write_checkpoint(done, f"{out_dir}/state/run={run}")
+        others = done.join(moved.select(*SHARD, "table"), [*SHARD, "table"], "left_anti")
+        done = settle(others.unionByName(moved, allowMissingColumns=True))
+        text = state.write_checkpoint(done, f"{out_dir}/state/run={run}")
+    sinks.sync_outcome(before, done).coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/report/run={run}")
+    return text

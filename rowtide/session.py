@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -35,12 +36,15 @@ _MADE: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Read from ``spark.checkpoint.dir``; only a session without it (a local test)
-    gets one of its own.
+    Read from ``spark.checkpoint.dir``. Only a session on one machine (a local test) gets
+    one of its own if that is unset; on a cluster it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
     app = spark.sparkContext.applicationId
     if app not in _MADE:
         _MADE[app] = tempfile.mkdtemp(prefix="rowtide-", dir="/tmp")

@@ -121,7 +121,7 @@ def check_shards(configured: str, shards: DataFrame) -> DataFrame:
     wanted = shards.sparkSession.createDataFrame([(s,) for s in named], "shard string")
     unknown = wanted.join(shards, "shard", "left_anti").limit(1).collect()
     if unknown:
-        raise ValueError(f"shard {unknown[0].shard} does not exist on the source")
+        raise ValueError(f"no such shard: {unknown[0].shard}")
     return shards.join(wanted, "shard", "left_semi")
 
 

@@ -10,12 +10,12 @@ A log row is one stream event:
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rowtide.operators.joins import small_enough
-from rowtide.operators.running import SPAN, carry_forward
 
 # The event types that carry meaning; all others are ignored.
 FIELD, ROW, VGTID, LASTPK, COPY_COMPLETED = "FIELD", "ROW", "VGTID", "LASTPK", "COPY_COMPLETED"
@@ -157,69 +157,49 @@ def peek_latest(events: DataFrame) -> DataFrame:
 
 # --- row layouts -------------------------------------------------------------
 
-MAX_VERSIONS = 2_000
+def _versions(fields: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``keys``, ``name`` (a struct of the list) and the places from and to which it is in force.
 
+    Lists that repeat the one before are one version, so there are as many rows as layout
+    changes. The window sees the FIELD events of one table in one shard.
+    """
+    at = F.struct(*ORDER)
+    log = W.partitionBy(*keys).orderBy(*ORDER)
+    changed = fields.withColumn("__old", F.lag("fields").over(log)).filter(~F.col("__old").eqNullSafe(F.col("fields")))
+    return changed.select(
+        *[F.col(k).alias(f"__{name}_{k}") for k in keys],
+        F.struct("fields").alias(name),
+        at.alias(f"{name}_from"),
+        F.lead(at).over(log).alias(f"{name}_to"),
+    )
 
-def layout_as_of(events: DataFrame, span: int = SPAN, max_versions: int = MAX_VERSIONS) -> DataFrame:
+
+def layout_as_of(events: DataFrame) -> DataFrame:
     """Each ROW event with ``layout``, the field list in force before it.
 
     A FIELD event sets the list for its exact table name and for its bare name.
-    A row takes the exact name's list, else the bare name's. Layouts change
-    rarely: when at most ``max_versions`` exist (counted first), they travel to
-    the rows as one small list per table. Beyond that, lists are carried forward
-    along the log, chunk by chunk.
+    A row takes the exact name's list, else the bare name's. Versions are intervals of
+    the log that rows are joined with by table; there are few, so Spark broadcasts them,
+    and beyond that splits a hot table's rows.
     """
-    place = ["keyspace", "shard"]
     named = events.filter(F.col("event_type").isin(FIELD, ROW)).withColumn(
         "__bare", bare_name(F.col("table"))
     )
     fields = named.filter(F.col("event_type") == FIELD)
-    if small_enough(fields.select("resp_id"), max_versions):
-        return _layout_by_list(named, fields, place)
-
-    is_field = F.col("event_type") == FIELD
-    version = F.when(is_field, F.struct("fields"))
-    filled = carry_forward(named, [*place, "__bare"], ORDER, {"__by_bare": version}, span)
-    filled = carry_forward(filled, [*place, "table"], ORDER, {"__by_exact": version}, span)
-    rows = filled.filter(F.col("event_type") == ROW)
-    return _pick_layout(
-        rows,
-        F.when(F.col("table") == F.col("__bare"), F.col("__by_bare.fields")).otherwise(
-            F.col("__by_exact.fields")
-        ),
-        F.col("__by_bare.fields"),
-    ).drop("__bare", "__by_bare", "__by_exact")
-
-
-def _pick_layout(rows: DataFrame, exact: Column, bare: Column) -> DataFrame:
-    return rows.withColumn(
-        "layout", F.when(F.size(exact) > 0, exact).when(F.size(bare) > 0, bare)
-    )
-
-
-def _layout_by_list(named: DataFrame, fields: DataFrame, place: list[str]) -> DataFrame:
-    # At most MAX_VERSIONS entries over all tables: counted by the caller.
-    versions = fields.groupBy(*place, "__bare").agg(
-        F.array_sort(F.collect_list(F.struct(*ORDER, "table", "fields"))).alias("__versions")
-    )
-    rows = named.filter(F.col("event_type") == ROW).join(
-        F.broadcast(versions), [*place, "__bare"], "left"
-    )
-    seen = F.filter(
-        F.col("__versions"),
-        lambda v: (v["resp_id"] < F.col("resp_id"))
-        | ((v["resp_id"] == F.col("resp_id")) & (v["event_idx"] < F.col("event_idx"))),
+    rows = named.filter(F.col("event_type") == ROW)
+    for keys, name in ((["keyspace", "shard", "__bare"], "__by_bare"), (["keyspace", "shard", "table"], "__by_exact")):
+        versions = _versions(fields, keys, name)
+        at = F.struct(*ORDER)
+        inside = (at > F.col(f"{name}_from")) & F.coalesce(at <= F.col(f"{name}_to"), F.lit(True))
+        same = [F.col(k) == F.col(f"__{name}_{k}") for k in keys]
+        rows = rows.join(versions, reduce(lambda a, b: a & b, [*same, inside]), "left").drop(
+            *[f"__{name}_{k}" for k in keys], f"{name}_from", f"{name}_to"
+        )
+    exact = F.when(F.col("table") == F.col("__bare"), F.col("__by_bare.fields")).otherwise(F.col("__by_exact.fields"))
+    bare = F.col("__by_bare.fields")
+    return rows.withColumn("layout", F.when(F.size(exact) > 0, exact).when(F.size(bare) > 0, bare)).drop(
+        "__bare", "__by_bare", "__by_exact"
     )
-    rows = rows.withColumn("__seen", seen)
-    # A bare row name is the key that every version of the table sets.
-    exact = F.try_element_at(
-        F.filter(
-            "__seen", lambda v: (F.col("table") == F.col("__bare")) | (v["table"] == F.col("table"))
-        ),
-        F.lit(-1),
-    )["fields"]
-    bare = F.try_element_at(F.col("__seen"), F.lit(-1))["fields"]
-    return _pick_layout(rows, exact, bare).drop("__bare", "__versions", "__seen")
 
 
 def require_layout(rows: DataFrame) -> DataFrame:
@@ -232,6 +212,10 @@ def require_layout(rows: DataFrame) -> DataFrame:
     )
 
 
+class LayoutChanged(RuntimeError):
+    """The log goes on with another field list; only a full re-copy mends the table."""
+
+
 def schema_change_guard(events: DataFrame, selected: Sequence[str] | None = None) -> DataFrame:
     """Per table and shard, whether the layout changed inside the range read.
 
@@ -269,6 +253,6 @@ def require_same_schema(events: DataFrame, selected: Sequence[str] | None = None
         .collect()
     )
     if bad:
-        raise RuntimeError(
+        raise LayoutChanged(
             f"layout of table {bad[0].keyspace}.{bad[0].table} changed: run a full re-copy"
         )

@@ -211,7 +211,7 @@ def test_report(spark):
 def test_uneven_update(spark):
     frame = spark.createDataFrame([(1, 1), (2, 1), (0, 3)], "n_before int, n_after int")
     got = [r.shape_error for r in shape.check_shapes(frame).collect()]
-    assert got[0] is None and "2 rows before, 1 after" in got[1] and got[2] is None
+    assert got[0] is None and "2 before, 1 after" in got[1] and got[2] is None
 
 
 def test_flagship_numbers(spark):

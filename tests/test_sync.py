@@ -6,8 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rowtide.operators import apply
-from rowtide.plans.sync import sync
+from rowtide.operators import apply, cursor
+from rowtide.plans.sync import ahead_of, sync
+from rowtide.session import shared_dir
 
 KEY = "struct<fields: array<string>, values: array<string>>"
 IMAGE = "array<binary>"
@@ -121,3 +122,113 @@ def test_schema_change_fails_without_a_trace(spark, setting, tmp_path):
     with pytest.raises(RuntimeError, match="full re-copy"):
         sync(source.frame(spark), *setting, out, "1", text)
     assert {r.run for r in written(spark, out).select("run").distinct().collect()} == {0}
+
+
+def snapshot_of(spark, source):
+    """The source's rows as they are now, as a snapshot gives them."""
+    rows = [(f"{'-80' if k % 2 else '80-'}", k, r["kind"], r["qty"], r["flag"]) for k, r in source.rows.items()]
+    frame = spark.createDataFrame(rows, "shard string, id bigint, kind string, qty int, flag boolean")
+    return lambda keyspace, table: frame
+
+
+def started(*rows):
+    source = Source()
+    for shard in ("-80", "80-"):
+        source.response(shard, fields=True)
+    for key in rows:
+        source.change(key, {"id": key, "kind": "a", "qty": 1, "flag": True})
+    return source
+
+
+def test_layout_change_is_copied_anew(spark, setting, tmp_path):
+    source, out = started(1, 2), str(tmp_path / "out")
+    text = sync(source.frame(spark), *setting, out, "0")
+    source.fields.insert(1, "extra")
+    source.response("-80", fields=True)
+    source.change(3, {"id": 3, "kind": "b", "qty": 2, "flag": False})
+    source.change(1, None)
+    text = sync(source.frame(spark), *setting, out, "1", text, snapshots=snapshot_of(spark, source))
+    assert table(spark, out) == expected(source) and 1 not in table(spark, out)
+    # From there on the log goes on with the new layout.
+    source.change(5, {"id": 5, "kind": "a", "qty": 5, "flag": True})
+    source.change(3, None)
+    sync(source.frame(spark), *setting, out, "2", text)
+    assert table(spark, out) == expected(source)
+
+
+def test_new_table_from_a_snapshot(spark, setting, tmp_path):
+    source, out = started(1, 2, 3), str(tmp_path / "out")
+    source.log = [e for e in source.log if e[2] > 1]  # the log is younger than the table
+    for shard in ("-80", "80-"):
+        source.response(shard, fields=True)
+    text = sync(source.frame(spark), *setting, out, "0", snapshots=snapshot_of(spark, source))
+    assert table(spark, out) == expected(source)
+    source.change(2, None)
+    sync(source.frame(spark), *setting, out, "1", text, snapshots=snapshot_of(spark, source))
+    assert table(spark, out) == expected(source)
+
+
+def test_a_copy_mends_what_a_delete_left(spark, setting, tmp_path):
+    source, out = started(1, 2), str(tmp_path / "out")
+    gone = source.rows[1]
+    source.change(1, None)
+    sync(source.frame(spark), *setting, out, "0")
+    source.rows[1] = gone  # the log was wrong: the row is there
+    sync(source.frame(spark), *setting, out, "1", snapshots=snapshot_of(spark, source))
+    assert table(spark, out) == expected(source)
+
+
+def test_removed_log(spark, setting, tmp_path):
+    source, out = started(1, 2), str(tmp_path / "out")
+    text = sync(source.frame(spark), *setting, out, "0")
+    source.change(1, None)
+    source.change(2, {"id": 2, "kind": "b", "qty": 9, "flag": False})
+    source.log = [e for e in source.log if not (e[1] == "-80" and e[2] > 1 and e[3] == 0)]
+    purged = spark.createDataFrame([("shop", "-80", 99)], "keyspace string, shard string, purged_upto bigint")
+    with pytest.raises(RuntimeError, match="a snapshot is needed"):
+        sync(source.frame(spark), *setting, out, "1", text, purged=purged)
+    sync(source.frame(spark), *setting, out, "1", text, purged=purged, snapshots=snapshot_of(spark, source))
+    assert table(spark, out) == expected(source)
+
+
+def test_report_and_chosen_shards(spark, setting, tmp_path):
+    source, out = started(1, 2), str(tmp_path / "out")
+    text = sync(source.frame(spark), *setting, out, "0", shard_names="80-")
+    assert set(table(spark, out)) == {2}
+    report = {r.shard: r.outcome for r in spark.read.parquet(f"{out}/report/run=0").collect()}
+    assert report == {"80-": "PROGRESS"}
+    sync(source.frame(spark), *setting, out, "1", text, shard_names="80-")
+    assert {r.outcome for r in spark.read.parquet(f"{out}/report/run=1").collect()} == {"CURRENT"}
+    with pytest.raises(ValueError, match="no such shard"):
+        sync(source.frame(spark), *setting, out, "2", text, shard_names="c0-")
+
+
+def test_the_least_cursor_reaches_the_files(spark, setting, tmp_path):
+    source = started(1, 2, 3)
+    source.frame(spark).write.parquet(str(tmp_path / "log"))
+    events = spark.read.parquet(str(tmp_path / "log"))
+    cursors = spark.createDataFrame([("shop", "-80", 2), ("shop", "80-", 1)], "keyspace string, shard string, seq bigint")
+    plan = ahead_of(events, "shop", cursors)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(resp_id,1)" in plan and "EqualTo(keyspace,shop)" in plan
+
+
+def test_the_end_of_another_copy(spark):
+    pos = lambda r: [("shop", "-", f"p{r}", [])]
+    events = [("shop", "-", r, 0, "ROW", "shop.items", None, [(None, [bytearray(b"1")])], None, None, None) for r in (1, 3, 5)]
+    events += [("shop", "-", r, 1, "VGTID", None, None, None, pos(r), None, None) for r in (1, 3, 5)]
+    events += [("shop", "-", 3, 2, "COPY_COMPLETED", "shop.other", None, None, None, None, None)]
+    stops = spark.createDataFrame([("shop", "-", "p5")], "keyspace string, shard string, stop string")
+    read, _ = cursor.bounded_read(spark.createDataFrame(events, EVENTS), "items", stops)
+    assert sorted(r.resp_id for r in read.filter("event_type = 'ROW'").collect()) == [1, 3, 5]
+
+
+def test_without_a_shared_folder_a_cluster_is_refused(monkeypatch):
+    class Context:
+        master, applicationId = "spark://host:7077", "a"
+
+    class Session:
+        sparkContext = Context
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session)
