@@ -89,10 +89,6 @@ def map_type(column_type: Column, tinyint1_as_bool: bool = True, compat: bool =
     return chain.when(t.isNotNull(), F.lit(STRING))
 
 
-def is_geometry(column_type: Column) -> Column:
-    return _starts(F.lower(column_type), *GEOMETRY_PREFIXES)
-
-
 def label_kind(column_type: Column) -> Column:
     """``enum``, ``set`` or null."""
     t = F.lower(F.trim(column_type))

@@ -326,6 +326,33 @@ def copy_order(spark, sf_dir):
     return sinks.copy_order({t: d.read(spark, sf_dir, t) for t in GIVEN})
 
 
+@query("""WITH n AS (
+  SELECT o_orderkey, o_orderkey % 3 AS n_before, o_custkey % 3 AS n_after FROM orders)
+SELECT o_orderkey, CASE WHEN n_before > 0 AND n_after > 0 AND (n_before <> 1 OR n_after <> 1)
+  THEN 'an update pairs one row with one: ' || n_before || ' before, ' || n_after || ' after' END AS shape_error
+FROM n""")
+def uneven_updates(spark, sf_dir):
+    """C11: updates whose sides don't pair up are reported in a column."""
+    counted = d.read(spark, sf_dir, "orders").select(
+        "o_orderkey", (F.col("o_orderkey") % 3).alias("n_before"), (F.col("o_custkey") % 3).alias("n_after")
+    )
+    return shape.check_shapes(counted).select("o_orderkey", "shape_error")
+
+
+@query("""SELECT 'none' AS "table", CAST(0 AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS filled
+UNION ALL SELECT 'nulls', count(*), 0 FROM orders""")
+def empty_tables(spark, sf_dir):
+    """A table without rows, and one with a column that is all null, are written and read back."""
+    root = _scratch(spark, "empty")
+    orders = d.read(spark, sf_dir, "orders").select(*COLUMNS)
+    sinks.write_table(orders.filter("o_orderkey < 0"), f"{root}/none")
+    sinks.write_table(orders.withColumn("o_orderstatus", F.lit(None).cast("string")), f"{root}/nulls")
+    count = lambda name: spark.read.parquet(f"{root}/{name}").agg(
+        F.lit(name).alias("table"), F.count("*").alias("row_count"), F.count("o_orderstatus").alias("filled")
+    )
+    return count("none").unionByName(count("nulls"))
+
+
 # --- whole syncs ------------------------------------------------------------------------
 
 ORDER_TYPES = ("bigint", "varchar(1)", "varchar(20)")
