@@ -41,13 +41,33 @@ END_ID = 1
 #: Ranks are counted in groups of about this many pieces.
 RANK_GROUP = 500_000
 #: Words whose tokens a worker keeps; it starts anew beyond.
-CACHE_WORDS = 600_000
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_KEPT: dict[str, tuple[object, dict[str, bytes]]] = {}
+CACHE_WORDS = 1_200_000
+#: Signs that are words of their own to the tokenizer where they end a word after a letter or digit.
+_TAIL = re.compile(rb"(.*[A-Za-z0-9])([.,!?:;#*$%&|]+)", re.DOTALL)
+_KEPT: dict[str, tuple[object, dict[bytes, bytes]]] = {}
+
+
+def _learn(tokenizer, known: dict[bytes, bytes], new: list[bytes]) -> None:
+    """Adds the ids of these words; a word with signs behind it is put together from both."""
+    parts = {w: m.groups() for w in new if (m := _TAIL.fullmatch(w))}
+    whole = dict.fromkeys(w for w in new if w not in parts)
+    whole.update(dict.fromkeys(x for pair in parts.values() for x in pair))
+    ask = [w for w in whole if w not in known]
+    for at in range(0, len(ask), 20_000):
+        part = ask[at : at + 20_000]
+        texts = [w.decode("utf-8", "surrogatepass") for w in part]
+        for w, e in zip(part, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+            known[w] = np.asarray(e.ids, "<u4").tobytes()
+    for w, (stem, signs) in parts.items():
+        known[w] = known[stem] + known[signs]
 
 
 def _token_bytes(path: str, texts: list[str]) -> Iterator[bytes]:
-    """The ids of each text as little-endian 32-bit numbers; every distinct word is encoded once."""
+    """The ids of each text as little-endian 32-bit numbers; every distinct word is encoded once.
+
+    The tokenizer folds case, so A-Z is folded first, except where a text may hold the name
+    of a special token.
+    """
     if path not in _KEPT:
         from tokenizers import Tokenizer
 
@@ -57,15 +77,14 @@ def _token_bytes(path: str, texts: list[str]) -> Iterator[bytes]:
         _KEPT[path] = (tokenizer, {})
     tokenizer, known = _KEPT[path]
     for text in texts:
-        found = _WORD.findall(text)
+        raw = text.encode("utf-8", "surrogatepass")
+        found = (raw if b"<|" in raw else raw.lower()).split()
         new = [w for w in dict.fromkeys(found) if w not in known]
-        if len(known) + len(new) > CACHE_WORDS:
+        if len(known) + 2 * len(new) > CACHE_WORDS:
             known.clear()
             new = list(dict.fromkeys(found))
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for w, e in zip(part, tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                known[w] = np.asarray(e.ids, "<u4").tobytes()
+        if new:
+            _learn(tokenizer, known, new)
         yield b"".join(map(known.__getitem__, found))
 
 
