@@ -10,6 +10,7 @@ import struct
 from decimal import Decimal
 from math import isfinite
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -90,9 +91,26 @@ def geojson_text(raw: bytes | None) -> str | None:
     return _object(code, text)
 
 
+# A little-endian point behind its SRID: byte order, code, two numbers.
+_POINT_HEAD, _POINT_BYTES = b"\x01\x01\x00\x00\x00", SRID_BYTES + 5 + 16
+
+
+def geojson_texts(values: list[bytes | None]) -> list[str | None]:
+    """GeoJSON of a batch: plain points are read from one buffer, other shapes one by one."""
+    plain = [
+        v is not None and len(v) == _POINT_BYTES and v[SRID_BYTES : SRID_BYTES + 5] == _POINT_HEAD for v in values
+    ]
+    flat = np.frombuffer(b"".join([v[-16:] for v, p in zip(values, plain) if p]), "<f8").tolist()
+    numbers = iter([number_text(x) for x in flat])
+    return [
+        f'{{"type":"Point","coordinates":[{next(numbers)},{next(numbers)}]}}' if p else geojson_text(v)
+        for v, p in zip(values, plain)
+    ]
+
+
 @F.pandas_udf(StringType())
 def _geojson(raw: pd.Series) -> pd.Series:
-    return pd.Series([geojson_text(value) for value in raw], dtype=object)
+    return pd.Series(geojson_texts(raw.tolist()), dtype=object)
 
 
 def geometry_to_geojson(raw: Column) -> Column:
