@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 #: How the byte-level tokenizer parts a text into words (a fixed value of the format).
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
 CACHE_PAIRS = 1_000_000
 
 
@@ -55,17 +55,21 @@ class TrieEncoder:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.rank: dict[tuple[int, int], int] = {}
         self.merged: dict[tuple[int, int], int] = {}
+        self.made_of: dict[int, tuple[int, int]] = {}
+        self.edges: tuple[dict, dict] = ({}, {})
         for n, (a, b) in enumerate(pairs):
             pair = (self.token[raw(a)], self.token[raw(b)])
             self.rank.setdefault(pair, n)
             self.merged.setdefault(pair, self.token[raw(a) + raw(b)])
+            self.made_of.setdefault(self.merged[pair], pair)
         self.longest = max(map(len, self.token))
         self.words = regex.compile(WORDS)
         specials = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self.split = regex.compile(f"({specials})") if specials else None
         self.stands_memo: dict[tuple[int, int], bool] = {}
         self.whole_memo: dict[int, bool] = {}
-        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
+        #: Of each word: its ids, these as text, and their bytes.
+        self.known: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """The encoding by its definition: the pair of lowest rank is merged first."""
@@ -86,12 +90,43 @@ class TrieEncoder:
             ids = out
         return ids
 
+    def _edge(self, token: int, side: int) -> tuple[list[int], list[int]]:
+        """The pieces that lie at one end of a token while it is built, last first, and the rank at which each goes."""
+        known = self.edges[side].get(token)
+        if known is None:
+            pieces, gone = [token], [1 << 30]
+            while (made := self.made_of.get(pieces[-1])) is not None:
+                gone.append(self.rank[made])
+                pieces.append(made[side])
+            known = self.edges[side][token] = (pieces, gone)
+        return known
+
     def _stands(self, a: int, b: int) -> bool:
+        """Whether merging the joint bytes of two tokens gives them back.
+
+        Each is built by its own merges, in order of rank, unless a merge across the border
+        comes first: one of the last piece of ``a`` with the first of ``b``, while both are
+        there, whose rank is below those of the merges that take them away. (Of two equal
+        merges the left one comes first.)
+        """
         known = self.stands_memo.get((a, b))
         if known is None:
+            (left, left_gone), (right, right_gone) = self._edge(a, 1), self._edge(b, 0)
+            i, j, known, rank = len(left) - 1, len(right) - 1, True, self.rank
+            while True:
+                r = rank.get((left[i], right[j]))
+                if r is not None and r < left_gone[i] and r <= right_gone[j]:
+                    known = False
+                    break
+                if i == j == 0:
+                    break
+                if left_gone[i] <= right_gone[j]:
+                    i -= 1
+                else:
+                    j -= 1
             if len(self.stands_memo) > CACHE_PAIRS:
                 self.stands_memo.clear()
-            known = self.stands_memo[(a, b)] = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+            self.stands_memo[(a, b)] = known
         return known
 
     def _whole(self, a: int) -> bool:
@@ -147,13 +182,16 @@ class TrieEncoder:
             self.known.clear()
             new = {w for parts in parted for w in parts}
         for s in new & self.special.keys():
-            self.known[s] = ((self.special[s],), str(self.special[s]))
+            self.known[s] = ((self.special[s],), str(self.special[s]), s.encode())
             new.discard(s)
         for word, ids in self.encode_words(list(new)):
-            self.known[word] = (ids, ",".join(map(str, ids)))
+            self.known[word] = (ids, ",".join(map(str, ids)), self.decode_bytes(ids))
+
+    def decode_bytes(self, ids) -> bytes:
+        return b"".join([self.bytes_of[i] for i in ids])
 
     def decode(self, ids) -> str:
-        return b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")
+        return self.decode_bytes(ids).decode("utf-8", "replace")
 
 
 _KEPT: dict[str, TrieEncoder] = {}
@@ -217,10 +255,10 @@ def round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
             known = enc.known
             for words in parted:
                 hits = [known[w] for w in words]
-                ids = [i for h in hits for i in h[0]]
                 listed = ",".join([h[1] for h in hits])
-                decoded = enc.decode(ids)
-                out.append((len(ids), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
+                # Decoding joins the bytes of the ids; those of a word's ids were joined once.
+                decoded = b"".join([h[2] for h in hits]).decode("utf-8", "replace")
+                out.append((sum([len(h[0]) for h in hits]), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
         return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     own = docs.select(F.col(doc_id).alias("doc_id"), run(F.coalesce(F.col(text), F.lit(""))).alias("r"))

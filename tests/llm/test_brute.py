@@ -160,6 +160,16 @@ def test_bpe_equals_the_library(spark, texts):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
+def test_two_tokens_stand_as_the_merges_say():
+    enc = bpe.encoder(tokenizer_file("byte_bpe_50k.json"))
+    rng = random.Random(2)
+    ids = [i for i in rng.sample(range(50_256), 1200) if enc._whole(i)]
+    ids += [enc.token[t] for t in (b"a", b"aa", b" a", b"th", b"he", b"the", b" the", b"in", b"ing", b"-", b"--", b"----")]
+    for _ in range(4000):
+        a, b = rng.choice(ids), rng.choice(ids)
+        assert enc._stands(a, b) == (enc.merge(enc.bytes_of[a] + enc.bytes_of[b]) == [a, b])
+
+
 def test_packing(spark, texts):
     t = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
     by, total, places = {}, 0, {}
@@ -313,3 +323,12 @@ def test_surrogates_stay_distinct(spark):
     got = pii.surrogates(entities, "k").collect()
     assert len({r.surrogate for r in got}) == len(got) == 103
     assert not {r.surrogate for r in got} & {r.value for r in got}
+
+
+def test_line_dedup_twin(spark):
+    import sys
+
+    sys.path.insert(0, "tools")
+    from check_twins import compare, connect
+
+    assert compare(spark, connect(SF), SF, "op1_line_dedup") == ""
