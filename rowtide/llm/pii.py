@@ -44,11 +44,14 @@ KINDS = {
     "ip": rf"(?<![\p{{L}}\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{L}}\p{{N}}]|\.\d)",
     "card": r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}+])\+?\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\d)|(?<![\p{L}\p{N}+])\+\d[\d .-]{7,14}\d(?!\d)",
-    "given_m": rf"(?<=\b(?:{_MALE})\.? ){_NAME}(?= {_NAME})",
-    "given_f": rf"(?<=\b(?:{_FEMALE})\.? ){_NAME}(?= {_NAME})",
-    "family": rf"(?<=\b(?:{_MALE}|{_FEMALE})\.? (?:{_NAME} )?){_NAME}",
+    # Looked for backwards only where a capital follows a space.
+    "given_m": rf"(?<= )(?=\p{{Lu}})(?<=\b(?:{_MALE})\.? ){_NAME}(?= {_NAME})",
+    "given_f": rf"(?<= )(?=\p{{Lu}})(?<=\b(?:{_FEMALE})\.? ){_NAME}(?= {_NAME})",
+    "family": rf"(?<= )(?=\p{{Lu}})(?<=\b(?:{_MALE}|{_FEMALE})\.? (?:{_NAME} )?){_NAME}",
 }
 ANY = "|".join(f"({p})" for p in KINDS.values())
+NUMBERS = "|".join(f"(?:{KINDS[k]})" for k in ("email", "ip", "card", "phone"))
+FORMS = rf"\b(?:{_MALE}|{_FEMALE})\.? \p{{Lu}}"
 
 _SMALL, _CAPITAL, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 #: (first, last code point, letters to draw from), by script.
@@ -67,16 +70,26 @@ _SYLLABLES = {
 
 
 def entities_of(text: Column) -> Column:
-    """The values of a text in their order, as (kind, value)."""
+    """The values of a text in their order, as (kind, value).
+
+    A value tells its kind, but for names: only texts with forms of address are searched
+    group by group.
+    """
     groups = [F.regexp_extract_all(text, F.lit(ANY), F.lit(i + 1)) for i in range(len(KINDS))]
     zipped = F.arrays_zip(*[g.alias(k) for g, k in zip(groups, KINDS, strict=True)])
-
-    def first(x: Column) -> Column:
-        return F.coalesce(
-            *[F.when(x[k] != "", F.struct(F.lit(k).alias("kind"), x[k].alias("value"))) for k in KINDS]
+    entity = lambda kind, value: F.struct(kind.alias("kind"), value.alias("value"))
+    grouped = F.transform(zipped, lambda x: F.coalesce(*[F.when(x[k] != "", entity(F.lit(k), x[k])) for k in KINDS]))
+
+    def kind(v: Column) -> Column:
+        return (
+            F.when(F.contains(v, F.lit("@")), "email")
+            .when(F.contains(v, F.lit("(")) | F.startswith(v, F.lit("+")), "phone")
+            .when(F.contains(v, F.lit(".")), "ip")
+            .otherwise("card")
         )
 
-    return F.transform(zipped, first)
+    plain = F.transform(F.regexp_extract_all(text, F.lit(NUMBERS), F.lit(0)), lambda v: entity(kind(v), v))
+    return F.when(text.rlike(FORMS), grouped).otherwise(plain)
 
 
 def _bytes(seed: Column, n: Column) -> Column:
@@ -192,7 +205,7 @@ def replace_personal(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key: str = "rowtide", count: str | None = None
 ) -> DataFrame:
     """``docs`` with surrogates in the text; ``count`` names a column for the number of values replaced."""
-    found = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("__t")).filter(F.col("__t").rlike(ANY))
+    found = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("__t")).filter(F.col("__t").rlike("[@0-9]") | F.col("__t").rlike(FORMS))
     found = settle(
         found.select("doc", F.xxhash64("__t").alias("version"), F.explode(F.array_distinct(entities_of(F.col("__t")))).alias("e"))
         .select("doc", "version", "e.*")
@@ -210,7 +223,7 @@ def replace_personal(
     hits = F.when(F.col("__names").isNotNull(), entities_of(F.col(f"`{text}`")))
     joined = joined.withColumn("__hits", hits)
     put = F.zip_with(
-        F.split(F.col(f"`{text}`"), ANY),
+        F.when(F.col(f"`{text}`").rlike(FORMS), F.split(F.col(f"`{text}`"), ANY)).otherwise(F.split(F.col(f"`{text}`"), NUMBERS)),
         "__hits",
         lambda gap, e: F.concat(gap, F.coalesce(F.try_element_at("__names", F.concat_ws(":", e["kind"], e["value"])), e["value"], F.lit(""))),
     )
