@@ -162,13 +162,13 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     return done.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the smallest doc_id of their component, one row of each.
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", near=near_duplicates) -> DataFrame:
+    """The rows of ``docs`` with the smallest doc_id of their component, as ``near`` tells it, one row of each.
 
     Among several texts under that id the one of least hash stays; among repeated rows any.
     """
     own = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("version"), F.col(text).alias("t"))
-    grouped = settle(near_duplicates(own, "doc", "t", ("version",)))
+    grouped = settle(near(own, "doc", "t", ("version",)))
     # A null id comes last, so that it stays only where there is no other.
     first = F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "version"))
     alone = F.when(F.col("component_id").isNull(), F.col("fp"))
