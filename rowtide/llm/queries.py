@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import ann, bpe, langid, line_dedup, lm, merkle, packing, pii, quality, secret_scan, simhash
+from rowtide.llm import ann, bpe, langid, line_dedup, lm, merkle, packing, pii, quality, secret_scan, simhash, whitening
 from rowtide.llm.common import documents, tokenizer_file
 from rowtide.plans.registry import Registry
 
@@ -66,3 +66,8 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @LLM.query(merkle.ORACLE)
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(documents(spark, sf_dir))
+
+
+@LLM.query()
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(documents(spark, sf_dir, "embeddings"))
