@@ -46,6 +46,10 @@ CLOSE = 1e-14
 FLAT = 1e-12
 #: Bytes of rows in a block.
 BLOCK_BYTES = 1 << 19
+#: Bytes of rows that one task reads in a pass.
+PART_BYTES = 1 << 26
+#: Up to this many tasks, the driver adds up what they give.
+FEW = 64
 RESULT = "component int, n long, deviation long, whitened double, explained double, identity_error double"
 
 
@@ -75,8 +79,10 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def blocks(vectors: DataFrame) -> DataFrame:
-    """The fit list: each distinct x once, many rows in a binary value."""
-    return settle(vectors.select("x").distinct().mapInArrow(_packed, "rows binary"))
+    """The fit list: each distinct x once, many rows in a binary value, in parts worth a task each."""
+    stored = settle(vectors.select("x").distinct().mapInArrow(_packed, "rows binary"))
+    size = stored.agg(F.sum(F.octet_length("rows").cast("long"))).first()[0] or 0
+    return stored.coalesce(max(stored.sparkSession.sparkContext.defaultParallelism, -(-size // PART_BYTES)))
 
 
 def _rows(batch: pa.RecordBatch, d: int) -> Iterator[np.ndarray]:
@@ -85,19 +91,19 @@ def _rows(batch: pa.RecordBatch, d: int) -> Iterator[np.ndarray]:
 
 
 def _summed(stored: DataFrame, d: int, size: int, share) -> np.ndarray:
-    """The sum over all rows of ``share(rows)``, an array of ``size`` numbers."""
+    """The sum over all rows of ``share(rows)``, an array of ``size`` numbers.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A task gives one array; they are added up in a tree, so that the driver adds few.
+    """
+
+    def run(found: Iterator) -> Iterator[np.ndarray]:
         total = np.zeros(size)
-        for batch in batches:
-            for rows in _rows(batch, d):
-                total += share(rows)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], ["i", "v"])
-
-    out = np.zeros(size)
-    for i, v in stored.mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v")).collect():  # one row per number
-        out[i] = v
-    return out
+        for row in found:
+            total += share(np.frombuffer(row[0], np.int64).reshape(-1, d))
+        yield total
+
+    parts = stored.rdd.mapPartitions(run)
+    return parts.treeReduce(np.add, depth=1 if parts.getNumPartitions() <= FEW else 3)
 
 
 def _sums(batches: Iterator[pa.RecordBatch], d: int) -> Iterator[pa.RecordBatch]:

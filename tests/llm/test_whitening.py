@@ -113,3 +113,9 @@ def test_steps_end_early_on_a_steep_spectrum(spark):
     m = drawn.standard_normal((400, 40)) * (2.0 ** -np.arange(40) * 50)
     vectors = whitening.whole_vectors(spark.createDataFrame([(i, [float(v) for v in e], *CLASH) for i, e in enumerate(m)], SCHEMA))
     assert whitening.fit(vectors, 40).steps < 30
+
+
+def test_sums_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(whitening, "FEW", 1)
+    rows = [(i, [float(i % 7), float(i % 5), 1.0 / (i + 1)]) for i in range(60)]
+    check(whitening.whiten(spark.createDataFrame([r + CLASH for r in rows], SCHEMA).repartition(5)).collect(), rows, 3)
