@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import ann, bpe, langid, line_dedup, lm, merkle, packing, pii, quality, secret_scan, simhash, whitening
+from rowtide.llm import ann, bpe, langid, line_dedup, lm, merkle, packing, pii, quality, quality_net, secret_scan, simhash, whitening
 from rowtide.llm.common import documents, tokenizer_file
 from rowtide.plans.registry import Registry
 
@@ -71,3 +71,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @LLM.query()
 def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(documents(spark, sf_dir, "embeddings"))
+
+
+@LLM.query()
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_net.rate(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
