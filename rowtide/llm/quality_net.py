@@ -10,17 +10,14 @@ index vectors of neighbouring words are, the share of words without a vector, an
 logarithm of its length. A two-layer network, trained in numpy on labelled documents, turns
 them into a probability, whose temperature is set on a fifth of the sample kept back.
 
-How it runs: a pass over the texts cuts them into blocks. Per block it writes each document
-as a bag of places in the block's word list, and for each of these words its hash, its count
-and the sum around it. Counts are summed over all blocks; words seen at least ``LEAST`` times
-have a vector (fewer say next to nothing about a word), and only their sums are added up. Each
-block gets the vectors of its own words back and pools them. So no task or machine holds the
-vocabulary, of words and sums there is one row per block and word however frequent the word
-is, and texts are neither shuffled nor read twice.
-
-The network alone is fitted on a bounded sample: the ``SAMPLE`` labelled training documents
-that come first by a hash of their id. Word statistics cover all texts, training or not, as
-they use no labels.
+How it runs: the classifier is fitted on a bounded sample, the labelled training documents
+that come first by a hash of their id, whole, as long as they are no more than ``SAMPLE`` and
+``SAMPLE_CHARS`` characters. The words found in ``LEAST`` or more of them are the words that
+it knows; so their number is bounded by the sample, not by the corpus. Their vectors are
+learnt from all texts, training or not (no labels are used): one pass adds up, in each task,
+the index vectors around each known word, whatever the words around it are, and the tasks'
+sums are added in a tree, a few at a time. A second pass pools and scores. The vectors are
+broadcast, ``4 D`` bytes a known word; texts are never shuffled.
 
 Defined cases: a null text is an empty one; a text without words has zero features and the
 score these give; repeated rows each get theirs; labels of one document that contradict each
@@ -32,11 +29,9 @@ empty table gives an empty table; further columns are left out.
 from __future__ import annotations
 
 import re
-import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -46,21 +41,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import settle
-from rowtide.session import shared_dir
 
 D = 32
 SPARKS = 2
 WINDOW = 2
 LEAST = 5
-SAMPLE = 20_000
+SAMPLE = 10_000
+SAMPLE_CHARS = 1 << 26
 HIDDEN = 24
 ROUNDS = 60
 THRESHOLD = 0.7
-#: Characters of a block, but for a longer text.
-BLOCK_CHARS = 1 << 24
+#: Characters that a task reads at once, but for a longer text.
+BLOCK_CHARS = 1 << 21
+#: Arrays that are added up in one place.
+FAN = 8
 WIDTH = 2 * D + WINDOW + 2
 _WORD = re.compile(r"\w+|[^\w\s]+")
-_PARTS = "doc_id string, held_out boolean, block string, numbers binary, word long, place int, seen long, around binary"
 
 
 def index_vectors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,172 +78,134 @@ def _alike(a: np.ndarray, b: np.ndarray, place: np.ndarray, sign: np.ndarray) ->
     return out
 
 
-def read_block(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """Of a block of texts: the words' hashes, counts and sums around them, and each text's numbers.
+@dataclass
+class Block:
+    """The words of some texts: which word stands where, the words' index vectors, and their numbers among the known ones."""
+
+    sizes: np.ndarray
+    flat: np.ndarray
+    doc: np.ndarray
+    place: np.ndarray
+    sign: np.ndarray
+    known: np.ndarray  # -1: not known
+
 
-    The numbers of a text are its word count, how alike its neighbours are, and its bag.
-    """
+def split(text: str | None) -> list[str]:
+    return _WORD.findall(text or "")
+
+
+def read_block(texts: list[str | None], words: dict[str, int]) -> Block:
     ids: defaultdict[str, int] = defaultdict()
     ids.default_factory = ids.__len__
-    found = [np.fromiter(map(ids.__getitem__, _WORD.findall(t)), np.int32) for t in texts]
+    found = [np.fromiter(map(ids.__getitem__, split(t)), np.int32) for t in texts]
     sizes = np.array([len(f) for f in found], np.int64)
-    flat, doc = np.concatenate([*found, np.zeros(0, np.int32)]), np.repeat(np.arange(len(texts)), sizes)
-    v = len(ids)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in ids), np.uint64, v)
-    place, sign = index_vectors(hashes)
-    around = np.zeros(v * D)
-    alike = np.zeros((len(texts), WINDOW))
-    for far in range(1, WINDOW + 1):
-        near = doc[far:] == doc[:-far]
-        a, b = flat[:-far][near], flat[far:][near]
-        for s in range(SPARKS):
-            around += np.bincount(a.astype(np.int64) * D + place[b, s], sign[b, s], v * D)
-            around += np.bincount(b.astype(np.int64) * D + place[a, s], sign[a, s], v * D)
-        total = np.bincount(doc[far:][near], _alike(a, b, place, sign), len(texts))
-        alike[:, far - 1] = total / (SPARKS * np.maximum(1, sizes - far))
-    # A bag: the places, as steps from one to the next, and how often.
-    keys, counts = np.unique(doc * max(1, v) + flat, return_counts=True)
-    owner, word = keys // max(1, v), keys % max(1, v)
-    cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-    numbers = []
-    for i in range(len(texts)):
-        w, c = word[cuts[i] : cuts[i + 1]], counts[cuts[i] : cuts[i + 1]]
-        head = np.array([sizes[i], *alike[i]], np.float64)
-        numbers.append(head.tobytes() + np.diff(w, prepend=0).astype(np.int32).tobytes() + c.astype(np.int32).tobytes())
-    return hashes, np.bincount(flat, minlength=v), around.reshape(v, D).astype(np.int64), numbers
-
-
-def _sparse(sums: np.ndarray) -> list[bytes]:
-    """Each row as its values other than zero with their places: short for the many rare words."""
-    row, at = np.nonzero(sums)
-    values = sums[row, at]
-    wide = np.abs(values) > 32767  # of a frequent word in a large block
-    cell = np.zeros(len(row), [("at", "u1"), ("v", "<i2")])
-    cell["at"], cell["v"] = at, np.where(wide, 0, values)
-    cuts, raw = np.searchsorted(row, np.arange(len(sums) + 1)), cell.tobytes()
-    out = [raw[3 * cuts[i] : 3 * cuts[i + 1]] for i in range(len(sums))]
-    for i in np.unique(row[wide]):
-        out[i] = sums[i].astype("<i8").tobytes()  # of a length that no list of three-byte cells has
-    return out
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in ids), np.uint64, len(ids))
+    known = np.fromiter((words.get(w, -1) for w in ids), np.int64, len(ids))
+    flat = np.concatenate([*found, np.zeros(0, np.int32)])
+    return Block(sizes, flat, np.repeat(np.arange(len(texts)), sizes), *index_vectors(hashes), known)
 
 
-def _dense(raw: bytes) -> np.ndarray:
-    if len(raw) == 8 * D:
-        return np.frombuffer(raw, "<i8").astype(np.int64)
-    cell = np.frombuffer(raw, [("at", "u1"), ("v", "<i2")])
-    out = np.zeros(D, np.int64)
-    out[cell["at"]] = cell["v"]
+def around(block: Block, n_words: int) -> np.ndarray:
+    """(known words, D): the sum of the index vectors around each, within a text."""
+    total = np.zeros(n_words * D)
+    for far in range(1, WINDOW + 1):
+        near = block.doc[far:] == block.doc[:-far]
+        a, b = block.flat[:-far][near], block.flat[far:][near]
+        for one, other in ((a, b), (b, a)):
+            at = block.known[one]
+            has = at >= 0
+            for s in range(SPARKS):
+                cell = at[has] * D + block.place[other[has], s]
+                total += np.bincount(cell, block.sign[other[has], s], n_words * D)
+    return total.reshape(n_words, D).astype(np.int64)
+
+
+def pool(block: Block, vectors: np.ndarray) -> np.ndarray:
+    """(texts, WIDTH): the features of each text."""
+    m = len(block.sizes)
+    out = np.zeros((m, WIDTH))
+    size = np.maximum(1, block.sizes)
+    at = block.known[block.flat]
+    has = at >= 0
+    doc, own = block.doc[has], vectors[at[has]].astype(np.float64)
+    n = np.bincount(doc, minlength=m)
+    some, cuts = n > 0, np.searchsorted(doc, np.flatnonzero(n))
+    if len(cuts):
+        mean = np.add.reduceat(own, cuts) / n[some, None]
+        out[some, :D] = mean
+        out[some, D : 2 * D] = np.sqrt(np.maximum(0.0, np.add.reduceat(own * own, cuts) / n[some, None] - mean**2))
+    for far in range(1, WINDOW + 1):
+        near = block.doc[far:] == block.doc[:-far]
+        products = _alike(block.flat[:-far][near], block.flat[far:][near], block.place, block.sign)
+        total = np.bincount(block.doc[far:][near], products, m)
+        out[:, 2 * D + far - 1] = total / (SPARKS * np.maximum(1, block.sizes - far))
+    out[:, -2] = np.where(block.sizes > 0, 1 - n / size, 0)
+    out[:, -1] = np.log1p(block.sizes)
     return out
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], run: str) -> Iterator[pa.RecordBatch]:
-    names = [f.split()[0] for f in _PARTS.split(", ")]
-
-    def rows(**columns: pa.Array) -> pa.RecordBatch:
-        size = len(next(iter(columns.values())))
-        kinds = {"doc_id": pa.string(), "held_out": pa.bool_(), "block": pa.string(), "numbers": pa.binary(), "word": pa.int64(), "place": pa.int32(), "seen": pa.int64(), "around": pa.binary()}
-        return pa.RecordBatch.from_arrays([columns.get(n, pa.nulls(size, kinds[n])) for n in names], names)
-
-    for batch in batches:
-        ids, held, texts = batch.column(0), batch.column(1), [t or "" for t in batch.column(2).to_pylist()]
-        block_of = np.cumsum([len(t) for t in texts]) // BLOCK_CHARS if texts else np.zeros(0)
-        cuts = np.flatnonzero(np.diff(block_of, prepend=-1, append=-1)) if texts else []
-        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-            block = f"{run}-{uuid.uuid4().hex}"
-            hashes, seen, around, numbers = read_block(texts[begin:end])
-            name = lambda size: pa.array([block]).take(pa.array(np.zeros(size, np.int32)))  # noqa: B023, E731
-            yield rows(doc_id=ids.slice(begin, end - begin), held_out=held.slice(begin, end - begin), block=name(end - begin), numbers=pa.array(numbers, pa.binary()))
-            for at in range(0, len(hashes), 50_000):
-                cut = slice(at, at + 50_000)
-                size = len(hashes[cut])
-                yield rows(
-                    block=name(size),
-                    word=pa.array(hashes[cut].view(np.int64)),
-                    place=pa.array(np.arange(at, at + size, dtype=np.int32)),
-                    seen=pa.array(seen[cut]),
-                    around=pa.array(_sparse(around[cut]), pa.binary()),
-                )
+def _cut(texts: list[str | None]) -> Iterator[slice]:
+    """Slices of about ``BLOCK_CHARS`` characters."""
+    begin, chars = 0, 0
+    for i, t in enumerate(texts):
+        chars += len(t or "")
+        if chars >= BLOCK_CHARS:
+            yield slice(begin, i + 1)
+            begin, chars = i + 1, 0
+    if begin < len(texts):
+        yield slice(begin, len(texts))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
-def read_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The documents of every block (doc_id, held_out, block, numbers), and its words (block, word, place, seen, around).
-
-    Block names are drawn in the tasks, so the result is written before it is used: a task
-    that runs again then names its blocks anew for both alike.
-    """
-    folder = f"{shared_dir(docs.sparkSession)}/quality-net-{uuid.uuid4().hex}"
-    slim = docs.select(F.col("doc_id").cast("string").alias("doc_id"), held_out().alias("held_out"), "text")
-    slim.mapInArrow(partial(_blocks, run="b"), _PARTS).write.option("compression", "zstd").parquet(folder)
-    read = docs.sparkSession.read.parquet
-    documents = read(folder).filter(F.col("numbers").isNotNull()).select("doc_id", "held_out", "block", "numbers")
-    return documents, read(folder).filter(F.col("word").isNotNull()).select("block", "word", "place", "seen", "around")
-
-
-def _sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The words of a task's partition with what stands around them, added up."""
-    totals: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for word, raw in zip(batch["word"], batch["around"], strict=True):
-            got = _dense(raw)
-            totals[word] = totals[word] + got if word in totals else got
-    words = list(totals)
-    for at in range(0, len(words), 10_000):
-        some = words[at : at + 10_000]
-        unit = np.stack([totals[w] for w in some]).astype(np.float64)
-        unit /= np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-9)
-        yield pd.DataFrame({"word": some, "vector": [u.tobytes() for u in unit.astype(np.float32)]})
-
-
-def word_vectors(words: DataFrame, least: int = LEAST) -> DataFrame:
-    """(word, vector): unit vectors, as floats, of the words seen at least ``least`` times."""
-    frequent = words.groupBy("word").agg(F.sum("seen").alias("n")).filter(F.col("n") >= least).select("word")
-    own = words.select("word", "around").join(settle(frequent), "word", "left_semi")
-    # By word: a partition holds its words' sums, one vector each.
-    return settle(own.repartition("word").mapInPandas(_sums, "word long, vector binary"))
-
-
-def pool(numbers: bytes, vectors: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """The features of one document, given its block's vectors by place and which places have one."""
-    out = np.zeros(WIDTH)
-    head = np.frombuffer(numbers, np.float64, 1 + WINDOW)
-    steps, counts = np.frombuffer(numbers, np.int32, offset=head.nbytes).reshape(2, -1)
-    places = np.cumsum(steps)
-    n = head[0]
-    if n:
-        has = known[places]
-        weight, own = counts[has].astype(np.float64), vectors[places[has]]
-        total = weight.sum()
-        if total:
-            mean = weight @ own / total
-            out[:D] = mean
-            out[D : 2 * D] = np.sqrt(np.maximum(0.0, weight @ own**2 / total - mean**2))
-        out[2 * D : 2 * D + WINDOW] = head[1:]
-        out[-2:] = 1 - total / n, np.log1p(n)
-    return out
-
-
-def _pooled(key: tuple, documents: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-    top = int(words["place"].max()) + 1 if len(words) else 0
-    longest = max((np.frombuffer(r, np.int32, offset=8 * (1 + WINDOW)).reshape(2, -1)[0].sum(dtype=np.int64) for r in documents["numbers"]), default=-1)
-    size = max(top, int(longest) + 1)
-    vectors, known = np.zeros((size, D)), np.zeros(size, bool)
-    if len(words):
-        vectors[words["place"]] = np.frombuffer(b"".join(words["vector"]), np.float32).reshape(-1, D)
-        known[words["place"]] = True
-    features = [pool(r, vectors, known).astype(np.float32).tobytes() for r in documents["numbers"]]
-    return pd.DataFrame({"doc_id": documents["doc_id"], "held_out": documents["held_out"], "features": features})
-
-
-def featured(docs: DataFrame) -> DataFrame:
-    """doc_id (as text), held_out and features (floats) of every document."""
-    documents, words = read_texts(docs)
-    own = words.select("block", "word", "place").join(word_vectors(words), "word").select("block", "place", "vector")
-    pooled = documents.groupBy("block").cogroup(own.groupBy("block"))
-    return settle(pooled.applyInPandas(_pooled, "doc_id string, held_out boolean, features binary"))
+def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, chars: int = SAMPLE_CHARS) -> DataFrame:
+    """text and y of the labelled training documents that come first by a hash of their id, in this order (no), one row of each."""
+    told = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id")
+    agreed = told.agg(F.min("quality").alias("low"), F.max("quality").alias("y")).filter("low = y").select("doc_id", "y")
+    mine = docs.filter(~held_out()).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(agreed, "doc_id")
+    order = [F.xxhash64(F.col("doc_id").cast("string")), "doc_id"]
+    sizes = mine.groupBy("doc_id").agg(F.min(F.char_length("text")).alias("n")).orderBy(*order).limit(size).collect()  # ``size`` rows at most
+    ends = np.cumsum([r.n for r in sizes])
+    ids = [r.doc_id for r, end in zip(sizes, ends, strict=True) if end <= chars]
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    chosen = docs.sparkSession.createDataFrame(list(enumerate(ids)), f"no int, doc_id {kind}")
+    shortest = F.min(F.struct(F.char_length("text"), "text"))["text"]
+    return settle(mine.join(chosen, "doc_id").groupBy("no").agg(shortest.alias("text"), F.min("y").alias("y")))
+
+
+def known_words(sampled: DataFrame, least: int = LEAST) -> list[str]:
+    """The words found in at least ``least`` texts of the sample."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [w for t in batch.column(0).to_pylist() for w in set(split(t))]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["word"])
+
+    counted = sampled.select("text").mapInArrow(each, "word string").groupBy("word").count()
+    return sorted(r.word for r in counted.filter(F.col("count") >= least).select("word").collect())
+
+
+def word_vectors(docs: DataFrame, words: list[str]) -> np.ndarray:
+    """Unit vectors of the known words, from all texts."""
+    n = len(words)
+    if not n:
+        return np.zeros((0, D), np.float32)
+    shared = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(words)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((n, D), np.int64)
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for cut in _cut(texts):
+                total += around(read_block(texts[cut], shared.value), n)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    shares = docs.select("text").mapInArrow(run, "sums binary").rdd.map(lambda r: np.frombuffer(r[0], np.int64))
+    depth = max(2, int(np.ceil(np.log(max(2, shares.getNumPartitions())) / np.log(FAN))))
+    sums = shares.treeReduce(np.add, depth=depth).reshape(n, D)
+    return (sums / np.maximum(1e-9, np.linalg.norm(sums, axis=1, keepdims=True))).astype(np.float32)
 
 
 @dataclass
@@ -313,30 +271,29 @@ def train(x: np.ndarray, y: np.ndarray) -> Net:
     return net
 
 
-def sample(features: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the training documents that come first by a hash of their id; one row of each id."""
-    told = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").cast("string").alias("doc_id"))
-    agreed = told.agg(F.min("quality").alias("low"), F.max("quality").alias("y")).filter("low = y").select("doc_id", "y")
-    known = features.filter(~F.col("held_out")).join(agreed, "doc_id").groupBy("doc_id").agg(F.min("features").alias("features"), F.min("y").alias("y"))
-    rows = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size).collect()  # ``size`` rows at most
-    x = np.array([np.frombuffer(r.features, np.float32) for r in rows], np.float64).reshape(-1, WIDTH)
-    return x, np.array([r.y for r in rows], np.float64)
+def rate(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, held_out, score and predicted of every document, learnt from the labels of those not held out."""
+    sampled = sample(docs, labels)
+    words = known_words(sampled)
+    vectors = word_vectors(docs, words)
+    model = docs.sparkSession.sparkContext.broadcast(({w: i for i, w in enumerate(words)}, vectors))
+
+    @F.pandas_udf("binary")
+    def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            texts = texts.tolist()
+            yield pd.Series([f.tobytes() for cut in _cut(texts) for f in pool(read_block(texts[cut], model.value[0]), model.value[1])], dtype=object)
 
+    rows = sampled.select("no", "y", features("text").alias("f")).collect()  # ``SAMPLE`` rows at most
+    rows.sort(key=lambda r: r.no)
+    net = train(np.array([np.frombuffer(r.f) for r in rows]).reshape(-1, WIDTH), np.array([r.y for r in rows], np.float64))
 
-def classify(features: DataFrame, net: Net, threshold: float = THRESHOLD) -> DataFrame:
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for raw in batches:
-            x = np.frombuffer(b"".join(raw), np.float32).reshape(-1, WIDTH).astype(np.float64)
-            yield pd.Series(net.score(x))
-
-    scored = features.withColumn("score", run("features"))
-    return scored.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+        for texts in batches:
+            texts = texts.tolist()
+            found = [net.score(pool(read_block(texts[cut], model.value[0]), model.value[1])) for cut in _cut(texts)]
+            yield pd.Series(np.concatenate([*found, np.zeros(0)]))
 
-
-def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted of every document, learnt from the labels of those not held out."""
-    features = featured(docs)
-    net = train(*sample(features, labels))
-    rated = classify(features, net)
-    return rated.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    scored = docs.select("doc_id", held_out().alias("held_out"), run(F.coalesce("text", F.lit(""))).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

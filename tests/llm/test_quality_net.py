@@ -26,15 +26,24 @@ def index_vector(word: str) -> np.ndarray:
     return out
 
 
-def features_by_hand(texts: list[str | None]) -> list[np.ndarray]:
+def slots(word: str) -> np.ndarray:
+    """Each entry of an index vector on its own: two in one place don't cancel when words are compared."""
+    h, out = xxhash.xxh64_intdigest(word.encode()), np.zeros((net.SPARKS, net.D))
+    for s in range(net.SPARKS):
+        bits = h >> (16 * s)
+        out[s, bits % net.D] = -1 if (bits >> 8) & 1 else 1
+    return out
+
+
+def features_by_hand(texts: list[str | None], known: set[str]) -> list[np.ndarray]:
     split = [re.findall(r"\w+|[^\w\s]+", t or "") for t in texts]
-    seen, sums = Counter(w for t in split for w in t), {}
+    sums = {w: np.zeros(net.D) for w in known}
     for t in split:
         for i, w in enumerate(t):
             for j in range(max(0, i - net.WINDOW), min(len(t), i + net.WINDOW + 1)):
-                if i != j:
-                    sums[w] = sums.get(w, 0) + index_vector(t[j])
-    vectors = {w: sums[w] / max(np.linalg.norm(sums[w]), 1e-9) if w in sums else np.zeros(net.D) for w, n in seen.items() if n >= net.LEAST}
+                if i != j and w in sums:
+                    sums[w] = sums[w] + index_vector(t[j])
+    vectors = {w: v / max(np.linalg.norm(v), 1e-9) for w, v in sums.items()}
     out = []
     for t in split:
         f = np.zeros(net.WIDTH)
@@ -42,30 +51,34 @@ def features_by_hand(texts: list[str | None]) -> list[np.ndarray]:
         if len(own):
             f[: net.D], f[net.D : 2 * net.D] = own.mean(0), own.std(0)
         for far in range(1, net.WINDOW + 1):
-            products = [index_vector(a) @ index_vector(b) for a, b in zip(t, t[far:])]  # noqa: B905
-            # Twice the same place and sign in one index vector counts as the sum says.
-            f[2 * net.D + far - 1] = sum(products) / (net.SPARKS * max(1, len(t) - far))
+            products = [slots(a) @ slots(b).T for a, b in zip(t, t[far:])]  # noqa: B905
+            f[2 * net.D + far - 1] = sum(p.sum() for p in products) / (net.SPARKS * max(1, len(t) - far))
         if t:
             f[-2:] = 1 - len(own) / len(t), np.log1p(len(t))
         out.append(f)
     return out
 
 
-@pytest.mark.parametrize("chars", [1 << 24, 40])
+@pytest.mark.parametrize("chars", [1 << 21, 40])
 def test_features(spark, monkeypatch, chars):
     monkeypatch.setattr(net, "BLOCK_CHARS", chars)
+    known = ["the", "cat", "mat", "a", "on", "###", "nowhere"]
     docs = spark.createDataFrame([(i, t, *CLASH) for i, t in enumerate(TEXTS)], SCHEMA).repartition(3)
-    got = {int(r.doc_id): np.frombuffer(r.features, np.float32) for r in net.featured(docs).collect()}
-    assert len(got) == len(TEXTS)
-    for i, want in enumerate(features_by_hand(TEXTS)):
-        np.testing.assert_allclose(got[i], want, atol=1e-5)
+    vectors = net.word_vectors(docs, known)
+    got = np.concatenate([net.pool(net.read_block(TEXTS[cut], {w: i for i, w in enumerate(known)}), vectors) for cut in net._cut(TEXTS)])
+    np.testing.assert_allclose(got, features_by_hand(TEXTS, set(known)), atol=1e-5)
 
 
-def test_sums_of_any_size():
-    sums = np.zeros((3, net.D), np.int64)
-    sums[0, [1, 5]] = 7, -32767
-    sums[2] = np.arange(net.D) * 100_000
-    assert all((net._dense(raw) == row).all() for raw, row in zip(net._sparse(sums), sums, strict=True))
+def test_sample_is_whole_bounded_and_of_training_documents(spark):
+    docs = spark.createDataFrame([(i, f"{i} " * (i + 1), *CLASH) for i in range(80)] + [(3, "3 " * 50, *CLASH)], SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(80)], "doc_id long, quality int, toxic int")
+    rows = net.sample(docs, labels).orderBy("no").collect()
+    ids = [int(r.text.split()[0]) for r in rows]
+    assert sorted(ids) == [i for i in range(80) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert all(r.text == f"{i} " * (i + 1) and r.y == i % 2 for i, r in zip(ids, rows, strict=True))
+    assert [r.text for r in net.sample(docs, labels, size=7).orderBy("no").collect()] == [r.text for r in rows[:7]]
+    some = net.sample(docs, labels, chars=500).collect()
+    assert 0 < sum(len(r.text) for r in some) <= 500
 
 
 def test_held_out_labels(spark):
@@ -115,4 +128,5 @@ def test_defined_cases(spark):
 
 def test_a_very_long_text(spark):
     rows = [(i, "the cat sat, " * 5 if i else "the cat sat, " * 200_000, *CLASH) for i in range(4)]
-    assert net.featured(spark.createDataFrame(rows, SCHEMA).coalesce(1)).count() == 4
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    assert net.rate(spark.createDataFrame(rows, SCHEMA).coalesce(1), labels).count() == 4
