@@ -29,9 +29,11 @@ empty table gives an empty table; further columns are left out.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -97,11 +99,11 @@ def split(text: str | None) -> list[str]:
 def read_block(texts: list[str | None], words: dict[str, int]) -> Block:
     ids: defaultdict[str, int] = defaultdict()
     ids.default_factory = ids.__len__
-    found = [np.fromiter(map(ids.__getitem__, split(t)), np.int32) for t in texts]
-    sizes = np.array([len(f) for f in found], np.int64)
+    found = [split(t) for t in texts]
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    flat = np.fromiter(map(ids.__getitem__, chain.from_iterable(found)), np.int32, int(sizes.sum()))
     hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in ids), np.uint64, len(ids))
     known = np.fromiter((words.get(w, -1) for w in ids), np.int64, len(ids))
-    flat = np.concatenate([*found, np.zeros(0, np.int32)])
     return Block(sizes, flat, np.repeat(np.arange(len(texts)), sizes), *index_vectors(hashes), known)
 
 
@@ -127,13 +129,15 @@ def pool(block: Block, vectors: np.ndarray) -> np.ndarray:
     size = np.maximum(1, block.sizes)
     at = block.known[block.flat]
     has = at >= 0
-    doc, own = block.doc[has], vectors[at[has]].astype(np.float64)
-    n = np.bincount(doc, minlength=m)
+    bag, count = np.unique(block.doc[has] * max(1, len(vectors)) + at[has], return_counts=True)
+    doc, own = bag // max(1, len(vectors)), vectors[bag % max(1, len(vectors))].astype(np.float64)
+    n = np.bincount(doc, count, m)
     some, cuts = n > 0, np.searchsorted(doc, np.flatnonzero(n))
     if len(cuts):
-        mean = np.add.reduceat(own, cuts) / n[some, None]
+        weighed = own * count[:, None]
+        mean = np.add.reduceat(weighed, cuts) / n[some, None]
         out[some, :D] = mean
-        out[some, D : 2 * D] = np.sqrt(np.maximum(0.0, np.add.reduceat(own * own, cuts) / n[some, None] - mean**2))
+        out[some, D : 2 * D] = np.sqrt(np.maximum(0.0, np.add.reduceat(weighed * own, cuts) / n[some, None] - mean**2))
     for far in range(1, WINDOW + 1):
         near = block.doc[far:] == block.doc[:-far]
         products = _alike(block.flat[:-far][near], block.flat[far:][near], block.place, block.sign)
@@ -164,15 +168,18 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, chars: int =
     """text and y of the labelled training documents that come first by a hash of their id, in this order (no), one row of each."""
     told = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id")
     agreed = told.agg(F.min("quality").alias("low"), F.max("quality").alias("y")).filter("low = y").select("doc_id", "y")
-    mine = docs.filter(~held_out()).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(agreed, "doc_id")
+    mine = docs.filter(~held_out())
+    length = F.coalesce(F.char_length("text"), F.lit(0))
     order = [F.xxhash64(F.col("doc_id").cast("string")), "doc_id"]
-    sizes = mine.groupBy("doc_id").agg(F.min(F.char_length("text")).alias("n")).orderBy(*order).limit(size).collect()  # ``size`` rows at most
-    ends = np.cumsum([r.n for r in sizes])
-    ids = [r.doc_id for r, end in zip(sizes, ends, strict=True) if end <= chars]
+    # Lengths alone go to meet the labels; texts only those of the sample.
+    sizes = mine.select("doc_id", length.alias("n")).join(agreed, "doc_id").groupBy("doc_id").agg(F.min("n").alias("n"), F.min("y").alias("y"))
+    first = sizes.orderBy(*order).limit(size).collect()  # ``size`` rows at most
+    ends = np.cumsum([r.n for r in first])
+    chosen = [(i, r.doc_id, r.y) for i, (r, end) in enumerate(zip(first, ends, strict=True)) if end <= chars]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    chosen = docs.sparkSession.createDataFrame(list(enumerate(ids)), f"no int, doc_id {kind}")
-    shortest = F.min(F.struct(F.char_length("text"), "text"))["text"]
-    return settle(mine.join(chosen, "doc_id").groupBy("no").agg(shortest.alias("text"), F.min("y").alias("y")))
+    ids = F.broadcast(docs.sparkSession.createDataFrame(chosen, f"no int, doc_id {kind}, y int"))  # as few
+    shortest = F.min(F.struct(length, F.coalesce("text", F.lit("")).alias("text")))["text"]
+    return settle(mine.join(ids, "doc_id").groupBy("no").agg(shortest.alias("text"), F.min("y").alias("y")))
 
 
 def known_words(sampled: DataFrame, least: int = LEAST) -> list[str]:
@@ -187,6 +194,15 @@ def known_words(sampled: DataFrame, least: int = LEAST) -> list[str]:
     return sorted(r.word for r in counted.filter(F.col("count") >= least).select("word").collect())
 
 
+def _packed(sums: np.ndarray) -> bytes:
+    """Most sums are small: short in bytes, high bytes together."""
+    return zlib.compress(np.ascontiguousarray(sums.astype("<i8").reshape(-1, 1).view(np.uint8).T).tobytes(), 1)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
 def word_vectors(docs: DataFrame, words: list[str]) -> np.ndarray:
     """Unit vectors of the known words, from all texts."""
     n = len(words)
@@ -200,11 +216,11 @@ def word_vectors(docs: DataFrame, words: list[str]) -> np.ndarray:
             texts = batch.column(0).to_pylist()
             for cut in _cut(texts):
                 total += around(read_block(texts[cut], shared.value), n)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+        yield pa.RecordBatch.from_arrays([pa.array([_packed(total)], pa.binary())], ["sums"])
 
-    shares = docs.select("text").mapInArrow(run, "sums binary").rdd.map(lambda r: np.frombuffer(r[0], np.int64))
+    shares = docs.select("text").mapInArrow(run, "sums binary").rdd.map(lambda r: bytes(r[0]))
     depth = max(2, int(np.ceil(np.log(max(2, shares.getNumPartitions())) / np.log(FAN))))
-    sums = shares.treeReduce(np.add, depth=depth).reshape(n, D)
+    sums = _unpacked(shares.treeReduce(lambda a, b: _packed(_unpacked(a) + _unpacked(b)), depth=depth)).reshape(n, D)
     return (sums / np.maximum(1e-9, np.linalg.norm(sums, axis=1, keepdims=True))).astype(np.float32)
 
 
