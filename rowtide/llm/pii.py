@@ -6,7 +6,8 @@ that a value keeps its identity in all documents (coreference) and two values ne
 one (distinctness). A surrogate is drawn from SHA-256 of key, kind, value and a round:
 
 - digits, small and capital letters are replaced by their like, letters of other scripts
-  by letters of that script; signs and lengths stay (format);
+  by letters of that script, or small Latin ones for scripts that aren't listed; signs and
+  lengths stay (format);
 - a card number that meets the Luhn check still does; an IP address stays a valid one; a
   phone number keeps its country code; an e-mail address keeps its last label, and its
   domain depends on the domain alone, so that colleagues stay colleagues;
@@ -14,7 +15,9 @@ one (distinctness). A surrogate is drawn from SHA-256 of key, kind, value and a
   names neutral ones.
 
 Collision check: surrogates met twice, or equal to any value that stands in the corpus,
-are drawn anew with the next round for all but the least value, until none is left.
+are drawn anew with the next round for all but the least value, until none is left. After
+some rounds addresses and names grow, so that a format without room, or without a character
+that could change, ends the rounds too; where a number's format has no room left, it is an error.
 
 Entities, not documents, are shuffled for this; a value that stands in a third of all
 documents is one row after map-side combining. Texts are joined once with the surrogates
@@ -40,7 +43,7 @@ _FEMALE = "Mrs|Miss|Frau|Señora|Madame|Mme|Госпожа"
 _NAME = r"\p{Lu}\p{Ll}{1,30}"
 
 KINDS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,8}",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]{1,64}+@[\p{L}\p{M}\p{N}-]{1,63}(?:\.[\p{L}\p{M}\p{N}-]{1,63}){1,8}",
     "ip": rf"(?<![\p{{L}}\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{L}}\p{{N}}]|\.\d)",
     "card": r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}+])\+?\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\d)|(?<![\p{L}\p{N}+])\+\d[\d .-]{7,14}\d(?!\d)",
@@ -63,6 +66,22 @@ _SCRIPTS = (
     (0x410, 0x42F, "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"),
     (0x430, 0x44F, "абвгдежзиклмнопрстуфхцчшэюя"),
 )
+#: (first, last code point) of letters without case that stand together; a letter becomes any of its range.
+_RANGES = (
+    (0x5D0, 0x5EA),  # Hebrew
+    (0x621, 0x63A),  # Arabic
+    (0x905, 0x939),  # Devanagari
+    (0xE01, 0xE2E),  # Thai
+    (0x10D0, 0x10F0),  # Georgian
+    (0x3041, 0x3096),  # Hiragana
+    (0x30A1, 0x30FA),  # Katakana
+    (0x4E00, 0x9FA5),  # Han
+    (0xAC00, 0xD7A3),  # Hangul
+)
+#: Rounds after which letters or syllables are added, one for each so many rounds.
+_GROW = 3
+#: No value needs so many rounds unless its format has no room for as many as there are.
+ROUNDS = 100
 _SYLLABLES = {
     "latin": ("ba be bi bo da de di do fa fe fi ka ke ki la le li lo ma me mi mo na ne ni ra re ri ro sa se si ta te ti to va ve vi za".split(), ("n", "a", "er")),
     "cyrillic": ("ба бе ва ве га да де ди ка ке ки ла ле ли ма ме ми на не ни ра ре ри са се си та те ти то".split(), ("н", "а", "ин")),
@@ -116,7 +135,11 @@ def _like(text: Column, seed: Column) -> Column:
         case = case.when((code >= 97) & (code <= 122), _pick(_SMALL, r)).when((code >= 65) & (code <= 90), _pick(_CAPITAL, r))
         for low, high, letters in _SCRIPTS:
             case = case.when((code >= low) & (code <= high), _pick(letters, r))
-        return case.otherwise(c)
+        for low, high in _RANGES:
+            at = F.lpad(F.hex(low + r % (high - low + 1)), 4, "0")
+            case = case.when((code >= low) & (code <= high), F.decode(F.unhex(at), "UTF-16BE"))
+        # Letters of any other script, and numbers that are no digits.
+        return case.when((code > 127) & c.rlike(r"^[\p{L}\p{N}]"), _pick(_SMALL, r)).otherwise(c)
 
     chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
     return F.array_join(F.zip_with(chars, F.slice(_bytes(seed, F.char_length(text)), F.lit(1), F.char_length(text)), one), "")
@@ -152,18 +175,24 @@ def _phone(value: Column, seed: Column) -> Column:
     return F.concat(head, _like(F.substring(value, F.char_length(head) + 1, F.char_length(value)), seed))
 
 
-def _email(value: Column, seed: Column, key: str) -> Column:
+def _grown(round_no: Column) -> Column:
+    return F.floor(round_no / _GROW).cast("int")
+
+
+def _email(value: Column, seed: Column, round_no: Column, key: str) -> Column:
     local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
     last = F.substring_index(domain, ".", -1)
     host = F.substring(domain, F.lit(1), F.char_length(domain) - F.char_length(last))
-    return F.concat(_like(local, seed), F.lit("@"), _like(host, F.concat_ws("|", F.lit(key), F.lit("domain"), F.lower(domain))), last)
+    more = F.repeat(F.lit("a"), _grown(round_no))  # where short ones have run out, or nothing in it can change
+    return F.concat(_like(F.concat(local, more), seed), F.lit("@"), _like(host, F.concat_ws("|", F.lit(key), F.lit("domain"), F.lower(domain))), last)
 
 
-def _name(value: Column, kind: Column, seed: Column) -> Column:
+def _name(value: Column, kind: Column, seed: Column, round_no: Column) -> Column:
     def of(script: str) -> Column:
         syllables, (male, female, neutral) = _SYLLABLES[script]
         pool = F.array(*[F.lit(s) for s in syllables])
-        body = F.array_join(F.transform(F.slice(_bytes(seed, F.lit(4)), 1, 4), lambda r: F.get(pool, r % len(syllables))), "")
+        n = 4 + _grown(round_no)
+        body = F.array_join(F.transform(F.slice(_bytes(seed, n), F.lit(1), n), lambda r: F.get(pool, r % len(syllables))), "")
         end = F.when(kind == "given_m", male).when(kind == "given_f", female).otherwise(neutral)
         return F.initcap(F.concat(body, end))
 
@@ -174,18 +203,18 @@ def draw(kind: Column, value: Column, round_no: Column, key: str) -> Column:
     """The surrogate of an entity in a round."""
     seed = F.concat_ws("|", F.lit(key), kind, F.lower(value), round_no)
     return (
-        F.when(kind == "email", _email(value, seed, key))
+        F.when(kind == "email", _email(value, seed, round_no, key))
         .when(kind == "ip", _ip(seed))
         .when(kind == "card", _card(value, seed))
         .when(kind == "phone", _phone(value, seed))
-        .otherwise(_name(value, kind, seed))
+        .otherwise(_name(value, kind, seed, round_no))
     )
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, value, surrogate): distinct values keep distinct surrogates, none of which is itself a value."""
     drawn = entities.select("kind", "value", F.lit(0).alias("round"))
-    while True:
+    for _ in range(ROUNDS):
         drawn = settle(drawn.select("kind", "value", "round", draw(F.col("kind"), F.col("value"), F.col("round"), key).alias("surrogate")))
         firsts = drawn.groupBy("surrogate").agg(F.min(F.struct("kind", "value")).alias("holder"), F.count("*").alias("n"))
         taken = drawn.select(F.col("value").alias("surrogate")).distinct().withColumn("is_value", F.lit(True))
@@ -199,6 +228,8 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         drawn = drawn.join(again.withColumn("redo", F.lit(1)), ["kind", "value"], "left").select(
             "kind", "value", F.when(redo, F.col("round") + 1).otherwise(F.col("round")).alias("round")
         )
+    kinds = ", ".join(sorted(r.kind for r in again.select("kind").distinct().collect()))
+    raise RuntimeError(f"no distinct surrogates are left for values of these kinds: {kinds}")
 
 
 def replace_personal(
