@@ -9,7 +9,7 @@ order or repetition of the records, so a replayed batch is harmless (W11).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,28 +88,39 @@ def _floor(state: DataFrame, truncate_seq) -> Column:
     return F.greatest(F.col(DELETE_SEQ), literal(truncate_seq, state.schema[DELETE_SEQ].dataType))
 
 
-def rows_of_state(state: DataFrame, pk: Sequence[str], columns: Sequence[str], truncate_seq=None) -> DataFrame:
-    """The living rows of a folded state, none older than the last TRUNCATE (a seq or a column)."""
+def rows_of_state(
+    state: DataFrame, pk: Sequence[str], columns: Sequence[str], truncate_seq=None, dropped: Mapping[str, object] | None = None
+) -> DataFrame:
+    """The living rows of a folded state, none older than the last TRUNCATE (a seq or a column).
+
+    D6: ``dropped`` gives the place at which a column went at the source. What was written to
+    it up to there is null in every row, what came later under the same name stands.
+    """
     floor = _floor(state, truncate_seq)
-    return state.filter(_after(F.col(WRITE_SEQ), floor)).select(
-        *[
-            F.col(c) if c in pk else F.when(_after(F.col(f"s_{c}"), floor), F.col(f"v_{c}")).alias(c)
-            for c in columns
-        ]
-    )
+    kind = state.schema[DELETE_SEQ].dataType
+
+    def own(c: str) -> Column:
+        at = (dropped or {}).get(c)
+        beyond = _after(F.col(f"s_{c}"), floor)
+        if at is not None:
+            beyond = beyond & (F.col(f"s_{c}") > literal(at, kind))
+        return F.when(beyond, F.col(f"v_{c}")).alias(c)
+
+    return state.filter(_after(F.col(WRITE_SEQ), floor)).select(*[F.col(c) if c in pk else own(c) for c in columns])
 
 
 def current_state(records: DataFrame, pk: Sequence[str], columns: Sequence[str],
-                  seq: str = "seq", truncates: bool = False) -> DataFrame:
+                  seq: str = "seq", truncates: bool = False, dropped: Mapping[str, object] | None = None) -> DataFrame:
     """The table after all records.
 
     TRUNCATE empties it, DELETE removes a row, other records create the row if
     absent and overwrite the columns they carry. ``truncates=True`` looks for
     TRUNCATE records; their highest seq is a scalar subquery, worked out once.
+    ``dropped`` has the columns that went, with their places (D6).
     """
     state = fold_records(records, pk, columns, seq)
     last = last_truncate(records, seq).scalar() if truncates else None
-    return rows_of_state(state, pk, columns, last)
+    return rows_of_state(state, pk, columns, last, dropped)
 
 
 def soft_delete(records: DataFrame, pk: Sequence[str], columns: Sequence[str],

@@ -81,6 +81,20 @@ def copy_order(tables: Mapping[str, DataFrame]) -> DataFrame:
     return counts.select("table", "row_count").orderBy("row_count", "table")
 
 
+def write_schema_changes(spark: SparkSession, dropped: Mapping[str, tuple], kind: str, path: str) -> None:
+    """The columns that a run found dropped, with their places."""
+    rows = [(c, s) for c, s in sorted(dropped.items())]
+    spark.createDataFrame(rows, f"column string, seq {kind}").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def dropped_places(spark: SparkSession, path: str) -> dict[str, tuple]:
+    """The latest place of each column that any run under ``path`` found dropped; as many entries as columns."""
+    found = _read(spark, path)
+    if found is None:
+        return {}
+    return {r["column"]: tuple(r["seq"]) for r in found.groupBy("column").agg(F.max("seq").alias("seq")).collect()}
+
+
 def write_table(table: DataFrame, path: str) -> None:
     """A table without rows, or with columns that are all null, is still written."""
     table.write.mode("overwrite").parquet(path)
@@ -89,7 +103,8 @@ def write_table(table: DataFrame, path: str) -> None:
 # --- the applied table ---------------------------------------------------------
 #
 # root/data/version=V/bucket=B   state rows of the keys hashed to B, as of run V
-# root/manifest/version=V        after run V: the version of each bucket, the last TRUNCATE
+# root/manifest/version=V        after run V: the version of each bucket, the last TRUNCATE,
+#                                the place at which each dropped column went
 #
 # The highest manifest counts. Data is written first, the manifest last and in one
 # file: a run that dies in between leaves no trace, and running it again gives the
@@ -104,37 +119,72 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _current(spark: SparkSession, root: str) -> tuple[dict[int, int], int, int | tuple | None]:
-    """(bucket -> version, last version, last truncate seq); as many entries as buckets."""
-    manifest = _read(spark, f"{root}/manifest")
-    if manifest is None:
-        return {}, 0, None
-    last = manifest.agg(F.max("version")).first()[0]
-    rows = manifest.filter(F.col("version") == last).collect()
+def _current(spark: SparkSession, root: str) -> tuple[dict[int, int], int, int | tuple | None, dict[str, int | tuple]]:
+    """(bucket -> version, last version, last truncate seq, dropped column -> seq); as many entries as buckets."""
+    versions = _read(spark, f"{root}/manifest")
+    if versions is None:
+        return {}, 0, None, {}
+    last = versions.agg(F.max("version")).first()[0]
+    rows = spark.read.parquet(f"{root}/manifest/version={last}").collect()
+    dropped = rows[0]["dropped"] if "dropped" in rows[0] else None
     return (
         {r.bucket: r.bucket_version for r in rows if r.bucket is not None},
         last,
         rows[0].truncate_seq,
+        {d["column"]: d["seq"] for d in dropped or []},
     )
 
 
+def _write_manifest(spark, root: str, version: int, where: dict[int, int], truncate_seq, dropped: dict, kind: str) -> None:
+    gone = [(c, s) for c, s in sorted(dropped.items())]
+    entries = [(b, v, truncate_seq, gone) for b, v in where.items()] or [(None, None, truncate_seq, gone)]
+    schema = f"bucket int, bucket_version int, truncate_seq {kind}, dropped array<struct<column: string, seq: {kind}>>"
+    spark.createDataFrame(entries, schema).coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/version={version}")
+
+
+def _latest_drops(older: Mapping, newer: Mapping | None) -> dict:
+    """The later place of each dropped column."""
+    out = dict(older)
+    for column, seq in (newer or {}).items():
+        out[column] = max(out.get(column, seq), seq)
+    return out
+
+
+def drop_columns(spark: SparkSession, root: str, dropped: Mapping[str, int | tuple]) -> int:
+    """What was written to these columns up to their places becomes null; returns the new version.
+
+    Only a manifest is written, no bucket: a reader applies the places to all of them alike.
+    """
+    where, last, truncated, before = _current(spark, root)
+    kind = spark.read.parquet(f"{root}/manifest/version={last}").schema["truncate_seq"].dataType.simpleString()
+    _write_manifest(spark, root, last + 1, where, truncated, _latest_drops(before, dropped), kind)
+    return last + 1
+
+
 def _bucket(pk: Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*pk), F.lit(buckets)).cast("int")
 
 
 def apply_records(
-    records: DataFrame, root: str, pk: Sequence[str], columns: Sequence[str], buckets: int
+    records: DataFrame,
+    root: str,
+    pk: Sequence[str],
+    columns: Sequence[str],
+    buckets: int,
+    dropped: Mapping[str, int | tuple] | None = None,
 ) -> int:
     """K5: fold records into the table at ``root``; returns the new version.
 
     ``buckets`` is fixed for a table: choose it so that a bucket fits a task.
     Deleted keys keep a tombstone, so an older record that comes late changes
-    nothing.
+    nothing. ``columns`` are those that the records may carry; columns of earlier runs stay
+    as they are, in every bucket, until they are named in ``dropped`` with the place at which
+    they went (D6).
     """
     spark = records.sparkSession
     pk = list(pk)
     values = [c for c in columns if c not in pk]
-    where, last, truncated = _current(spark, root)
+    where, last, truncated, gone = _current(spark, root)
     version = last + 1
 
     # The keys of the records are worked out once; the look for a TRUNCATE decodes no rows.
@@ -144,7 +194,7 @@ def apply_records(
     # At most ``buckets`` numbers.
     touched = sorted(r.bucket for r in delta.select("bucket").distinct().collect())
     emptied = apply.last_truncate(records).first().truncate_seq
-    if not touched and emptied is None:
+    if not touched and emptied is None and not dropped:
         return last
 
     if touched:
@@ -152,10 +202,11 @@ def apply_records(
         old = [f"{root}/data/version={where[b]}/bucket={b}" for b in touched if b in where]
         if old:
             before = spark.read.option("mergeSchema", True).parquet(*old)
-            # Columns that came since are null in older rows; those that went are left behind.
+            # Columns that came since are null in older rows; those that are no longer listed stay.
             both = both.unionByName(
                 before.withColumn("bucket", _bucket(pk, buckets)), allowMissingColumns=True
             )
+            values += [c[2:] for c in before.columns if c.startswith("v_") and c[2:] not in values]
         # Each side has one row per key, so a bucket is as even as the hash. Bucket is
         # a subset of the grouping, so the merge needs no further shuffle.
         apply.merge_state_rows(
@@ -165,11 +216,8 @@ def apply_records(
     where.update(dict.fromkeys(touched, version))
     seen = [t for t in (truncated, emptied) if t is not None]
     truncate_seq = max(seen, default=None)
-    entries = [(b, v, truncate_seq) for b, v in where.items()] or [(None, None, truncate_seq)]
     kind = records.schema["seq"].dataType.simpleString()
-    spark.createDataFrame(
-        entries, f"bucket int, bucket_version int, truncate_seq {kind}"
-    ).coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/version={version}")
+    _write_manifest(spark, root, version, where, truncate_seq, _latest_drops(gone, dropped), kind)
     return version
 
 
@@ -177,9 +225,9 @@ def read_table(
     spark: SparkSession, root: str, pk: Sequence[str], columns: Sequence[str]
 ) -> DataFrame | None:
     """The living rows of an applied table, or null if nothing was applied yet."""
-    where, _, truncated = _current(spark, root)
+    where, _, truncated, gone = _current(spark, root)
     if not where:
         return None
     paths = [f"{root}/data/version={v}/bucket={b}" for b, v in sorted(where.items())]
     state = spark.read.option("mergeSchema", True).parquet(*paths)
-    return apply.rows_of_state(state, list(pk), columns, truncated)
+    return apply.rows_of_state(state, list(pk), columns, truncated, gone)

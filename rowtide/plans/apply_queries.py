@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -517,3 +518,94 @@ def evolved_table(spark, sf_dir):
     sinks.apply_records(first, root, PK, COLUMNS[:2], buckets=4)
     sinks.apply_records(later, root, PK, COLUMNS, buckets=4)
     return sinks.read_table(spark, root, PK, COLUMNS)
+
+
+# --- columns that come and go -----------------------------------------------------------
+
+# From here on the log of the orders has another layout: the priority is gone, the clerk is there.
+_MIGRATED_AT = d.NULL_AT
+_NEW_COLUMNS = ["o_orderkey", "o_orderstatus", "o_clerk"]
+
+
+def _migrating_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order is inserted; a DDL drops the priority and adds the clerk; later every third order gets its clerk,
+    every fifth is deleted, and every twentieth is inserted anew."""
+    k = F.col("o_orderkey")
+    wire = lambda *values: F.array(*[v.cast("string").cast("binary") for v in values])
+    none = F.lit(None).cast("array<binary>")
+    clerk, status, no_text = F.concat(F.lit("C"), F.col("o_custkey").cast("string")), F.col("o_orderstatus"), F.lit(None).cast("string")
+    old = wire(k, status, F.col("o_orderpriority"))
+    step = lambda at, before, after: F.struct(
+        (F.lit(at).cast("bigint") + k * 10).alias("resp_id"), F.array(F.struct(before.alias("before"), after.alias("after"))).alias("row_changes")
+    )
+    last = F.when(k % 3 == 0, clerk).otherwise(no_text)
+    steps = F.array(
+        step(0, none, old),
+        F.when(k % 3 == 0, step(_MIGRATED_AT, wire(k, status, no_text), wire(k, status, clerk))),
+        F.when(k % 5 == 0, step(d.DELETE_AT, wire(k, status, last), none)),
+        F.when(k % 20 == 0, step(d.REINSERT_AT, none, wire(k, F.lit("R"), F.lit("anew")))),
+    )
+    rows = d.read(spark, sf_dir, "orders").select(d.shard_of("o_custkey").alias("shard"), F.explode(steps).alias("c")).filter("c IS NOT NULL")
+    rows = rows.select(F.lit("shop").alias("keyspace"), "shard", "c.*", F.lit("shop.orders").alias("table"))
+    stream = d.raw_order_log(spark, sf_dir).limit(0)
+    position = F.array(
+        F.struct("keyspace", "shard", F.concat(F.lit("pos-"), F.col("resp_id").cast("string")).alias("gtid"), F.array().alias("table_pks"))
+    ).cast(stream.schema["shard_gtids"].dataType)
+    changes = rows.withColumns({"event_idx": F.lit(0), "event_type": F.lit("ROW")})
+    ends = rows.drop("row_changes").withColumns({"event_idx": F.lit(1), "event_type": F.lit("VGTID"), "shard_gtids": position})
+    shards = spark.createDataFrame([("-80",), ("80-",)], "shard string")
+    layouts = [(0, COLUMNS), (_MIGRATED_AT, _NEW_COLUMNS)]
+    fields = shards.select(
+        F.lit("shop").alias("keyspace"),
+        "shard",
+        F.inline(F.array(*[F.struct(F.lit(at).cast("bigint").alias("resp_id"), F.array(*map(F.lit, names)).alias("fields")) for at, names in layouts])),
+    ).withColumns({"event_idx": F.lit(-1), "event_type": F.lit("FIELD"), "table": F.lit("shop.orders")})
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [stream, changes, ends, fields])
+
+
+def _described(spark: SparkSession, columns: list[str], *types: str):
+    """Catalog and selection of the orders table with these columns."""
+    catalog = spark.createDataFrame(
+        [("shop", "orders", i + 1, c, t, "" if i else "PRI") for i, (c, t) in enumerate(zip(columns, types, strict=True))],
+        "keyspace string, table string, ordinal int, column string, column_type string, column_key string",
+    )
+    return catalog, catalog.select("keyspace", "table", "column", F.lit(True).alias("included"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 20 = 0 THEN 'R' ELSE o_orderstatus END AS o_orderstatus,
+       CAST(NULL AS VARCHAR) AS o_orderpriority,
+       CASE WHEN o_orderkey % 20 = 0 THEN 'anew' WHEN o_orderkey % 3 = 0 THEN 'C' || o_custkey END AS o_clerk
+FROM orders WHERE o_orderkey % 5 <> 0 OR o_orderkey % 20 = 0""")
+def migrated_table(spark, sf_dir):
+    """A column goes and another comes in mid-log, between and within syncs; no snapshot is there to copy."""
+    root = _scratch(spark, "migrated")
+    _migrating_log(spark, sf_dir).write.parquet(f"{root}/log")
+    events = spark.read.parquet(f"{root}/log")
+    shards = _order_source(spark)[2]
+    old, new = _described(spark, COLUMNS, *ORDER_TYPES), _described(spark, _NEW_COLUMNS, "bigint", "varchar(1)", "varchar(20)")
+    # The first sync ends while orders are still inserted, the second begins in the old layout and crosses to the new one.
+    half = d.read(spark, sf_dir, "orders").agg(F.floor(F.max("o_orderkey") / 2) * 10).first()[0]
+    state = sync(events.filter(F.col("resp_id") < half), *old, shards, root, "1")
+    sync(events, *new, shards, root, "2", state, migrate=True, former=old[0])
+    dropped = sinks.dropped_places(spark, f"{root}/schema/shop/orders")
+    columns = [*COLUMNS, "o_clerk"]
+    for run, own in (("1", COLUMNS), ("2", _NEW_COLUMNS)):
+        records = spark.read.parquet(f"{root}/records/shop/orders/run={run}")
+        sinks.apply_records(records, f"{root}/table", PK, own, buckets=8, dropped=dropped if run == "2" else None)
+    return sinks.read_table(spark, f"{root}/table", PK, columns)
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey = 7 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey % 16 = 0 THEN 'back' END AS o_orderpriority
+FROM orders""")
+def dropped_in_place(spark, sf_dir):
+    """A dropped column is null in every bucket, touched by a record or not; what is written to its name later stands."""
+    root = _scratch(spark, "dropped")
+    orders = d.read(spark, sf_dir, "orders")
+    sinks.apply_records(shape.snapshot_records(orders.select(*COLUMNS), COLUMNS), root, PK, COLUMNS, buckets=8)
+    one = orders.filter("o_orderkey = 7").select("o_orderkey", F.lit("X").alias("o_orderstatus"))
+    sinks.apply_records(shape.snapshot_records(one, COLUMNS[:2], seq=1), root, PK, COLUMNS[:2], buckets=8)
+    sinks.drop_columns(spark, root, {"o_orderpriority": 2})
+    again = orders.filter("o_orderkey % 16 = 0").select("o_orderkey", "o_orderstatus", F.lit("back").alias("o_orderpriority"))
+    sinks.apply_records(shape.snapshot_records(again, COLUMNS, seq=3), root, PK, COLUMNS, buckets=8)
+    return sinks.read_table(spark, root, PK, COLUMNS)

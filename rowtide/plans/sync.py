@@ -90,9 +90,14 @@ def table_records(
     cursors: DataFrame,
     latest: DataFrame,
     generation: int = 1,
+    migrate: bool = False,
     **options,
-) -> tuple[DataFrame, DataFrame]:
-    """The records of one table since its ``cursors``, and the cursors after them.
+) -> tuple[DataFrame, DataFrame, dict[str, tuple]]:
+    """The records of one table since its ``cursors``, the cursors after them, and columns that went.
+
+    With ``migrate`` a layout may gain and lose columns on the way (D7): each row is read by
+    the layout in force at its place, a column that came is null before, and one that went is
+    given back with its place. Without, any change of a layout is an error.
 
     ``described`` are the table's catalog rows; ``cursors`` have one row per shard
     with ``position, last_pk`` (JSON text or null), ``seq``, the last response read, and
@@ -109,7 +114,11 @@ def table_records(
             begin.unionByName(ahead.filter(F.col("event_type") == log.FIELD), allowMissingColumns=True), table
         ).select(*SHARD, "table", "resp_id", "event_idx", "event_type", "fields")
     )
-    log.require_same_schema(fields, list(writers))
+    if migrate:
+        gone = log.require_migratable(fields, list(writers), pk)
+    else:
+        log.require_same_schema(fields, list(writers))
+        gone = {}
     stops = latest.select(*SHARD, F.col("latest").alias("stop"))
     read, after = cursor.bounded_read(ahead, table, stops, active)
 
@@ -136,7 +145,8 @@ def table_records(
     )
     # Shards with nothing to read keep their cursor.
     kept = cursors.join(moved.select(*SHARD), SHARD, "left_anti")
-    return shape.shape_changes(typed, pk, list(writers)), moved.unionByName(kept.select(moved.columns))
+    dropped = {c: (generation, *at, 0) for c, at in gone.items()}
+    return shape.shape_changes(typed, pk, list(writers)), moved.unionByName(kept.select(moved.columns)), dropped
 
 
 def copied_records(
@@ -166,6 +176,8 @@ def sync(
     snapshots: Snapshots | None = None,
     purged: DataFrame | None = None,
     shard_names: str = "",
+    migrate: bool = False,
+    former: DataFrame | None = None,
     **options,
 ) -> str:
     """Sync every selected table; returns the new state as JSON text.
@@ -177,6 +189,12 @@ def sync(
     numbered by the milliseconds at which its sync began, so that a copy outranks all that an
     earlier sync applied, even if its state is lost.
 
+    With ``migrate`` columns may come and go in the log without a re-copy (D7); those that went
+    are listed with their places in ``out_dir/schema/<keyspace>/<table>/run=<run>``, for
+    ``sinks.apply_records`` or ``apply.current_state`` to null what was written to them. ``former``
+    is the catalog of the last sync: a table whose column order, primary key, or enum or set
+    labels changed since is copied anew.
+
     Records go to ``out_dir/records/<keyspace>/<table>/run=<run>``, what became of each
     cursor to ``out_dir/report/run=<run>``, the state to ``out_dir/state/run=<run>`` after
     each table. Tables are taken one after another, all shards of a table at once.
@@ -208,6 +226,12 @@ def sync(
         .groupBy(*SHARD)
         .agg(F.max_by("position", "seq").alias("latest"), F.max("seq").alias("latest_seq"))
     )
+    remade = set()
+    if former is not None:
+        verdicts = cat.schema_diff(former, catalog).filter(F.col("verdict") == "RECOPY").join(tables.select("keyspace", "table").distinct(), ["keyspace", "table"])
+        # A new or removed table is neither.
+        known = verdicts.join(former.select("keyspace", "table").distinct(), ["keyspace", "table"], "left_semi")
+        remade = {(r["keyspace"], r["table"]) for r in known.collect()}
     # The catalog's own size, not the data's: one row per selected column.
     described: dict[tuple[str, str], list[dict]] = {}
     for r in cat.describe_columns(tables).orderBy("keyspace", "table", "ordinal").collect():
@@ -220,10 +244,12 @@ def sync(
         own = done.filter(of_table).join(shards.select(*SHARD), SHARD, "left_semi").select(*CURSORS)
         generation = own.agg(F.max("generation")).first()[0] or 0
 
-        def read(cursors: DataFrame, generation: int) -> tuple[DataFrame, DataFrame]:
-            return table_records(events, columns, keyspace, table, names, cursors, latest, generation, **options)
+        def read(cursors: DataFrame, generation: int) -> tuple[DataFrame, DataFrame, dict[str, tuple]]:
+            return table_records(
+                events, columns, keyspace, table, names, cursors, latest, generation, migrate, **options
+            )
 
-        def copy(generation: int) -> tuple[DataFrame, DataFrame]:
+        def copy(generation: int) -> tuple[DataFrame, DataFrame, dict[str, tuple]]:
             """The snapshot, and cursors at the positions peeked before it."""
             at = own.select(*SHARD, "table").join(latest, SHARD, "left").select(
                 *SHARD,
@@ -234,28 +260,33 @@ def sync(
                 F.lit(generation).cast("bigint").alias("generation"),
                 F.lit(None).cast("string").alias("layouts"),
             )
-            records, moved = read(at, generation)  # nothing yet: the log begins where it ends
-            snapshot = snapshots(keyspace, table)
-            return copied_records(snapshot, records, keyspace, table, names, generation), moved
+            records, moved, gone = read(at, generation)  # nothing yet: the log begins where it ends
+            return copied_records(snapshot, records, keyspace, table, names, generation), moved, gone
 
         opening = max(generation + 1, opened)
-        can_copy = snapshots is not None and snapshots(keyspace, table) is not None
+        snapshot = snapshots(keyspace, table) if snapshots is not None else None
+        can_copy = snapshot is not None
         if (keyspace, table) in lost and not can_copy:
             raise RuntimeError(f"the log of {keyspace}.{table} was removed before it was read: a snapshot is needed")
-        new = (keyspace, table) in fresh or (keyspace, table) in lost
+        if (keyspace, table) in remade and not can_copy:
+            raise log.LayoutChanged(f"layout of table {keyspace}.{table} changed beyond migration: run a full re-copy")
+        new = (keyspace, table) in fresh or (keyspace, table) in lost or (keyspace, table) in remade
         if new and can_copy:
-            records, moved = copy(opening)
+            records, moved, dropped = copy(opening)
         else:
             try:
-                records, moved = read(own, opening if new else generation)
+                records, moved, dropped = read(own, opening if new else generation)
             except log.LayoutChanged:
                 if not can_copy:
                     raise
                 new = True
-                records, moved = copy(opening)
+                records, moved, dropped = copy(opening)
         if new:
             records = sinks.emit_truncate(records, (opening, -1, -1, -1), keyspace=keyspace, table=table)
         sinks.write_records(records, f"{out_dir}/records/{keyspace}/{table}/run={run}", "overwrite")
+        if dropped:
+            kind = records.schema["seq"].dataType.simpleString()
+            sinks.write_schema_changes(spark, dropped, kind, f"{out_dir}/schema/{keyspace}/{table}/run={run}")
         others = done.join(moved.select(*SHARD, "table"), [*SHARD, "table"], "left_anti")
         done = settle(others.unionByName(moved, allowMissingColumns=True))
         text = state.write_checkpoint(done, f"{out_dir}/state/run={run}")

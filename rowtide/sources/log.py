@@ -256,3 +256,85 @@ def require_same_schema(events: DataFrame, selected: Sequence[str] | None = None
         raise LayoutChanged(
             f"layout of table {bad[0].keyspace}.{bad[0].table} changed: run a full re-copy"
         )
+
+
+def layout_steps(events: DataFrame) -> DataFrame:
+    """Each change of a layout: its place, the columns that came and went, and whether the others moved.
+
+    Columns are told by name, so a renamed one is one that went and one that came. The
+    window sees the FIELD events of one table in one shard.
+    """
+    log = W.partitionBy("keyspace", "shard", "table").orderBy(*ORDER)
+    fields = events.filter(F.col("event_type") == FIELD).select(
+        "keyspace", "shard", bare_name(F.col("table")).alias("table"), *ORDER, "fields"
+    )
+    older = fields.withColumn("older", F.lag("fields").over(log)).filter(F.col("older") != F.col("fields"))
+    return older.select(
+        "keyspace",
+        "shard",
+        "table",
+        *ORDER,
+        F.array_except("fields", "older").alias("added"),
+        F.array_except("older", "fields").alias("dropped"),
+        (F.array_intersect("older", "fields") != F.array_intersect("fields", "older")).alias("reordered"),
+    )
+
+
+def migration(events: DataFrame, selected: Sequence[str], pk: Sequence[str]) -> DataFrame:
+    """Per table, whether its layout changes can be followed without a re-copy, and what they dropped.
+
+    Columns may come and go. A new order of the others, a change of the primary key, a
+    ``selected`` column that no layout has, or a column that both came and went (its old
+    values and its new ones have no common order over shards) need a re-copy. ``dropped``
+    holds each column that went with its latest place.
+    """
+    listed = lambda names: F.array(*[F.lit(n) for n in names]).cast("array<string>")
+    steps = layout_steps(events)
+    keys = ["keyspace", "table"]
+    flat = lambda side: F.flatten(F.collect_list(side))
+    changed = steps.groupBy(*keys).agg(
+        F.bool_or("reordered").alias("reordered"), flat("added").alias("added"), flat("dropped").alias("gone")
+    )
+    went = (
+        steps.select(*keys, F.explode("dropped").alias("column"), F.struct(*ORDER).alias("at"))
+        .groupBy(*keys, "column")
+        .agg(F.max("at").alias("at"))
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list(F.struct("column", "at"))).alias("dropped"))
+    )
+    known = (
+        events.filter(F.col("event_type") == FIELD)
+        .groupBy("keyspace", bare_name(F.col("table")).alias("table"))
+        .agg(F.array_distinct(F.flatten(F.collect_set("fields"))).alias("known"))
+    )
+    none = F.array().cast("array<string>")
+    added, gone = F.coalesce("added", none), F.coalesce("gone", none)
+    recopy = (
+        F.coalesce("reordered", F.lit(False))
+        | F.arrays_overlap(added, gone)
+        | F.arrays_overlap(F.concat(added, gone), listed(pk))
+        | (F.size(F.array_except(listed(selected), "known")) > 0)
+    )
+    return (
+        known.join(changed, keys, "left")
+        .join(went, keys, "left")
+        .select(
+            *keys,
+            "dropped",
+            F.when(recopy, F.lit("RECOPY"))
+            .when((F.size(added) > 0) | (F.size(gone) > 0), F.lit("MIGRATE"))
+            .otherwise(F.lit("NONE"))
+            .alias("verdict"),
+        )
+    )
+
+
+def require_migratable(events: DataFrame, selected: Sequence[str], pk: Sequence[str]) -> dict[str, tuple[int, int]]:
+    """D7 as a gate: the columns of one table that went, with their places; raises where only a re-copy helps."""
+    found = {}
+    for row in migration(events, selected, pk).collect():  # one table's: as many entries as columns
+        if row.verdict == "RECOPY":
+            raise LayoutChanged(f"layout of table {row.keyspace}.{row.table} changed beyond migration: run a full re-copy")
+        for gone in row.dropped or []:
+            found[gone.column] = max(found.get(gone.column, (-1, -1)), tuple(gone["at"]))
+    return found
