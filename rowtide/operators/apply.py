@@ -202,6 +202,53 @@ def with_row_id(changes: DataFrame, columns: Sequence[str]) -> DataFrame:
     return changes.withColumns({"before": keyed("before"), "after": keyed("after")})
 
 
+#: Copies of one row that a task writes at once.
+COPIES = 100_000
+
+
+def signed_rows(changes: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Image pairs of a table without key as rows that come (``n`` = 1) and go (-1).
+
+    An update is one of each; with equal images it is none. Other columns are kept.
+    """
+    b, a = F.col("before"), F.col("after")
+    others = [c for c in changes.columns if c not in ("before", "after")]
+    row = lambda image: F.struct(*[image[c].alias(c) for c in columns])
+    side = lambda image, n: F.when(image.isNotNull(), F.struct(row(image).alias("row"), F.lit(n).alias("n")))
+    same = F.lit(True)
+    for c in columns:
+        same = same & b[c].eqNullSafe(a[c])
+    moves = F.when(b.isNotNull() & a.isNotNull() & same, F.array()).otherwise(F.array_compact(F.array(side(b, -1), side(a, 1))))
+    return changes.select(*others, F.inline(moves)).select(*others, "row", "n")
+
+
+def current_multiset(
+    signed: DataFrame, columns: Sequence[str], seq: str = "seq", truncate_seq=None, replayed: bool = True, index: str | None = None
+) -> DataFrame:
+    """A table without key after all its signed rows, equal rows as often as they are there.
+
+    Counts add up, so a delete takes one of several equal rows, whichever comes first in the
+    log. ``seq`` tells changes apart, over all shards: records that come again are counted
+    once (W11); ``replayed=False`` spares that shuffle where none do. Rows up to
+    ``truncate_seq`` are gone. A row that went more often than it came, as its beginning lies
+    before the log, is not there. ``index`` names a column that numbers equal rows from 1.
+
+    However often a row stands, it is one group with one count, combined on the map side; its
+    copies are written in pieces of ``COPIES``, dealt to as many tasks.
+    """
+    columns = list(columns)
+    if truncate_seq is not None:
+        signed = signed.filter(F.col(seq) > literal(truncate_seq, signed.schema[seq].dataType))
+    if replayed:
+        signed = signed.select(seq, "row", "n").distinct()
+    counted = signed.groupBy(*[F.col("row")[c].alias(c) for c in columns]).agg(F.sum("n").alias("__n")).filter("__n > 0")
+    pieces = counted.withColumn("__from", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n"), F.lit(COPIES).cast("bigint"))))
+    spread = pieces.repartition(*[F.col(f"`{c}`") for c in columns], "__from")
+    last = F.least(F.col("__n"), F.col("__from") + COPIES - 1)
+    numbered = spread.select(*columns, F.explode(F.sequence("__from", last)).alias(index or "__i"))
+    return numbered if index else numbered.drop("__i")
+
+
 def dropped_column(table: DataFrame, dropped: Sequence[str]) -> DataFrame:
     """A column gone at the source stays here, with null values."""
     return table.withColumns(

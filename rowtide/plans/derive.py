@@ -96,6 +96,20 @@ recs AS (
 """
 
 
+# The log's images: what stood before each change and what after it.
+ORDER_IMAGES_SQL = """
+base AS (SELECT o_orderkey AS k, o_orderstatus AS st, o_orderpriority AS pr FROM orders),
+images AS (
+  SELECT 'after' AS side, st, pr FROM base
+  UNION ALL SELECT 'before', st, pr FROM base WHERE k % 3 = 0
+  UNION ALL SELECT 'after', 'U', pr FROM base WHERE k % 3 = 0
+  UNION ALL SELECT 'before', CASE WHEN k % 3 = 0 THEN 'U' ELSE st END, pr FROM base WHERE k % 7 = 0
+  UNION ALL SELECT 'after', CASE WHEN k % 3 = 0 THEN 'U' ELSE st END, NULL FROM base WHERE k % 7 = 0
+  UNION ALL SELECT 'before', CASE WHEN k % 3 = 0 THEN 'U' ELSE st END, CASE WHEN k % 7 <> 0 THEN pr END FROM base WHERE k % 11 = 0
+  UNION ALL SELECT 'after', 'R', '9-RE' FROM base WHERE k % 22 = 0)
+"""
+
+
 # --- stream events -------------------------------------------------------------
 
 EVENTS_PER_RESPONSE = 50

@@ -237,3 +237,37 @@ def test_apply_a_truncate(spark, tmp_path):
     sinks.apply_records(up(2, 6), root, ["id"], COLUMNS, 4)
     sinks.apply_records(up(3, 2), root, ["id"], COLUMNS, 4)  # late, from before the TRUNCATE
     assert as_set(sinks.read_table(spark, root, ["id"], COLUMNS)) == {(2, "a", 1)}
+
+
+# --- tables without a key as multisets ----------------------------------------------------------
+
+def _signed(spark, *pairs):
+    kind = "struct<a: string, b: int>"
+    changes = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], f"seq int, before {kind}, after {kind}")
+    return apply.signed_rows(changes, ["a", "b"])
+
+
+def _rows(frame):
+    return sorted([tuple(r) for r in frame.collect()], key=repr)
+
+
+def test_a_delete_takes_one_of_equal_rows(spark):
+    x, y, none = ("x", 1), ("y", None), (None, None)
+    signed = _signed(spark, (None, x), (None, x), (x, None), (None, y), (y, y), (y, x), (None, none), (None, none), (None, y))
+    assert _rows(apply.current_multiset(signed, ["a", "b"])) == [("x", 1), ("x", 1), ("y", None), (None, None), (None, None)]
+    numbered = apply.current_multiset(signed, ["a", "b"], index="i")
+    assert _rows(numbered.filter("a = 'x'")) == [("x", 1, 1), ("x", 1, 2)]
+    # The same records again change nothing; after a TRUNCATE only what came later is there.
+    assert _rows(apply.current_multiset(signed.union(signed), ["a", "b"])) == _rows(apply.current_multiset(signed, ["a", "b"]))
+    assert _rows(apply.current_multiset(signed, ["a", "b"], truncate_seq=6)) == [("y", None), (None, None)]
+
+
+def test_a_row_older_than_the_log(spark):
+    x = ("x", 1)
+    assert _rows(apply.current_multiset(_signed(spark, (x, None), (x, None), (None, x)), ["a", "b"])) == []
+
+
+def test_a_row_in_many_copies_is_written_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(apply, "COPIES", 7)
+    signed = _signed(spark, *[(None, ("x", 1))] * 30)
+    assert _rows(apply.current_multiset(signed, ["a", "b"], index="i")) == sorted([("x", 1, i + 1) for i in range(30)], key=repr)
