@@ -34,6 +34,18 @@ def emit_truncate(records: DataFrame, seq, **place: str) -> DataFrame:
     return records.unionByName(truncate, allowMissingColumns=True)
 
 
+#: Operations and the names of their counts.
+COUNTS = {UPSERT: "upserts", UPDATE: "updates", DELETE: "deletes", TRUNCATE: "truncates"}
+
+
+def write_counts(spark: SparkSession, counts: Sequence[tuple], path: str) -> None:
+    """K4: records by operation of each table, added up over what one sync wrote of it."""
+    names = list(COUNTS.values())
+    rows = spark.createDataFrame(list(counts), "keyspace string, table string, " + ", ".join(f"{n} bigint" for n in names))
+    added = rows.groupBy("keyspace", "table").agg(*[F.sum(n).alias(n) for n in names])
+    added.coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def sync_report(records: DataFrame) -> DataFrame:
     """K4: counts by operation and the range of ``seq`` per keyspace, table and shard."""
     count = lambda op: F.count_if(F.col("op") == op)
@@ -89,7 +101,7 @@ def write_schema_changes(spark: SparkSession, dropped: Mapping[str, tuple], kind
 
 def dropped_places(spark: SparkSession, path: str) -> dict[str, tuple]:
     """The latest place of each column that any run under ``path`` found dropped; as many entries as columns."""
-    found = _read(spark, path)
+    found = read_if_there(spark, path)
     if found is None:
         return {}
     return {r["column"]: tuple(r["seq"]) for r in found.groupBy("column").agg(F.max("seq").alias("seq")).collect()}
@@ -110,7 +122,8 @@ def write_table(table: DataFrame, path: str) -> None:
 # file: a run that dies in between leaves no trace, and running it again gives the
 # same rows. Only the buckets that a run's keys fall into are read and rewritten.
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """What is at a path, or null if nothing is."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
@@ -121,7 +134,7 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
 
 def _current(spark: SparkSession, root: str) -> tuple[dict[int, int], int, int | tuple | None, dict[str, int | tuple]]:
     """(bucket -> version, last version, last truncate seq, dropped column -> seq); as many entries as buckets."""
-    versions = _read(spark, f"{root}/manifest")
+    versions = read_if_there(spark, f"{root}/manifest")
     if versions is None:
         return {}, 0, None, {}
     last = versions.agg(F.max("version")).first()[0]

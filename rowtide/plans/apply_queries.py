@@ -621,3 +621,60 @@ def dropped_in_place(spark, sf_dir):
     again = orders.filter("o_orderkey % 16 = 0").select("o_orderkey", "o_orderstatus", F.lit("back").alias("o_orderpriority"))
     sinks.apply_records(shape.snapshot_records(again, COLUMNS, seq=3), root, PK, COLUMNS, buckets=8)
     return sinks.read_table(spark, root, PK, COLUMNS)
+
+
+# --- copies by key range ----------------------------------------------------------------
+
+class _Died(RuntimeError):
+    pass
+
+
+@query(SNAPSHOT_SQL)
+def interrupted_copy(spark, sf_dir):
+    """A copy dies in its third range; the next sync goes on with that one, from the state that was left."""
+    root, source = _scratch(spark, "interrupted"), _order_source(spark)
+    events, asked = _order_log(spark, sf_dir, root), 0
+
+    def rows(keyspace: str, table: str) -> DataFrame:
+        nonlocal asked
+        asked += 1
+        if asked == 5:  # asked for its size and its keys, then for two ranges
+            raise _Died("the source went away")
+        return _orders_now(spark, sf_dir)
+
+    try:
+        sync(events, *source, root, "1", snapshots=rows, copy_ranges=5)
+    except _Died:
+        state = spark.read.text(f"{root}/state/run=1").first()[0]
+    sync(events, *source, root, "2", state, snapshots=rows, copy_ranges=5)
+    records = spark.read.parquet(f"{root}/records/shop/orders")
+    return apply.current_state(records, PK, COLUMNS, truncates=True)
+
+
+@query(CURRENT_SQL)
+def interleaved_copy(spark, sf_dir):
+    """The log grows between and during the ranges of a copy; rows are updated, deleted and inserted in all of them."""
+    root, source = _scratch(spark, "interleaved"), _order_source(spark)
+    events = _order_log(spark, sf_dir, root)
+    records = order_records(spark, sf_dir)
+    shards = d.read(spark, sf_dir, "orders").select("o_orderkey", d.shard_of("o_custkey").alias("shard"))
+    middle = 10 * d.read(spark, sf_dir, "orders").agg(F.floor(F.max("o_orderkey") / 2)).first()[0]
+    # The log's ends one after another; what a range reads lies half-way between two of them.
+    times = [middle, d.UPDATE_AT, d.UPDATE_AT + middle, d.NULL_AT + middle, d.DELETE_AT, d.DELETE_AT + middle, d.REINSERT_AT + middle]
+    now = 0
+
+    def log_now() -> DataFrame:
+        return events.filter(F.col("resp_id") <= (times[now] if now < len(times) else 1 << 62))
+
+    def rows(keyspace: str, table: str) -> DataFrame:
+        nonlocal now
+        begin = times[min(now, len(times) - 1)]
+        now += 1
+        end = times[now] if now < len(times) else 1 << 62
+        at = (begin + min(end, begin + middle)) // 2
+        return apply.current_state(records.filter(F.col("seq") <= at), PK, COLUMNS).join(shards, "o_orderkey")
+
+    sync(log_now, *source, root, "1", snapshots=rows, copy_ranges=4)
+    state = spark.read.text(f"{root}/state/run=1").first()[0]
+    sync(events, *source, root, "2", state, snapshots=rows, copy_ranges=4)
+    return apply.current_state(spark.read.parquet(f"{root}/records/shop/orders"), PK, COLUMNS, truncates=True)

@@ -20,11 +20,12 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rowtide.operators import cursor, shape, sinks, state
 from rowtide.operators.lineage import settle
+from rowtide.plans import copying
 from rowtide.sources import catalog as cat
 from rowtide.sources import log
 
@@ -35,6 +36,19 @@ SHARD = ["keyspace", "shard"]
 CURSORS = [*SHARD, "table", "position", "last_pk", "seq", "generation", "layouts"]
 
 Snapshots = Callable[[str, str], DataFrame | None]
+Events = DataFrame | Callable[[], DataFrame]
+#: Behind every event of a response, before the next response.
+LAST_EVENT = 1 << 62
+
+
+def peek(events: DataFrame) -> DataFrame:
+    """Per keyspace and shard the latest position of the log and the response that has it."""
+    return settle(
+        cursor.positions(events)
+        .filter(F.coalesce(F.col("position"), F.lit("")) != "")
+        .groupBy(*SHARD)
+        .agg(F.max_by("position", "seq").alias("latest"), F.max("seq").alias("latest_seq"))
+    )
 
 
 def place(generation: int, *numbers) -> Column:
@@ -150,22 +164,37 @@ def table_records(
 
 
 def copied_records(
-    snapshot: DataFrame, records: DataFrame, keyspace: str, table: str, columns: Sequence[str], generation: int
+    snapshot: DataFrame,
+    records: DataFrame,
+    keyspace: str,
+    table: str,
+    columns: Sequence[str],
+    generation: int,
+    marks: DataFrame | None = None,
 ) -> DataFrame:
-    """The snapshot as the first rows of a generation, typed like ``records``."""
+    """The snapshot as the first rows of a generation, typed like ``records``.
+
+    W15: with ``marks`` (shard, latest_seq), taken before the snapshot was read, a row stands
+    right behind what the log of its shard had by then: it outranks all of that, and gives way
+    to whatever the log tells of it later, be it before or after the row was read. Rows without
+    a shard stand at the beginning, below all of the log.
+    """
     row = records.schema["row"].dataType
     typed = snapshot.select(
         F.col("shard") if "shard" in snapshot.columns else F.lit("-").alias("shard"),
         *[F.col(c).cast(row[c].dataType).alias(c) for c in columns],
     )
-    copied = shape.snapshot_records(typed, columns).withColumns(
-        {"seq": place(generation, -1, 0, 0), "keyspace": F.lit(keyspace), "table": F.lit(table)}
-    )
+    at = place(generation, -1, 0, 0)
+    if marks is not None:
+        mark = marks.filter(F.col("keyspace") == keyspace).select("shard", F.col("latest_seq").alias("__mark"))
+        typed = typed.join(mark, "shard", "left")  # one row per shard
+        at = F.when(F.col("__mark").isNull(), at).otherwise(place(generation, F.col("__mark"), LAST_EVENT, 0))
+    copied = shape.snapshot_records(typed, columns).withColumns({"seq": at, "keyspace": F.lit(keyspace), "table": F.lit(table)})
     return copied.withColumn("row", F.col("row").cast(row)).select(records.columns)
 
 
 def sync(
-    events: DataFrame,
+    events: Events,
     catalog: DataFrame,
     selection: DataFrame,
     shards: DataFrame,
@@ -178,6 +207,7 @@ def sync(
     shard_names: str = "",
     migrate: bool = False,
     former: DataFrame | None = None,
+    copy_ranges: int = 1,
     **options,
 ) -> str:
     """Sync every selected table; returns the new state as JSON text.
@@ -195,11 +225,21 @@ def sync(
     is the catalog of the last sync: a table whose column order, primary key, or enum or set
     labels changed since is copied anew.
 
+    With ``copy_ranges`` over 1 a table is copied in so many ranges of its primary key, and the
+    log is read on after each of them, so that it is never far behind and the state is saved as
+    often. A sync that dies in a copy is taken up by the next one, given the state that it left
+    in ``out_dir/state/run=<run>``: only the ranges that aren't finished are read. ``events`` may
+    be a function that gives the log as it is at that time, and ``snapshots`` is asked anew for
+    each range.
+
     Records go to ``out_dir/records/<keyspace>/<table>/run=<run>``, what became of each
-    cursor to ``out_dir/report/run=<run>``, the state to ``out_dir/state/run=<run>`` after
-    each table. Tables are taken one after another, all shards of a table at once.
+    cursor to ``out_dir/report/run=<run>``, how many records of each operation each table got to
+    ``out_dir/counts/run=<run>`` (counted while they are written), the state to ``out_dir/state/run=<run>`` after
+    each table. Tables are taken one after another, those to copy last and small ones of them
+    first (D9), all shards of a table at once.
     """
-    spark, opened = events.sparkSession, int(time.time() * 1000)
+    now = events if callable(events) else lambda: events
+    spark, opened = catalog.sparkSession, int(time.time() * 1000)
     shards = cat.check_shards(shard_names, shards)
     chosen = selection.filter(F.col("included"))
     tables = settle(
@@ -220,12 +260,8 @@ def sync(
     fresh = {(r["keyspace"], r["table"]) for r in shape.truncate_gate(cursors).filter("truncate").collect()}
     lost = {(r["keyspace"], r["table"]) for r in cursors.filter("truncate").select("keyspace", "table").distinct().collect()}
     # Peeked once, before any snapshot is read.
-    latest = settle(
-        cursor.positions(events)
-        .filter(F.coalesce(F.col("position"), F.lit("")) != "")
-        .groupBy(*SHARD)
-        .agg(F.max_by("position", "seq").alias("latest"), F.max("seq").alias("latest_seq"))
-    )
+    seen = now()
+    latest = peek(seen)
     remade = set()
     if former is not None:
         verdicts = cat.schema_diff(former, catalog).filter(F.col("verdict") == "RECOPY").join(tables.select("keyspace", "table").distinct(), ["keyspace", "table"])
@@ -237,21 +273,43 @@ def sync(
     for r in cat.describe_columns(tables).orderBy("keyspace", "table", "ordinal").collect():
         described.setdefault((r["keyspace"], r["table"]), []).append(r.asDict())
 
+    state_run, counts = run, []
+    # What is only read on comes first, then the copies, small tables before large ones.
+    sizes = {}
+    for name in described:
+        frame = snapshots(*name) if snapshots is not None and name in fresh | lost | remade else None
+        if frame is not None:
+            sizes[name] = frame.count()
+    order = sorted(described, key=lambda name: (sizes.get(name, -1), name))
     before, done, text = cursors, cursors.drop("truncate"), state_text
-    for (keyspace, table), columns in described.items():
+    for keyspace, table in order:
+        columns = described[keyspace, table]
         names = [c["column"] for c in columns]
         of_table = (F.col("keyspace") == keyspace) & (F.col("table") == table)
         own = done.filter(of_table).join(shards.select(*SHARD), SHARD, "left_semi").select(*CURSORS)
         generation = own.agg(F.max("generation")).first()[0] or 0
 
-        def read(cursors: DataFrame, generation: int) -> tuple[DataFrame, DataFrame, dict[str, tuple]]:
+        def read(cursors: DataFrame, generation: int, log_now=seen, upto=latest) -> tuple[DataFrame, DataFrame, dict[str, tuple]]:
             return table_records(
-                events, columns, keyspace, table, names, cursors, latest, generation, migrate, **options
+                log_now, columns, keyspace, table, names, cursors, upto, generation, migrate, **options
             )
 
-        def copy(generation: int) -> tuple[DataFrame, DataFrame, dict[str, tuple]]:
-            """The snapshot, and cursors at the positions peeked before it."""
-            at = own.select(*SHARD, "table").join(latest, SHARD, "left").select(
+        def save(records: DataFrame, moved: DataFrame | None, run: str) -> None:
+            """Records first, then the state that says so; counted as they are written."""
+            nonlocal done, text
+            seen_ops = Observation()
+            count = lambda op: F.count_if(F.col("op") == op)
+            counted = records.observe(seen_ops, *[count(op).alias(name) for op, name in sinks.COUNTS.items()])
+            sinks.write_records(counted, f"{out_dir}/records/{keyspace}/{table}/run={run}", "overwrite")
+            counts.append((keyspace, table, *[seen_ops.get[name] for name in sinks.COUNTS.values()]))
+            if moved is not None:
+                others = done.join(moved.select(*SHARD, "table"), [*SHARD, "table"], "left_anti")
+                done = settle(others.unionByName(moved, allowMissingColumns=True))
+                text = state.write_checkpoint(done, f"{out_dir}/state/run={state_run}")
+
+        def begin(generation: int, upto: DataFrame = latest) -> DataFrame:
+            """Cursors at the positions peeked before a copy."""
+            return own.select(*SHARD, "table").join(upto, SHARD, "left").select(
                 *SHARD,
                 "table",
                 F.coalesce("latest", F.lit("")).alias("position"),
@@ -260,9 +318,44 @@ def sync(
                 F.lit(generation).cast("bigint").alias("generation"),
                 F.lit(None).cast("string").alias("layouts"),
             )
-            records, moved, gone = read(at, generation)  # nothing yet: the log begins where it ends
+
+        def truncated(records: DataFrame, generation: int) -> DataFrame:
+            return sinks.emit_truncate(records, (generation, -1, -1, -1), keyspace=keyspace, table=table)
+
+        def copy(generation: int) -> tuple[DataFrame, DataFrame, dict[str, tuple]]:
+            """The snapshot, and cursors at the positions peeked before it."""
+            records, moved, gone = read(begin(generation), generation)  # nothing yet: the log begins where it ends
             return copied_records(snapshot, records, keyspace, table, names, generation), moved, gone
 
+        def copy_by_range(way: copying.Copy, moved: DataFrame) -> None:
+            """The ranges that are left, the log after each; begun anew if the layout changes meanwhile."""
+            try:
+                copy_ranges_left(way, moved)
+            except log.LayoutChanged:
+                way.close(spark)
+                generation = max(way.generation + 1, int(time.time() * 1000))
+                fresh_plan = copying.plan_copy(snapshots(keyspace, table), copies, pk, copy_ranges, generation)
+                copy_ranges_left(fresh_plan, settle(begin(generation, peek(now()))))
+
+        def copy_ranges_left(way: copying.Copy, moved: DataFrame) -> None:
+            nothing = read(moved, way.generation, seen.limit(0), latest.limit(0))[0]
+            # Written again where a copy is taken up, at the same place, so it does nothing then.
+            save(truncated(nothing, way.generation), moved, f"copy-{way.generation}-begin")
+            for i in way.left():
+                marks = peek(now())
+                part = way.rows(snapshots(keyspace, table), pk, i)
+                save(copied_records(part, nothing, keyspace, table, names, way.generation, marks), None, f"copy-{way.generation}-{i}")
+                way.finish(spark, i)
+                log_now = now()
+                records, moved, gone = read(moved, way.generation, log_now, peek(log_now))
+                if gone:
+                    sinks.write_schema_changes(
+                        spark, gone, records.schema["seq"].dataType.simpleString(), f"{out_dir}/schema/{keyspace}/{table}/run={state_run}-{i}"
+                    )
+                moved = settle(moved)
+                save(records, moved, f"{state_run}-{way.generation}-{i}")
+            way.close(spark)
+
         opening = max(generation + 1, opened)
         snapshot = snapshots(keyspace, table) if snapshots is not None else None
         can_copy = snapshot is not None
@@ -270,7 +363,17 @@ def sync(
             raise RuntimeError(f"the log of {keyspace}.{table} was removed before it was read: a snapshot is needed")
         if (keyspace, table) in remade and not can_copy:
             raise log.LayoutChanged(f"layout of table {keyspace}.{table} changed beyond migration: run a full re-copy")
+        pk = [c["column"] for c in columns if c["is_pk"]]
+        copies = f"{out_dir}/copy/{keyspace}/{table}"
+        under_way = copying.open_copy(spark, copies, generation) if can_copy and generation else None
         new = (keyspace, table) in fresh or (keyspace, table) in lost or (keyspace, table) in remade
+        again = (keyspace, table) in lost or (keyspace, table) in remade
+        if under_way is not None and not again:
+            copy_by_range(under_way, own)
+            continue
+        if new and can_copy and copy_ranges > 1 and pk:
+            copy_by_range(copying.plan_copy(snapshot, copies, pk, copy_ranges, opening), settle(begin(opening)))
+            continue
         if new and can_copy:
             records, moved, dropped = copy(opening)
         else:
@@ -282,13 +385,11 @@ def sync(
                 new = True
                 records, moved, dropped = copy(opening)
         if new:
-            records = sinks.emit_truncate(records, (opening, -1, -1, -1), keyspace=keyspace, table=table)
-        sinks.write_records(records, f"{out_dir}/records/{keyspace}/{table}/run={run}", "overwrite")
+            records = truncated(records, opening)
         if dropped:
             kind = records.schema["seq"].dataType.simpleString()
             sinks.write_schema_changes(spark, dropped, kind, f"{out_dir}/schema/{keyspace}/{table}/run={run}")
-        others = done.join(moved.select(*SHARD, "table"), [*SHARD, "table"], "left_anti")
-        done = settle(others.unionByName(moved, allowMissingColumns=True))
-        text = state.write_checkpoint(done, f"{out_dir}/state/run={run}")
+        save(records, moved, run)
+    sinks.write_counts(spark, counts, f"{out_dir}/counts/run={run}")
     sinks.sync_outcome(before, done).coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/report/run={run}")
     return text
