@@ -84,15 +84,12 @@ def test_decimal_params(spark):
 
 
 def test_labels(spark):
-    cases = [
-        ("enum('moss','fern, dry','reed')", ["moss", "fern, dry", "reed"]),
-        ("ENUM('tide','skipper''s log','ebb')", ["tide", "skipper's log", "ebb"]),
-        ("set('oar','rope,knot','skipper''s log')", ["oar", "rope,knot", "skipper's log"]),
-        ("set('a(b)','c)')", ["a(b)", "c)"]),
-        ("enum('')", [""]),
-        ("enum(a,b)", ["a", "b"]),
-        ("varchar(3)", None),
-    ]
+    """Labels made of every pair of signs that matter to the quoting, one alone and several together."""
+    signs = ["", "k", "'", "''", ",", "(", ")", " "]
+    made = [a + b for a in signs for b in signs]
+    quoted = lambda labels: ",".join("'" + v.replace("'", "''") + "'" for v in labels)
+    cases = [(f"{kind}({quoted(labels)})", labels) for kind in ("enum", "SET") for labels in [[v] for v in made] + [made, made[::-1]]]
+    cases += [("enum(a,b)", ["a", "b"]), ("varchar(3)", None)]
     frame = spark.createDataFrame(cases, "t string, want array<string>")
     for r in frame.withColumn("got", T.parse_labels(F.col("t"))).collect():
         assert r.got == r.want, r.t
