@@ -5,9 +5,10 @@ not met are put in order: a sorted list is its trie in depth-first order, since
 shares with the one before it exactly the nodes of their common prefix. The walk keeps,
 for each byte of the path, the last token of that prefix's encoding. The last token of a
 prefix is the one token that ends there and stands as it is after the last token of the
-rest (two tokens stand if merging their joint bytes gives them back). So each node is
-worked out once for all words below it, and an encoding is read backwards, last token by
-last token. Memory is bounded by a batch and by the words a worker keeps.
+rest (two tokens stand if merging their joint bytes gives them back). The tokens that end
+at a node are known from the longest end of its path that starts any token, which is
+carried from node to node like the last tokens. So each node is worked out once for all
+words below it, and an encoding is read backwards, last token by last token. Memory is bounded by a batch and by the words a worker keeps.
 
 Defined cases: a null text is empty; an empty text has no tokens; special tokens in a text
 are recognised as the tokenizer does; rows are independent, so repeated rows, null ids
@@ -17,8 +18,10 @@ bytes that are not UTF-8 with U+FFFD; ids outside the vocabulary are an error.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +32,8 @@ from pyspark.sql import functions as F
 
 #: How the byte-level tokenizer parts a text into words (a fixed value of the format).
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for texts that are ASCII throughout.
+ASCII_WORDS = re.compile(WORDS.replace(r"^\s\p{L}\p{N}", r"^\sA-Za-z0-9").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]"), re.ASCII)
 CACHE_WORDS = 500_000
 CACHE_PAIRS = 1_000_000
 
@@ -62,7 +67,12 @@ class TrieEncoder:
             self.rank.setdefault(pair, n)
             self.merged.setdefault(pair, self.token[raw(a) + raw(b)])
             self.made_of.setdefault(self.merged[pair], pair)
-        self.longest = max(map(len, self.token))
+        #: States of a path: the longest of its ends that starts a token, and the tokens that end there with their lengths.
+        self.starts = {t[:n] for t in self.token for n in range(len(t) + 1)}
+        self.ends: list[bytes] = [b""]
+        self.tokens_at: list[list[tuple[int, int]]] = [[]]
+        self.state_of: dict[bytes, int] = {b"": 0}
+        self.next_state: dict[int, int] = {}
         self.words = regex.compile(WORDS)
         specials = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self.split = regex.compile(f"({specials})") if specials else None
@@ -135,29 +145,46 @@ class TrieEncoder:
             known = self.whole_memo[a] = self.merge(self.bytes_of[a]) == [a]
         return known
 
+    def _step(self, state: int, byte: int) -> int:
+        """The state behind one more byte; there are as many as starts of tokens, made when first met."""
+        end = self.ends[state] + bytes((byte,))
+        while end not in self.starts:
+            end = end[1:]
+        new = self.state_of.get(end)
+        if new is None:
+            new = self.state_of[end] = len(self.ends)
+            self.ends.append(end)
+            tails = [end[i:] for i in range(len(end))]
+            self.tokens_at.append([(self.token[t], len(t)) for t in tails if t in self.token])
+        self.next_state[state << 8 | byte] = new
+        return new
+
     def encode_words(self, words: list[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
         """Each of the distinct words with its ids, by one walk along their trie."""
-        token, longest, stands, memo = self.token, self.longest, self._stands, self.stands_memo
-        path, last, size = b"", [-1], [0]  # at each depth: the last token and its length
-        for data, word in sorted((w.encode("utf-8", "surrogatepass"), w) for w in words):
-            shared, most = 0, min(len(path), len(data))
-            while shared < most and path[shared] == data[shared]:
-                shared += 1
-            del last[shared + 1 :], size[shared + 1 :]
+        stands, memo, tokens_at, next_state = self._stands, self.stands_memo, self.tokens_at, self.next_state
+        path, last, size, states = b"", [-1], [0], [0]  # at each depth: the last token, its length, and the state
+        for word in sorted(words):  # letters in order are their bytes in order
+            data = word.encode("utf-8", "surrogatepass")
+            most = min(len(path), len(data))
+            differ = int.from_bytes(path[:most], "big") ^ int.from_bytes(data[:most], "big")
+            shared = most - (differ.bit_length() + 7) // 8
+            del last[shared + 1 :], size[shared + 1 :], states[shared + 1 :]
+            state = states[shared]
             for end in range(shared + 1, len(data) + 1):
-                for start in range(max(0, end - longest), end):
-                    t = token.get(data[start:end])
-                    if t is None:
-                        continue
-                    if start == 0:
+                byte = data[end - 1]
+                at = next_state.get(state << 8 | byte)
+                state = self._step(state, byte) if at is None else at
+                states.append(state)
+                for t, n in tokens_at[state]:
+                    if n == end:
                         fits = self._whole(t)
                     else:
-                        fits = memo.get((last[start], t))
+                        fits = memo.get((last[end - n], t))
                         if fits is None:
-                            fits = stands(last[start], t)
+                            fits = stands(last[end - n], t)
                     if fits:
                         last.append(t)
-                        size.append(end - start)
+                        size.append(n)
                         break
             path = data
             ids, at = [], len(data)
@@ -168,24 +195,30 @@ class TrieEncoder:
 
     def parts(self, text: str) -> list[str]:
         """Words and special tokens, in order."""
+        words = ASCII_WORDS if text.isascii() else self.words
         if self.split is None or "<" not in text:
-            return self.words.findall(text)
+            return words.findall(text)
         out = []
         for i, part in enumerate(self.split.split(text)):
-            out += [part] if i % 2 else self.words.findall(part)
+            out += [part] if i % 2 else words.findall(part)
         return out
 
     def learn(self, parted: list[list[str]]) -> None:
         """Encodes all words of these texts that are not known yet, together."""
-        new = {w for parts in parted for w in parts if w not in self.known}
+        met = set().union(*parted)
+        new = {w for w in met if w not in self.known}
         if len(self.known) + len(new) > CACHE_WORDS:
             self.known.clear()
-            new = {w for parts in parted for w in parts}
+            new = met
         for s in new & self.special.keys():
             self.known[s] = ((self.special[s],), str(self.special[s]), s.encode())
             new.discard(s)
-        for word, ids in self.encode_words(list(new)):
-            self.known[word] = (ids, ",".join(map(str, ids)), self.decode_bytes(ids))
+        gc.disable()  # nothing made here refers back to itself, and what is kept would be gone through again and again
+        try:
+            for word, ids in self.encode_words(list(new)):
+                self.known[word] = (ids, ",".join(map(str, ids)), self.decode_bytes(ids))
+        finally:
+            gc.enable()
 
     def decode_bytes(self, ids) -> bytes:
         return b"".join([self.bytes_of[i] for i in ids])
