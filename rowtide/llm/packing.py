@@ -34,25 +34,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rowtide.llm.bpe import byte_letters
 from rowtide.llm.common import settle
 
+_BYTE_LETTERS = {b: letter for letter, b in byte_letters().items()}
 MAX_LEN = 4096
 END_ID = 1
 #: Ranks are counted in groups of about this many pieces.
 RANK_GROUP = 500_000
 #: Words whose tokens a worker keeps; it starts anew beyond.
 CACHE_WORDS = 1_200_000
+#: Small letters that neither folding nor composing changes: a-z, and those of Latin-1 and Cyrillic.
+_SMALL = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf]|\xd0[\xb0-\xbf]|\xd1[\x80-\x8f])"
+_LETTERS = re.compile(_SMALL + rb"+")
 #: Signs that are words of their own to the tokenizer where they end a word after a letter or digit.
-_TAIL = re.compile(rb"(.*[A-Za-z0-9])([.,!?:;#*$%&|]+)", re.DOTALL)
+_TAIL = re.compile(rb"(.*(?:[A-Z0-9]|" + _SMALL + rb"))([.,!?:;#*$%&|]+)", re.DOTALL)
 _KEPT: dict[str, tuple[object, dict[bytes, bytes]]] = {}
 
 
 def _learn(tokenizer, known: dict[bytes, bytes], new: list[bytes]) -> None:
-    """Adds the ids of these words; a word with signs behind it is put together from both."""
+    """Adds the ids of these words; a word with signs behind it is put together from both.
+
+    A word of small letters is one word to the tokenizer too and nothing of it is folded, so
+    its bytes, in the letters that stand for them, go to the model itself.
+    """
     parts = {w: m.groups() for w in new if (m := _TAIL.fullmatch(w))}
     whole = dict.fromkeys(w for w in new if w not in parts)
     whole.update(dict.fromkeys(x for pair in parts.values() for x in pair))
-    ask = [w for w in whole if w not in known]
+    model, ask = tokenizer.model, []
+    for w in whole:
+        if w in known:
+            continue
+        if _LETTERS.fullmatch(w):
+            known[w] = np.asarray([t.id for t in model.tokenize(w.decode("latin-1").translate(_BYTE_LETTERS))], "<u4").tobytes()
+        else:
+            ask.append(w)
     for at in range(0, len(ask), 20_000):
         part = ask[at : at + 20_000]
         texts = [w.decode("utf-8", "surrogatepass") for w in part]
@@ -79,13 +95,14 @@ def _token_bytes(path: str, texts: list[str]) -> Iterator[bytes]:
     for text in texts:
         raw = text.encode("utf-8", "surrogatepass")
         found = (raw if b"<|" in raw else raw.lower()).split()
-        new = [w for w in dict.fromkeys(found) if w not in known]
+        own = {w: known.get(w) for w in dict.fromkeys(found)}
+        new = [w for w, ids in own.items() if ids is None]
         if len(known) + 2 * len(new) > CACHE_WORDS:
             known.clear()
-            new = list(dict.fromkeys(found))
         if new:
             _learn(tokenizer, known, new)
-        yield b"".join(map(known.__getitem__, found))
+            own.update((w, known[w]) for w in new)
+        yield b"".join(map(own.__getitem__, found))
 
 
 def pieces(
