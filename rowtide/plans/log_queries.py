@@ -438,3 +438,58 @@ def sync_outcome(spark, sf_dir):
     moved = F.when(F.col("shard") == "gone", F.lit("moved")).otherwise(F.col("position"))
     after = _expired(spark, sf_dir).withColumn("position", moved)
     return sinks.sync_outcome(d.saved_state(spark, sf_dir), after)
+
+
+# The events as three shards that number their responses one by one; stretches of each are lost.
+HOLED_SQL = """
+holed AS (
+  SELECT DISTINCT 's' || CAST(event_id % 3 AS VARCHAR) AS shard, event_id // 3 AS id FROM events
+  WHERE (event_id // 3) // 100 % 7 <> event_id % 3 + 2),
+steps AS (SELECT shard, id, lag(id) OVER (PARTITION BY shard ORDER BY id) AS prev FROM holed)
+"""
+
+
+def _holed(spark, sf_dir):
+    i = F.col("event_id")
+    number = F.floor(i / 3).cast("bigint")
+    whole = d.read(spark, sf_dir, "events").select(
+        F.lit("shop").alias("keyspace"),
+        F.concat(F.lit("s"), (i % 3).cast("string")).alias("shard"),
+        number.alias("resp_id"),
+        (F.floor(number / 100) % 7 != i % 3 + 2).alias("there"),
+    )
+    return whole.filter("there").drop("there")
+
+
+@query(f"""WITH {HOLED_SQL}
+SELECT shard, prev + 1 AS lost_from, id - 1 AS lost_to FROM steps WHERE id - prev > 1""")
+def log_gaps(spark, sf_dir):
+    """The stretches of a log that are missing, found in the log itself."""
+    return log.log_gaps(_holed(spark, sf_dir)).select("shard", "lost_from", "lost_to")
+
+
+@query(f"""WITH {HOLED_SQL},
+ends AS (SELECT shard, max(id) - 1 AS upto FROM steps WHERE prev IS NULL OR id - prev > 1 GROUP BY shard),
+top AS (SELECT max(event_id) // 3 AS n FROM events),
+saved AS (
+  SELECT 't' || CAST(c_custkey AS VARCHAR) AS tbl, 's' || CAST(c_custkey % 3 AS VARCHAR) AS shard,
+         c_custkey * 37 % (n + 1) AS seq FROM customer, top)
+SELECT tbl AS "table", saved.shard, CASE WHEN seq < upto THEN 'BINLOG_EXPIRATION_ERROR' END AS error_code,
+       CASE WHEN seq >= upto THEN seq END AS seq, seq < upto AS truncate
+FROM saved JOIN ends ON saved.shard = ends.shard""")
+def lost_log_reset(spark, sf_dir):
+    """Cursors before a missing stretch start over; nobody says what was purged."""
+    top = d.read(spark, sf_dir, "events").agg(F.floor(F.max("event_id") / 3).alias("n"))
+    key = F.col("c_custkey").cast("bigint")
+    seq = key * 37 % (F.lit(top.first()["n"]) + 1)
+    saved = d.read(spark, sf_dir, "customer").select(
+        F.lit("shop").alias("keyspace"),
+        F.concat(F.lit("t"), key.cast("string")).alias("table"),
+        F.concat(F.lit("s"), (key % 3).cast("string")).alias("shard"),
+        F.concat(F.lit("p"), seq.cast("string")).alias("position"),
+        F.lit(None).cast("string").alias("last_pk"),
+        seq.alias("seq"),
+    )
+    return cursor.expired_log_reset(saved, log.lost_upto(_holed(spark, sf_dir))).select(
+        "table", "shard", "error_code", "seq", "truncate"
+    )

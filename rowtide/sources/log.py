@@ -338,3 +338,60 @@ def require_migratable(events: DataFrame, selected: Sequence[str], pk: Sequence[
         for gone in row.dropped or []:
             found[gone.column] = max(found.get(gone.column, (-1, -1)), tuple(gone["at"]))
     return found
+
+
+# --- lost pieces of a log ----------------------------------------------------
+
+#: Responses are put in order in spans of so many numbers, each a set of bounded size.
+SPAN = 4096
+
+
+def log_islands(events: DataFrame) -> DataFrame:
+    """Per keyspace and shard, the runs of response numbers without a hole (``first``, ``last``).
+
+    For logs that number the responses of a shard one by one. The numbers of a span are
+    gathered as a set, combined on the map side, so repeated events cost nothing; each span is
+    cut into runs on its own, and only runs, one per span of a whole log, are joined over a
+    shard. Events without a number are left out; an empty log has no runs.
+    """
+    place = ["keyspace", "shard"]
+    spans = (
+        events.filter(F.col("resp_id").isNotNull())
+        .groupBy(*place, F.floor(F.col("resp_id") / SPAN).alias("span"))
+        .agg(F.sort_array(F.collect_set("resp_id")).alias("ids"))
+    )
+    near = lambda i: F.get("ids", i)
+    starts = F.filter("ids", lambda x, i: (i == 0) | (x - near(F.greatest(i - 1, F.lit(0))) > 1))
+    ends = F.filter("ids", lambda x, i: F.coalesce(near(i + 1) - x > 1, F.lit(True)))
+    runs = spans.select(*place, F.explode(F.arrays_zip(starts.alias("first"), ends.alias("last"))).alias("r")).select(*place, "r.*")
+    order = W.partitionBy(*place).orderBy("first")
+    opens = F.coalesce(F.col("first") - F.lag("last").over(order) > 1, F.lit(True))
+    return (
+        runs.withColumn("opens", opens.cast("bigint"))
+        .withColumn("island", F.sum("opens").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
+        .groupBy(*place, "island")
+        .agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        .drop("island")
+    )
+
+
+def log_gaps(events: DataFrame) -> DataFrame:
+    """Per keyspace and shard, the response numbers that are missing (``lost_from``, ``lost_to``), ends included.
+
+    What is missing before the log's first response can't be told from the log; ``lost_upto``
+    covers it.
+    """
+    order = W.partitionBy("keyspace", "shard").orderBy("first")
+    before = log_islands(events).withColumn("before", F.lag("last").over(order))
+    return before.filter(F.col("before").isNotNull()).select(
+        "keyspace", "shard", (F.col("before") + 1).alias("lost_from"), (F.col("first") - 1).alias("lost_to")
+    )
+
+
+def lost_upto(events: DataFrame) -> DataFrame:
+    """Per keyspace and shard, the highest response that is not there, as ``purged_upto``.
+
+    From there on the log has no hole, so a cursor at or behind it goes on, and one before it
+    has lost something: what ``expired_log_reset`` asks for. Responses that are only late look lost.
+    """
+    return log_islands(events).groupBy("keyspace", "shard").agg((F.max("first") - 1).alias("purged_upto"))

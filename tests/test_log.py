@@ -404,3 +404,47 @@ def test_made_progress(spark):
         [("k", "t", "a", "q", None), ("k", "t", "b", "p", None), ("k", "t", "c", "", None), ("k", "t", "d", "p", None)], STATE)
     got = {r.shard: r.progressed for r in cursor.made_progress(before, after).collect()}
     assert got == {"a": True, "b": True, "c": False, "d": True}
+
+
+def _numbered(spark, *ids, shard="-80"):
+    return spark.createDataFrame([("shop", shard, i) for i in ids], "keyspace string, shard string, resp_id bigint")
+
+
+def _gaps(frame):
+    return sorted((r.shard, r.lost_from, r.lost_to) for r in log.log_gaps(frame).collect())
+
+
+def test_log_gaps_edges(spark):
+    span = log.SPAN
+    assert _gaps(_numbered(spark)) == []
+    assert _gaps(_numbered(spark, None, 5)) == []
+    assert _gaps(_numbered(spark, 3, 3, 4, None, 5)) == []
+    assert _gaps(_numbered(spark, *range(span - 2, span + 3))) == []  # across the border of spans
+    assert _gaps(_numbered(spark, span - 1, span + 1)) == [("-80", span, span)]
+    assert _gaps(_numbered(spark, 1, 5 * span)) == [("-80", 2, 5 * span - 1)]
+    both = _numbered(spark, 1, 2, 3).union(_numbered(spark, 1, 3, shard="80-"))
+    assert _gaps(both) == [("80-", 2, 2)]
+
+
+def test_log_gaps_against_a_set(spark):
+    dice = random.Random(5)
+    ids = [i for i in range(3 * log.SPAN) if dice.random() > 0.01 and not 4000 < i < 4300]
+    want, there = [], set(ids)
+    for i in range(min(ids), max(ids)):
+        if i not in there:
+            if want and want[-1][1] == i - 1:
+                want[-1] = (want[-1][0], i)
+            else:
+                want.append((i, i))
+    frame = _numbered(spark, *dice.sample(ids, len(ids)), *ids[:50])
+    assert [(a, b) for _, a, b in _gaps(frame)] == want
+
+
+def test_lost_upto_resets_the_cursors_before_it(spark):
+    frame = _numbered(spark, 4, 5, 6, 9, 10)
+    state_rows = [("shop", f"t{s}", "-80", f"p{s}", None, s) for s in (3, 7, 8, 10)]
+    saved = spark.createDataFrame(state_rows, "keyspace string, table string, shard string, position string, last_pk string, seq bigint")
+    upto = log.lost_upto(frame)
+    assert [r.purged_upto for r in upto.collect()] == [8]
+    got = cursor.expired_log_reset(saved, upto).filter("error_code is not null")
+    assert sorted(r["table"] for r in got.collect()) == ["t3", "t7"]
