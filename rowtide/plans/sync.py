@@ -204,6 +204,7 @@ def sync(
     starts_text: str | None = None,
     snapshots: Snapshots | None = None,
     purged: DataFrame | None = None,
+    numbered: bool = False,
     shard_names: str = "",
     migrate: bool = False,
     former: DataFrame | None = None,
@@ -214,7 +215,8 @@ def sync(
 
     ``selection`` has ``keyspace, table, column, included``. ``snapshots(keyspace, table)``
     gives a table's rows as they are now, with its columns by name and ``shard``, or null.
-    ``purged`` has ``keyspace, shard, purged_upto``, the last response that was removed.
+    ``purged`` has ``keyspace, shard, purged_upto``, the last response that was removed. Where the
+    responses of a shard are ``numbered`` one by one, it is found in the log behind the least cursor.
     ``shard_names`` is a comma list of the shards to read; empty means all. A generation is
     numbered by the milliseconds at which its sync began, so that a copy outranks all that an
     earlier sync applied, even if its state is lost.
@@ -252,6 +254,9 @@ def sync(
         state.starting_positions(spark, starts_text),
     ).drop("start_ignored")
     state.require_state(tables.select("keyspace", "table").distinct(), cursors)
+    if purged is None and numbered:
+        least = cursors.agg(F.min("seq")).first()[0]
+        purged = log.lost_upto(now() if least is None else now().filter(F.col("resp_id") > least))
     if purged is not None:
         cursors = cursor.expired_log_reset(cursors.drop("error_code"), purged)
     else:

@@ -191,6 +191,22 @@ def test_removed_log(spark, setting, tmp_path):
     assert table(spark, out) == expected(source)
 
 
+def test_lost_responses_are_found_by_their_numbers(spark, setting, tmp_path):
+    source, out = started(1, 2), str(tmp_path / "out")
+    text = sync(source.frame(spark), *setting, out, "0", numbered=True)
+    source.change(2, {"id": 2, "kind": "b", "qty": 9, "flag": False})
+    text = sync(source.frame(spark), *setting, out, "1", text, numbered=True)  # nothing is missing
+    assert table(spark, out) == expected(source)
+    source.change(1, None)
+    hole = source.resp["-80"]
+    source.change(3, {"id": 3, "kind": "a", "qty": 1, "flag": True})
+    source.log = [e for e in source.log if (e[1], e[2]) != ("-80", hole)]
+    with pytest.raises(RuntimeError, match="a snapshot is needed"):
+        sync(source.frame(spark), *setting, out, "2", text, numbered=True)
+    sync(source.frame(spark), *setting, out, "2", text, numbered=True, snapshots=snapshot_of(spark, source))
+    assert table(spark, out) == expected(source)
+
+
 def test_report_and_chosen_shards(spark, setting, tmp_path):
     source, out = started(1, 2), str(tmp_path / "out")
     text = sync(source.frame(spark), *setting, out, "0", shard_names="80-")
