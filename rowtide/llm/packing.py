@@ -24,6 +24,7 @@ tokenizer parts words at white space and nothing it does looks across.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -48,7 +49,7 @@ CACHE_WORDS = 1_200_000
 _SMALL = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf]|\xd0[\xb0-\xbf]|\xd1[\x80-\x8f])"
 _LETTERS = re.compile(_SMALL + rb"+")
 #: Signs that are words of their own to the tokenizer where they end a word after a letter or digit.
-_TAIL = re.compile(rb"(.*(?:[A-Z0-9]|" + _SMALL + rb"))([.,!?:;#*$%&|]+)", re.DOTALL)
+_SIGNS = b".,!?:;#*$%&|"
 _KEPT: dict[str, tuple[object, dict[bytes, bytes]]] = {}
 
 
@@ -58,7 +59,11 @@ def _learn(tokenizer, known: dict[bytes, bytes], new: list[bytes]) -> None:
     A word of small letters is one word to the tokenizer too and nothing of it is folded, so
     its bytes, in the letters that stand for them, go to the model itself.
     """
-    parts = {w: m.groups() for w in new if (m := _TAIL.fullmatch(w))}
+    parts = {}
+    for w in new:
+        stem = w.rstrip(_SIGNS)
+        if len(stem) < len(w) and (stem[-1:].isalnum() or _LETTERS.fullmatch(stem[-2:])):
+            parts[w] = (stem, w[len(stem) :])
     whole = dict.fromkeys(w for w in new if w not in parts)
     whole.update(dict.fromkeys(x for pair in parts.values() for x in pair))
     model, ask = tokenizer.model, []
@@ -66,14 +71,15 @@ def _learn(tokenizer, known: dict[bytes, bytes], new: list[bytes]) -> None:
         if w in known:
             continue
         if _LETTERS.fullmatch(w):
-            known[w] = np.asarray([t.id for t in model.tokenize(w.decode("latin-1").translate(_BYTE_LETTERS))], "<u4").tobytes()
+            ids = [t.id for t in model.tokenize(w.decode("latin-1").translate(_BYTE_LETTERS))]
+            known[w] = struct.pack(f"<{len(ids)}I", *ids)
         else:
             ask.append(w)
     for at in range(0, len(ask), 20_000):
         part = ask[at : at + 20_000]
         texts = [w.decode("utf-8", "surrogatepass") for w in part]
         for w, e in zip(part, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
-            known[w] = np.asarray(e.ids, "<u4").tobytes()
+            known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
     for w, (stem, signs) in parts.items():
         known[w] = known[stem] + known[signs]
 
