@@ -1,15 +1,15 @@
 """Secrets found through a trigram inverted index.
 
 From each rule's regular expression come trigrams that a match must hold, as a Boolean
-query: alternatives are ORed, the trigrams of one alternative ANDed. The index holds the
+query (``trigram_query``): alternatives are ORed, the trigrams of one alternative ANDed. The index holds the
 postings (trigram, document) of every trigram that any query names, letters folded to
 lower case; a rule's postings are intersected per document, and only documents that meet
 its query are verified with the expression itself. Rules without mandatory trigrams, such
 as runs of hexadecimal digits, are run over every document.
 
 Trigrams are looked for with plain substring search and postings meet in one aggregate
-per document, a bit for each trigram, combined on the map side: however common a trigram
-is, a document costs one row.
+per document, a bit for each trigram in as many masks as it takes, combined on the map side:
+however common a trigram is, a document costs one row.
 
 Defined cases: a null text is empty; an empty text has no spans; spans are code points
 from 0, the end exclusive; matches of one rule don't overlap, those of different rules
@@ -26,73 +26,79 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import lower_ascii, text_of
+from rowtide.llm.regex_trigrams import Clause, trigram_query
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret. ``alternatives``: the literals that a match must hold, one set of them each."""
+    """A kind of secret."""
 
     kind: str
     pattern: str
-    alternatives: tuple[tuple[str, ...], ...] = ()
     #: A group and the characters it must have at least, else the match is dropped.
     least: tuple[int, int] = (0, 1)
 
-    def query(self) -> tuple[frozenset[str], ...]:
-        """A match holds every trigram of one of these sets; empty if nothing is certain."""
-        sets = [frozenset(t for literal in a for t in trigrams(literal)) for a in self.alternatives]
-        return tuple(sets) if sets and all(sets) else ()
-
-
-def trigrams(literal: str) -> set[str]:
-    return {literal.lower()[i : i + 3] for i in range(len(literal) - 2)}
+    def query(self) -> tuple[Clause, ...]:
+        """A match holds, of every clause, all trigrams of one set; empty if nothing is certain."""
+        return trigram_query(self.pattern)
 
 
 RULES = (
     Rule(
         "assign",
         r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-        (("password",), ("passwd",), ("secret",), ("token",), ("api", "key")),
         (2, 6),
     ),
-    Rule("access", r"AKIA[A-Z0-9]+", (("AKIA",),), (0, 20)),
+    Rule("access", r"AKIA[A-Z0-9]+", (0, 20)),
     # A run of 24 and more is found at the same place as the whole run cut by length.
     Rule("hex", r"[0-9a-f]{24,}"),
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", (("ghp_",), ("gho_",), ("ghu_",), ("ghs_",), ("ghr_",))),
-    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", (("xox",),)),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", (("eyJ", ".eyJ"),)),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", (("-----BEGIN ", "PRIVATE KEY-----"),)),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 BASE = ("assign", "access", "hex")
 
 
+#: Trigrams of one mask: the bits of a long but for its sign.
+MASK = 63
+
+
 def vocabulary(rules: tuple[Rule, ...] = RULES) -> list[str]:
-    """The trigrams that any rule asks for; 63 at most, one bit each."""
-    found = sorted({t for r in rules for s in r.query() for t in s})
-    if len(found) > 63:
-        raise ValueError(f"{len(found)} trigrams in one index; split the rules into groups")
-    return found
+    """The trigrams that any rule asks for."""
+    return sorted({t for r in rules for clause in r.query() for way in clause for t in way})
 
 
 def postings(docs: DataFrame, doc_id: str, text: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(trigram, doc, version): where each trigram of the rules occurs."""
     folded = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("version"), lower_ascii(text_of(text)).alias("__t"))
-    held = F.array_compact(F.array(*[F.when(F.contains("__t", F.lit(t)), F.lit(t)) for t in vocabulary(rules)]))
+    looked = [F.when(F.contains("__t", F.lit(t)), F.lit(t)) for t in vocabulary(rules)]
+    held = F.array_compact(F.array(*looked).cast("array<string>"))
     return folded.select("doc", "version", F.explode(held).alias("trigram"))
 
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(doc, version, rules): documents that meet the trigram query of a rule, a bit for each rule."""
-    bit = {t: 1 << i for i, t in enumerate(vocabulary(rules))}
-    mask = F.create_map(*[F.lit(x) for t, b in bit.items() for x in (t, b)])[F.col("trigram")]
-    met = index.groupBy("doc", "version").agg(F.bit_or(mask).alias("held"))
-    wanted = F.lit(0)
+    """(doc, version, rules): documents that meet the trigram query of a rule, by the numbers of the rules."""
+    place = {t: divmod(i, MASK) for i, t in enumerate(vocabulary(rules))}
+    masks = max((m for m, _ in place.values()), default=-1) + 1
+    if not masks:
+        return index.select("doc", "version", F.array().cast("array<int>").alias("rules")).limit(0)
+    bits = [F.create_map(*[F.lit(x) for t, (k, b) in place.items() if k == m for x in (t, 1 << b)]) for m in range(masks)]
+    met = index.groupBy("doc", "version").agg(*[F.bit_or(bits[m][F.col("trigram")]).alias(f"held{m}") for m in range(masks)])
+
+    def holds(way: frozenset[str]) -> Column:
+        need = [0] * masks
+        for t in way:
+            need[place[t][0]] |= 1 << place[t][1]
+        return reduce(lambda a, b: a & b, [F.col(f"held{m}").bitwiseAND(F.lit(n)) == n for m, n in enumerate(need) if n])
+
+    wanted = []
     for i, rule in enumerate(rules):
-        need = [sum(bit[t] for t in s) for s in rule.query()]
-        if need:
-            any_of = reduce(lambda a, b: a | b, [F.col("held").bitwiseAND(F.lit(n)) == n for n in need])
-            wanted = wanted + F.when(any_of, F.lit(1 << i)).otherwise(0)
-    return met.select("doc", "version", wanted.alias("rules")).filter("rules > 0")
+        clauses = [reduce(lambda a, b: a | b, [holds(way) for way in clause]) for clause in rule.query()]
+        if clauses:
+            # A mask without any posting is null, and so is a clause that asks for it: no candidate.
+            wanted.append(F.when(reduce(lambda a, b: a & b, clauses), F.lit(i)))
+    return met.select("doc", "version", F.array_compact(F.array(*wanted)).alias("rules")).filter(F.size("rules") > 0)
 
 
 def _spans(text: Column, rule: Rule) -> Column:
@@ -138,13 +144,13 @@ def find_secrets(
     hits = candidates(postings(docs, doc_id, text, rules), rules)
     same = F.col(f"d.`{doc_id}`").eqNullSafe(F.col("c.doc")) & (F.xxhash64(F.col(f"d.`{text}`")) == F.col("c.version"))
     joined = docs.alias("d").join(hits.alias("c"), same, "left")
-    own, wanted = F.coalesce(F.col(f"d.`{text}`"), F.lit("")), F.coalesce(F.col("c.rules"), F.lit(0))
+    own, wanted = F.coalesce(F.col(f"d.`{text}`"), F.lit("")), F.col("c.rules")
     empty = F.array().cast("array<struct<start:int,kind_no:int,kind:string,end:int>>")
     per_rule = []
     for i, rule in enumerate(rules):
         verify = own.rlike(rule.pattern)
         if rule.query():
-            verify = (wanted.bitwiseAND(F.lit(1 << i)) != 0) & verify
+            verify = F.coalesce(F.array_contains(wanted, i), F.lit(False)) & verify
         per_rule.append(F.when(verify, _named(_spans(own, rule), i, rule.kind)).otherwise(empty))
     return joined.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.sort_array(F.concat(*per_rule)).alias("secrets"))
 
