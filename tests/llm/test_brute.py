@@ -214,23 +214,36 @@ def test_plan_places_every_rank_once(seed):
     assert n <= np.ceil((counts * np.arange(full + 1)).sum() / full) * 1.02 + 1
 
 
-def test_phrases_by_substring_search(spark):
-    samples = {"x": ["abra cadabra abracadabra", "Zürich!"], "y": ["cadence; arcade", "ß"]}
+def test_phrases_by_substring_search(spark, monkeypatch):
+    samples = {"x": ["abra cadabra abracadabra", "Zürich!"], "y": ["cadence; arcade", "ß"], "z": ["", "中文字"]}
     model = langid.train(samples)
-    texts = ["Abracadabra arcade", "zzz?ß", "", "ca" * 700]
-    got, _ = langid.phrases(model, texts)
+    texts = ["Abracadabra arcade", "zzz?ß", "", "ca" * 700, "abra cadence 中文中 zürich " * 300, "文字中文 ß"]
+    want = np.zeros((len(texts), len(samples)), int)
     for k, t in enumerate(texts):
-        codes = langid._columns(model.letter, t).tobytes()
+        codes = langid._columns(model.letter, t).tolist()
         for g, lang in enumerate(model.langs):
-            trained, n = langid._columns(model.letter, "\n".join(samples[lang])).tobytes(), 0
-            for a in range(0, len(codes), langid.BLOCK):
-                block, i = codes[a : a + langid.BLOCK], 0
-                while i < len(block):
-                    j = i
-                    while j < len(block) and block[j] and block[i : j + 1] in trained:
-                        j += 1
-                    n, i = n + 1, max(j, i + 1)
-            assert got[k, g] == n
+            trained = "".join(map(chr, langid._columns(model.letter, "\n".join(samples[lang])).tolist()))
+            i = 0
+            while i < len(codes):
+                j = i
+                while j < len(codes) and codes[j] and "".join(map(chr, codes[i : j + 1])) in trained:
+                    j += 1
+                want[k, g], i = want[k, g] + 1, max(j, i + 1)
+    for block in (1, 2, 7, 64, langid.BLOCK):  # wherever texts are cut, the parse is that of the whole
+        monkeypatch.setattr(langid, "BLOCK", block)
+        assert (langid.phrases(model, texts)[0] == want).all()
+
+
+def test_languages_of_many_letters(spark):
+    """Alphabets of any size side by side: the letters of one take no room from another's."""
+    draw = np.random.default_rng(5)
+    han = lambda lo: "".join(chr(c) for c in draw.integers(lo, lo + 3000, 20_000))
+    samples = {"zh": [han(0x4E00)], "ko": [han(0xAC00)], "ru": ["съешь ещё этих мягких булок " * 300], "en": ["the quick brown fox " * 300]}
+    model = langid.train(samples)
+    got = langid.predict(model, [samples[g][0][500:900] for g in ("zh", "ko", "ru", "en")])
+    assert got["lang_pred"].tolist() == ["zh", "ko", "ru", "en"]
+    letters = model.begin.shape[1]
+    assert letters > 5000 and model.cells.size <= len(samples) * (4 * 3 * langid.CHARS + letters)
 
 
 def test_language_of_held_out_texts(spark):
