@@ -13,8 +13,9 @@ from rowtide.plans import derive as d
 from rowtide.plans.registry import query
 from rowtide.plans.sync import sync
 from rowtide.session import shared_dir
+from rowtide.sources import catalog as cat
 from rowtide.sources import log
-from rowtide.streaming import tail
+from rowtide.streaming import raw, tail
 
 PK, COLUMNS = d.ORDERS_PK, d.ORDERS_COLUMNS
 
@@ -678,3 +679,56 @@ def interleaved_copy(spark, sf_dir):
     state = spark.read.text(f"{root}/state/run=1").first()[0]
     sync(events, *source, root, "2", state, snapshots=rows, copy_ranges=4)
     return apply.current_state(spark.read.parquet(f"{root}/records/shop/orders"), PK, COLUMNS, truncates=True)
+
+
+# --- the raw log as a stream ---------------------------------------------------------------
+
+def _described(spark: SparkSession, table: str, columns, types) -> list[dict]:
+    """A table's catalog rows, its first column the key."""
+    rows = [("shop", table, i + 1, c, t, "" if i else "PRI") for i, (c, t) in enumerate(zip(columns, types))]
+    catalog = spark.createDataFrame(
+        rows, "keyspace string, table string, ordinal int, column string, column_type string, column_key string"
+    )
+    return [r.asDict() for r in cat.describe_columns(catalog).orderBy("ordinal").collect()]
+
+
+def _tailed(spark: SparkSession, events: DataFrame, root: str, steps) -> None:
+    """The log landing piece by piece, the stream started anew after each."""
+    events.write.parquet(f"{root}/whole")
+    whole = spark.read.schema(events.schema).parquet(f"{root}/whole")
+    for low, high in zip([-1, *steps], [*steps, 1 << 62]):
+        piece = whole.filter((F.col("resp_id") > low) & (F.col("resp_id") <= high))
+        piece.write.mode("append").parquet(f"{root}/log")
+        raw.tail_raw_log(spark, f"{root}/log", events.schema, f"{root}/out")
+
+
+def _streamed(spark: SparkSession, schema, root: str, table: str, columns, types) -> DataFrame:
+    described = _described(spark, table, columns, types)
+    records = raw.typed_records(spark, f"{root}/out", schema, described, "shop", table, columns)
+    return apply.current_state(records, columns[:1], columns)
+
+
+@query(CURRENT_SQL)
+def streamed_log(spark, sf_dir):
+    """Raw responses as a stream, restarted between a field list and its rows."""
+    root, events = _scratch(spark, "rawlog"), d.raw_order_log(spark, sf_dir)
+    _tailed(spark, events, root, [0, d.UPDATE_AT, d.DELETE_AT])
+    return _streamed(spark, events.schema, root, "orders", COLUMNS, ORDER_TYPES)
+
+
+@query(f"""SELECT 'orders' AS source, o_orderkey AS id, o_orderstatus AS first, o_orderpriority AS second
+FROM ({CURRENT_SQL})
+UNION ALL
+SELECT 'customer', c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 THEN 'MOVED' ELSE c_mktsegment END
+FROM customer WHERE c_custkey % 5 <> 0""")
+def multi_table_sync(spark, sf_dir):
+    """Two tables dealt from one log in one pass, one of them with a layout that changes."""
+    root, events = _scratch(spark, "manytables"), d.raw_shop_log(spark, sf_dir)
+    _tailed(spark, events, root, [d.NULL_AT])
+    common = ["id", "first", "second"]
+    orders = _streamed(spark, events.schema, root, "orders", COLUMNS, ORDER_TYPES).select(*COLUMNS).toDF(*common)
+    customers = _streamed(spark, events.schema, root, "customer", d.CUSTOMER_COLUMNS, d.CUSTOMER_TYPES)
+    both = orders.withColumn("source", F.lit("orders")).unionByName(
+        customers.select(*d.CUSTOMER_COLUMNS).toDF(*common).withColumn("source", F.lit("customer"))
+    )
+    return both.select("source", *common)

@@ -504,3 +504,45 @@ def raw_order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         allowMissingColumns=True,
     )
     return stream.unionByName(layouts)
+
+
+CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_mktsegment"]
+CUSTOMER_TYPES = ("bigint", "varchar(40)", "varchar(20)")
+#: Responses at which customers change and go, behind those at which they come.
+CUSTOMER_MOVES, CUSTOMER_GOES = 1 << 33, 1 << 34
+
+
+def raw_shop_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_order_log`` with a second table in the same shards: customers come, every third moves, every fifth goes.
+
+    Their layout puts the name first before they move, and the key first from then on.
+    """
+    k = F.col("c_custkey")
+    bytes_of = lambda name, value: value.cast("string").cast("binary").alias(name)
+    wire = lambda order, **new: F.array(*[bytes_of(c, new.get(c, F.col(c))) for c in order])
+    old_order, moved = ["c_name", "c_custkey", "c_mktsegment"], F.lit("MOVED")
+    none = F.lit(None).cast("array<binary>")
+    now = F.when(k % 3 == 0, wire(CUSTOMER_COLUMNS, c_mktsegment=moved)).otherwise(wire(CUSTOMER_COLUMNS))
+    change = lambda at, before, after: F.struct(
+        (k + at).alias("resp_id"), F.array(F.struct(before.alias("before"), after.alias("after"))).alias("row_changes")
+    )
+    changes = F.array_compact(
+        F.array(
+            change(0, none, wire(old_order)),
+            F.when(k % 3 == 0, change(CUSTOMER_MOVES, wire(CUSTOMER_COLUMNS), now)),
+            F.when(k % 5 == 0, change(CUSTOMER_GOES, now, none)),
+        )
+    )
+    rows = read(spark, sf_dir, "customer").select(
+        F.lit("shop").alias("keyspace"), shard_of("c_custkey").alias("shard"), F.explode(changes).alias("c")
+    ).select("keyspace", "shard", "c.*", F.lit(10).alias("event_idx"), F.lit("ROW").alias("event_type"), F.lit("customer").alias("table"))
+    lists = F.array(
+        F.struct(F.lit(0).cast("bigint").alias("resp_id"), F.array(*map(F.lit, old_order)).alias("fields")),
+        F.struct(F.lit(CUSTOMER_MOVES).alias("resp_id"), F.array(*map(F.lit, CUSTOMER_COLUMNS)).alias("fields")),
+    )
+    fields = spark.range(1).select(
+        F.lit("shop").alias("keyspace"), F.explode(F.array(F.lit("-80"), F.lit("80-"))).alias("shard"), lists.alias("l")
+    ).select("keyspace", "shard", F.inline("l")).withColumns(
+        {"event_idx": F.lit(-1), "event_type": F.lit("FIELD"), "table": F.lit("customer")}
+    )
+    return raw_order_log(spark, sf_dir).unionByName(rows, allowMissingColumns=True).unionByName(fields, allowMissingColumns=True)
