@@ -1,14 +1,17 @@
 """Value conversion on single values."""
 
 import datetime as dt
+import random
 import struct
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rowtide.functions import convert as v
-from rowtide.functions.geometry import geojson_text, geometry_to_geojson, number_text
+from rowtide.functions.geometry import SHAPES as SHAPE_NAMES
+from rowtide.functions.geometry import geojson_array, geojson_text, geometry_to_geojson, number_text
 
 
 def one(spark, value, build, ddl="string"):
@@ -199,6 +202,53 @@ def test_geometry(spark):
     assert all(r.got == r.want for r in got) and len(got) == len(SHAPES) + 1
 
 
+def drawn_shape(draw, code, depth=0):
+    """A shape of the format and its coordinates or members as plain values."""
+    order = draw.choice("<>")
+    point = lambda: (draw.choice([0.0, -0.0, 1e10, 1e-7, 3.0, draw.uniform(-180, 180)]), draw.uniform(-1e12, 1e12))
+    some = [point() for _ in range(draw.randint(0, 4))]
+    if code == 1:
+        p = point()
+        return wkb(1, pts(p, order=order), order=order), list(p)
+    if code == 2:
+        return wkb(2, n(len(some), order), pts(*some, order=order), order=order), [list(p) for p in some]
+    k = draw.randint(0, 3)
+    if code == 3:
+        rings = [[point() for _ in range(draw.randint(0, 4))] for _ in range(k)]
+        body = b"".join(n(len(r), order) + pts(*r, order=order) for r in rings)
+        return wkb(3, n(k, order), body, order=order), [[list(p) for p in r] for r in rings]
+    inner = [draw.randint(1, 7 if depth < 2 else 3) if code == 7 else code - 3 for _ in range(k)]
+    parts = [drawn_shape(draw, c, depth + 1) for c in inner]
+    values = [as_object(c, v) if code == 7 else v for c, (_, v) in zip(inner, parts)]
+    return wkb(code, n(k, order), *[raw for raw, _ in parts], order=order), values
+
+
+def as_object(code, values):
+    return {"type": SHAPE_NAMES[code], "geometries" if code == 7 else "coordinates": values}
+
+
+def json_of(value):
+    if isinstance(value, dict):
+        return "{" + ",".join(f'"{k}":{json_of(v) if k != "type" else chr(34) + v + chr(34)}' for k, v in value.items()) + "}"
+    return "[" + ",".join(map(json_of, value)) + "]" if isinstance(value, list) else number_text(value)
+
+
+def test_drawn_shapes_in_one_batch():
+    draw = random.Random(11)
+    codes = [draw.randint(1, 7) for _ in range(600)]
+    drawn = [drawn_shape(draw, c) for c in codes]
+    values = [x for raw, _ in drawn for x in (b"srid" + raw, None)][1:]
+    want = [x for c, (_, v) in zip(codes, drawn) for x in (json_of(as_object(c, v)), None)][1:]
+    assert geojson_array(pa.array(values, pa.binary())).to_pylist() == want
+    assert geojson_array(pa.array(values, pa.binary())[7:]).to_pylist() == want[7:]
+    assert geojson_array(pa.array([None, None], pa.binary())).to_pylist() == [None, None]
+    # A value that ends too early is an error, whatever stands behind it in the batch.
+    for raw, _ in drawn[:60]:
+        for cut in range(5, len(raw)):
+            with pytest.raises(ValueError):
+                geojson_array(pa.array([b"srid" + raw[:cut], b"srid" + raw], pa.binary()))
+
+
 @pytest.mark.parametrize("raw", [b"", b"\0\0\0\0", b"\0\0\0\0" + wkb(9)])
 def test_bad_geometry(raw):
     with pytest.raises(Exception):
