@@ -576,7 +576,7 @@ def _migrating_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [stream, changes, ends, fields])
 
 
-def _described(spark: SparkSession, columns: list[str], *types: str):
+def _orders_described(spark: SparkSession, columns: list[str], *types: str):
     """Catalog and selection of the orders table with these columns."""
     catalog = spark.createDataFrame(
         [("shop", "orders", i + 1, c, t, "" if i else "PRI") for i, (c, t) in enumerate(zip(columns, types, strict=True))],
@@ -595,7 +595,8 @@ def migrated_table(spark, sf_dir):
     _migrating_log(spark, sf_dir).write.parquet(f"{root}/log")
     events = spark.read.parquet(f"{root}/log")
     shards = _order_source(spark)[2]
-    old, new = _described(spark, COLUMNS, *ORDER_TYPES), _described(spark, _NEW_COLUMNS, "bigint", "varchar(1)", "varchar(20)")
+    old = _orders_described(spark, COLUMNS, *ORDER_TYPES)
+    new = _orders_described(spark, _NEW_COLUMNS, "bigint", "varchar(1)", "varchar(20)")
     # The first sync ends while orders are still inserted, the second begins in the old layout and crosses to the new one.
     half = d.read(spark, sf_dir, "orders").agg(F.floor(F.max("o_orderkey") / 2) * 10).first()[0]
     state = sync(events.filter(F.col("resp_id") < half), *old, shards, root, "1")

@@ -1,5 +1,6 @@
 """Every registered query against its SQL twin, at the smallest scale."""
 
+import ast
 import sys
 from pathlib import Path
 
@@ -39,3 +40,10 @@ def test_a_wrong_twin_is_seen(spark, con, monkeypatch):
     assert "rows" in compare(spark, con, SF, "select_columns")
     wrong["select_columns"] = "SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderstatus FROM orders"
     assert "types" in compare(spark, con, SF, "select_columns")
+
+
+def test_no_name_is_defined_twice():
+    """A later function of the same name would take the place of the one that a query calls."""
+    for path in (ROOT / "rowtide").rglob("*.py"):
+        names = [n.name for n in ast.parse(path.read_text()).body if isinstance(n, ast.FunctionDef | ast.ClassDef)]
+        assert len(names) == len(set(names)), path
