@@ -16,11 +16,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rowtide.operators.lineage import settle
+from rowtide.operators.running import carry_forward
+
 
 # The event types that carry meaning; all others are ignored.
 FIELD, ROW, VGTID, LASTPK, COPY_COMPLETED = "FIELD", "ROW", "VGTID", "LASTPK", "COPY_COMPLETED"
 
 ORDER = ["resp_id", "event_idx"]
+#: Versions of a table's layout in a shard that rows are compared with one by one.
+FEW = 64
+#: Responses that are put in order together where layouts change more often.
+LAYOUT_SPAN = 4096
 
 
 # --- snapshots ---------------------------------------------------------------
@@ -174,27 +181,35 @@ def _versions(fields: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     )
 
 
-def layout_as_of(events: DataFrame) -> DataFrame:
+def layout_as_of(events: DataFrame, few: int = FEW, span: int = LAYOUT_SPAN) -> DataFrame:
     """Each ROW event with ``layout``, the field list in force before it.
 
     A FIELD event sets the list for its exact table name and for its bare name.
-    A row takes the exact name's list, else the bare name's. Versions are intervals of
-    the log that rows are joined with by table; there are few, so Spark broadcasts them,
-    and beyond that splits a hot table's rows.
+    A row takes the exact name's list, else the bare name's. Where no table has over ``few``
+    versions in a shard, they are broadcast as intervals of the log and the rows stay where
+    they are. Else rows and lists are put in order together, ``span`` responses at a time,
+    so the work is in proportion to the log however often layouts change.
     """
     named = events.filter(F.col("event_type").isin(FIELD, ROW)).withColumn(
         "__bare", bare_name(F.col("table"))
     )
-    fields = named.filter(F.col("event_type") == FIELD)
+    fields = settle(
+        named.filter(F.col("event_type") == FIELD).select("keyspace", "shard", "table", "__bare", *ORDER, "fields")
+    )
     rows = named.filter(F.col("event_type") == ROW)
-    for keys, name in ((["keyspace", "shard", "__bare"], "__by_bare"), (["keyspace", "shard", "table"], "__by_exact")):
-        versions = _versions(fields, keys, name)
-        at = F.struct(*ORDER)
-        inside = (at > F.col(f"{name}_from")) & F.coalesce(at <= F.col(f"{name}_to"), F.lit(True))
-        same = [F.col(k) == F.col(f"__{name}_{k}") for k in keys]
-        rows = rows.join(versions, reduce(lambda a, b: a & b, [*same, inside]), "left").drop(
-            *[f"__{name}_{k}" for k in keys], f"{name}_from", f"{name}_to"
-        )
+    by_bare, by_exact = ["keyspace", "shard", "__bare"], ["keyspace", "shard", "table"]
+    bare_versions = _versions(fields, by_bare, "__by_bare")
+    # A change of an exact name's list is one of its bare name's, so no exact name has more.
+    most = bare_versions.groupBy(*[f"____by_bare_{k}" for k in by_bare]).count().agg(F.max("count")).first()[0]
+    if (most or 0) <= few:
+        rows = _inside(rows, bare_versions, by_bare, "__by_bare")
+        rows = _inside(rows, _versions(fields, by_exact, "__by_exact"), by_exact, "__by_exact")
+    else:
+        both = rows.unionByName(fields.withColumn("event_type", F.lit(FIELD)), allowMissingColumns=True)
+        listed = F.when(F.col("event_type") == FIELD, F.struct("fields"))
+        for keys, name in ((by_bare, "__by_bare"), ([*by_bare, "table"], "__by_exact")):
+            both = carry_forward(both, keys, ORDER, {name: listed}, span)
+        rows = both.filter(F.col("event_type") == ROW)
     exact = F.when(F.col("table") == F.col("__bare"), F.col("__by_bare.fields")).otherwise(F.col("__by_exact.fields"))
     bare = F.col("__by_bare.fields")
     return rows.withColumn("layout", F.when(F.size(exact) > 0, exact).when(F.size(bare) > 0, bare)).drop(
@@ -202,6 +217,16 @@ def layout_as_of(events: DataFrame) -> DataFrame:
     )
 
 
+def _inside(rows: DataFrame, versions: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``rows`` with the version (``name``) in whose interval each stands, or null."""
+    at = F.struct(*ORDER)
+    inside = (at > F.col(f"{name}_from")) & F.coalesce(at <= F.col(f"{name}_to"), F.lit(True))
+    same = [F.col(k) == F.col(f"__{name}_{k}") for k in keys]
+    return rows.join(F.broadcast(versions), reduce(lambda a, b: a & b, [*same, inside]), "left").drop(
+        *[f"__{name}_{k}" for k in keys], f"{name}_from", f"{name}_to"
+    )
+
+
 def require_layout(rows: DataFrame) -> DataFrame:
     """C11: a row without a layout before it is an error."""
     return rows.withColumn(
