@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,20 @@ from rowtide.operators.shape import DELETE, TRUNCATE, UPDATE, UPSERT
 
 def write_records(records: DataFrame, path: str, mode: str = "append") -> None:
     """K1: records by operation; a reader of one operation skips the others' files."""
-    records.write.mode(mode).partitionBy("op").parquet(path)
+    with open_writers(records.sparkSession, len(COUNTS)):
+        records.write.mode(mode).partitionBy("op").parquet(path)
+
+
+@contextmanager
+def open_writers(spark: SparkSession, files: int) -> Iterator[None]:
+    """Partitioned writes inside keep that many files open at once, so rows of so few partitions aren't sorted first."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(files))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def emit_truncate(records: DataFrame, seq, **place: str) -> DataFrame:
@@ -122,6 +136,10 @@ def write_table(table: DataFrame, path: str) -> None:
 # file: a run that dies in between leaves no trace, and running it again gives the
 # same rows. Only the buckets that a run's keys fall into are read and rewritten.
 
+#: Rows of the state that a task merges.
+TASK_ROWS = 200_000
+
+
 def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
     """What is at a path, or null if nothing is."""
     try:
@@ -188,7 +206,8 @@ def apply_records(
 ) -> int:
     """K5: fold records into the table at ``root``; returns the new version.
 
-    ``buckets`` is fixed for a table: choose it so that a bucket fits a task.
+    ``buckets`` is fixed for a table: what a run rewrites is whole buckets. One may be larger
+    than a task can hold; it is merged in pieces of about ``TASK_ROWS`` keys.
     Deleted keys keep a tombstone, so an older record that comes late changes
     nothing. ``columns`` are those that the records may carry; columns of earlier runs stay
     as they are, in every bucket, until they are named in ``dropped`` with the place at which
@@ -220,11 +239,13 @@ def apply_records(
                 before.withColumn("bucket", _bucket(pk, buckets)), allowMissingColumns=True
             )
             values += [c[2:] for c in before.columns if c.startswith("v_") and c[2:] not in values]
-        # Each side has one row per key, so a bucket is as even as the hash. Bucket is
-        # a subset of the grouping, so the merge needs no further shuffle.
-        apply.merge_state_rows(
-            both.repartition(len(touched), "bucket"), ["bucket", *pk], values
-        ).write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/data/version={version}")
+        # Each side has one row per key, so a bucket is as even as the hash, and large ones are
+        # merged in pieces. Both are a subset of the grouping, so the merge needs no further shuffle.
+        pieces = -(-both.count() // (len(touched) * TASK_ROWS)) or 1
+        piece = F.pmod(F.xxhash64(F.lit("piece"), *pk), F.lit(pieces)).cast("int")
+        dealt = both.withColumn("piece", piece).repartition(len(touched) * pieces, "bucket", "piece")
+        merged = apply.merge_state_rows(dealt, ["bucket", "piece", *pk], values).drop("piece")
+        merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/data/version={version}")
 
     where.update(dict.fromkeys(touched, version))
     seen = [t for t in (truncated, emptied) if t is not None]

@@ -271,3 +271,25 @@ def test_a_row_in_many_copies_is_written_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(apply, "COPIES", 7)
     signed = _signed(spark, *[(None, ("x", 1))] * 30)
     assert _rows(apply.current_multiset(signed, ["a", "b"], index="i")) == sorted([("x", 1, i + 1) for i in range(30)], key=repr)
+
+
+def test_a_large_bucket_is_merged_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "TASK_ROWS", 100)
+    rows = spark.range(1000).selectExpr("id", "'a' as v")
+    sinks.apply_records(shape.snapshot_records(rows, ["id", "v"]), str(tmp_path), ["id"], ["id", "v"], buckets=1)
+    sinks.apply_records(shape.snapshot_records(rows.selectExpr("id", "'b' as v"), ["id", "v"], seq=1), str(tmp_path), ["id"], ["id", "v"], buckets=1)
+    assert len(list(tmp_path.glob("data/version=2/bucket=0/*.parquet"))) > 5
+    got = sinks.read_table(spark, str(tmp_path), ["id"], ["id", "v"])
+    assert sorted(tuple(r) for r in got.collect()) == [(i, "b") for i in range(1000)]
+
+
+def test_records_are_written_unsorted(spark, tmp_path):
+    """Operations are few, so a task writes all of them side by side and holds no rows back to sort them."""
+    seen, name = [], "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    with sinks.open_writers(spark, 4):
+        seen.append(spark.conf.get(name))
+    assert seen == ["4"] and spark.conf.get(name) == before
+    records = shape.snapshot_records(spark.range(10).selectExpr("id", "'a' as v"), ["id", "v"])
+    sinks.write_records(records, str(tmp_path / "r"))
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 10 and spark.conf.get(name) == before
