@@ -116,7 +116,7 @@ def cursor_timeline(
     begin = start.select(
         *PLACE, F.col("position").alias("__p0"), F.struct("last_pk").alias("__k0")
     )
-    return filled.join(begin, PLACE, "left").select(
+    return filled.join(F.broadcast(begin), PLACE, "left").select(
         *PLACE,
         "resp_id",
         F.coalesce("position", "__p0", F.lit("")).alias("position"),
@@ -135,15 +135,15 @@ def bounded_stop(timeline: DataFrame, stops: DataFrame) -> DataFrame:
     log does not reach that point yet.
 
     No window: the first response at the stop is one aggregate per shard, the end
-    another. Pass a settled timeline, it is read twice.
+    another. Pass a settled timeline, it is read twice; ``stops`` is broadcast, a row per shard.
     """
-    at = timeline.join(stops.select(*PLACE, "stop"), PLACE)
+    at = timeline.join(F.broadcast(stops.select(*PLACE, "stop")), PLACE)
     here = F.col("position") == F.col("stop")
     first = at.filter(here).groupBy(*PLACE).agg(F.min("resp_id").alias("__first"))
     past = (F.col("resp_id") > F.col("__first")) & ~here & F.col("last_pk").isNull()
     ends = F.coalesce(F.col("copy_completed"), F.lit(False)) | F.coalesce(past, F.lit(False))
     return (
-        at.join(first, PLACE, "left")
+        at.join(F.broadcast(first), PLACE, "left")
         .groupBy(*PLACE)
         .agg(F.min(F.when(ends, F.col("resp_id"))).alias("end_resp"))
     )
@@ -157,14 +157,15 @@ def bounded_read(
 
     The rows of the ending response are part of the read, and its position is the
     new cursor. The events are read twice: once for their cursors, once for the
-    rows, which meet the ends (one row per shard; Spark broadcasts them if they are small).
+    rows, which meet the ends. Those are one row per shard and broadcast: a join by shard
+    would deal the log to as many tasks as there are shards.
     """
     timeline = settle(cursor_timeline(events, table, start, span))
     ends = settle(bounded_stop(timeline, stops))
     within = F.col("end_resp").isNull() | (F.col("resp_id") <= F.col("end_resp"))
-    read = events.join(ends, PLACE).filter(within).drop("end_resp")
+    read = events.join(F.broadcast(ends), PLACE).filter(within).drop("end_resp")
     cursors = (
-        timeline.join(ends, PLACE)
+        timeline.join(F.broadcast(ends), PLACE)
         .filter(within)
         .groupBy(*PLACE)
         .agg(F.max_by(F.struct("position", "last_pk", "resp_id"), "resp_id").alias("__c"))

@@ -69,7 +69,7 @@ def _begin_layouts(events: DataFrame, cursors: DataFrame) -> DataFrame:
     bare = cursors.filter(F.col("layouts").isNull()).select(*SHARD, F.col("seq").alias("__from"))
     older = (
         events.filter(F.col("event_type") == log.FIELD)
-        .join(bare, SHARD)
+        .join(F.broadcast(bare), SHARD)
         .filter(F.col("resp_id") <= F.col("__from"))
         .groupBy(*SHARD, "table")
         .agg(F.max_by(F.struct("resp_id", "event_idx", "fields"), F.struct("resp_id", "event_idx")).alias("f"))
@@ -88,11 +88,14 @@ def _noted_layouts(fields: DataFrame) -> DataFrame:
 
 
 def ahead_of(events: DataFrame, keyspace: str, cursors: DataFrame) -> DataFrame:
-    """The events after the cursors; the least of them is a literal that reaches the files."""
+    """The events after the cursors; the least of them is a literal that reaches the files.
+
+    The cursors, one per shard, are broadcast, so the log isn't dealt by shard.
+    """
     starts = cursors.select(*SHARD, F.coalesce("seq", F.lit(-1)).alias("__from"))
     least = starts.agg(F.min("__from")).first()[0]
     mine = events.filter((F.col("keyspace") == keyspace) & (F.col("resp_id") > F.lit(-1 if least is None else least)))
-    return mine.join(starts, SHARD).filter(F.col("resp_id") > F.col("__from")).drop("__from")
+    return mine.join(F.broadcast(starts), SHARD).filter(F.col("resp_id") > F.col("__from")).drop("__from")
 
 
 def table_records(
@@ -187,7 +190,7 @@ def copied_records(
     at = place(generation, -1, 0, 0)
     if marks is not None:
         mark = marks.filter(F.col("keyspace") == keyspace).select("shard", F.col("latest_seq").alias("__mark"))
-        typed = typed.join(mark, "shard", "left")  # one row per shard
+        typed = typed.join(F.broadcast(mark), "shard", "left")  # one row per shard
         at = F.when(F.col("__mark").isNull(), at).otherwise(place(generation, F.col("__mark"), LAST_EVENT, 0))
     copied = shape.snapshot_records(typed, columns).withColumns({"seq": at, "keyspace": F.lit(keyspace), "table": F.lit(table)})
     return copied.withColumn("row", F.col("row").cast(row)).select(records.columns)

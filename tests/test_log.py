@@ -448,3 +448,30 @@ def test_lost_upto_resets_the_cursors_before_it(spark):
     assert [r.purged_upto for r in upto.collect()] == [8]
     got = cursor.expired_log_reset(saved, upto).filter("error_code is not null")
     assert sorted(r["table"] for r in got.collect()) == ["t3", "t7"]
+
+
+def test_layouts_that_change_often(spark):
+    """Rows are put in order with their field lists: no row is compared with every version of its table."""
+    rng, events = random.Random(8), []
+    for r in range(200):
+        name = rng.choice(["t", "a.t", "b.t"])
+        kind = rng.choice(["FIELD", "ROW", "ROW"])
+        events.append(event("-", r, 0, kind, table=name, fields=[f"c{rng.randrange(3)}"] if kind == "FIELD" else None))
+    frame = spark.createDataFrame(events, EVENTS)
+    told = lambda **options: sorted((r.resp_id, r.layout) for r in log.layout_as_of(frame, **options).collect())
+    assert told(few=0, span=7) == told(few=1000)
+    often = spark.createDataFrame(
+        [event("-", r, i, k, table="t", fields=[f"c{r}"] if k == "FIELD" else None) for r in range(100) for i, k in enumerate(["FIELD", "ROW"])], EVENTS
+    )
+    laid = log.layout_as_of(often)
+    assert "__by_bare_from" not in laid._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.resp_id, r.layout) for r in laid.collect()) == [(r, [f"c{r}"]) for r in range(100)]
+
+
+def test_a_read_is_not_dealt_by_shard(spark):
+    events = spark.createDataFrame([rows("-", 1, 0, (None, (1,))), vgtid("-", 1, 1, "p1"), vgtid("-", 2, 0, "p2")], EVENTS)
+    stops = spark.createDataFrame([("shop", "-", "p1")], "keyspace string, shard string, stop string")
+    read, cursors = cursor.bounded_read(events, "t", stops)
+    for frame in (read, cursors):
+        assert "SortMergeJoin" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert [r.position for r in cursors.collect()] == ["p2"]
