@@ -31,7 +31,10 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (5-word shingles, similarity 0.8): the one with the smallest doc_id."""
+    """One document of each group of near copies (5-word shingles, similarity 0.8): the one with the smallest doc_id.
+
+    Candidates are those of SimHash and, beyond its 3 bits, of min-hashes; all are verified.
+    """
     return simhash.one_of_each(docs, near=near_copies.near_duplicates)
 
 

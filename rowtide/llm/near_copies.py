@@ -4,7 +4,10 @@ Texts are near copies if the Jaccard similarity of their sets of 5-word shingles
 least 0.8, and documents take the smallest doc_id they can reach by such links. Texts with
 equal sets are one node, so copies cost nothing.
 
-Candidates come from min-hashes: ``BANDS`` bands of ``ROWS`` of them. Two texts meet in a
+Candidates come from SimHash first: a fingerprint of the same shingles, by majority of
+their bits, and those within 3 bits, as ``simhash.links`` finds them. That reaches the
+closest copies only (at a similarity of 0.8 some ten bits differ), so it is joined by
+min-hashes: ``BANDS`` bands of ``ROWS`` of them. Two texts meet in a
 band if they agree in all its rows, so a pair of similarity s is missed with a chance of
 (1 - s^ROWS)^BANDS: 3 in a million at 0.8, 3 in a hundred million million at 0.9. Each
 candidate pair is verified on the whole sets.
@@ -34,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
+from rowtide.llm import simhash
 from rowtide.llm.common import let, lower_ascii, settle, text_of, words
 from rowtide.llm.components import components
 
@@ -81,9 +85,11 @@ def signature(hashes: np.ndarray) -> tuple[int, int, np.ndarray]:
     return key, len(u), place.view(np.int64)
 
 
-@F.pandas_udf(StructType().add("fp", LongType()).add("n", IntegerType()).add("places", ArrayType(LongType())))
+@F.pandas_udf(StructType().add("fp", LongType()).add("n", IntegerType()).add("places", ArrayType(LongType())).add("bits", LongType()))
 def signatures(hashes: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([signature(h) for h in hashes], columns=["fp", "n", "places"])
+    """``signature`` of each list, and its SimHash fingerprint: the bits that over half of its distinct hashes have."""
+    told = pd.DataFrame([signature(h) for h in hashes], columns=["fp", "n", "places"])
+    return told.assign(bits=[simhash.majority(np.unique(h)) for h in hashes])
 
 
 def _comparable(n: Column, other: Column) -> Column:
@@ -128,12 +134,29 @@ def prefixes(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     return first.select("node", "size", F.posexplode("r").alias("at", "g"))
 
 
+def simhash_candidates(nodes: DataFrame) -> DataFrame:
+    """(a, b): sets whose SimHash fingerprints are within 3 bits, and whose sizes let them be similar.
+
+    Of the sets under one fingerprint each meets the least, which also stands for them all among
+    other fingerprints; sets that this leaves apart still meet by their min-hashes.
+    """
+    least = nodes.groupBy("bits").agg(F.min(F.struct("fp", "n")).alias("first"))
+    near = simhash.links(least.select(F.col("bits").alias("fp")))
+    one, other = (least.select(F.col("bits").alias(side), F.col("first").alias(f"first_{side}")) for side in ("a", "b"))
+    across = near.join(one, "a").join(other, "b").select(F.col("first_a").alias("x"), F.col("first_b").alias("y"))
+    under = nodes.join(least, "bits").select(F.col("first").alias("x"), F.struct("fp", "n").alias("y"))
+    both = across.unionByName(under).filter((F.col("x.fp") != F.col("y.fp")) & _comparable(F.col("x.n"), F.col("y.n")))
+    return both.select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b")).distinct()
+
+
 def links(nodes: DataFrame, texts: DataFrame, dense: int = DENSE) -> DataFrame:
-    """(a, b): links enough to connect all near copies. ``nodes``: fp, n, places, own; ``texts``: own, t."""
+    """(a, b): links enough to connect all near copies. ``nodes``: fp, n, places, bits, own; ``texts``: own, t."""
+    close = settle(simhash_candidates(nodes))
     stored = nodes.select(F.col("fp").alias("node"), "n", F.explode("places").alias("place"))
     met = stored.groupBy("place").agg(F.count("*").alias("members"), F.min(F.struct("node", "n")).alias("first")).filter("members > 1")
     shared = settle(stored.join(met, "place").withColumn("many", F.col("members") > dense).select("place", "node", "n", "many", "first"))
-    members = settle(shared.select("node").distinct())
+    ends = close.select(F.explode(F.array("a", "b")).alias("node"))
+    members = settle(shared.select("node").unionByName(ends).distinct())
     # One text of each set that meets another.
     wanted = nodes.select(F.col("fp").alias("node"), "own").join(members, "node")
     one = texts.join(wanted, "own").groupBy("node").agg(F.min("t").alias("t"))
@@ -143,7 +166,7 @@ def links(nodes: DataFrame, texts: DataFrame, dense: int = DENSE) -> DataFrame:
     pairs = few.join(other, "place").filter((F.col("node") < F.col("b")) & _comparable(F.col("n"), F.col("nb")))
     stars = many.filter((F.col("node") != F.col("first.node")) & _comparable(F.col("n"), F.col("first.n")))
     first = pairs.select(F.col("node").alias("a"), "b").unionByName(stars.select(F.col("first.node").alias("a"), F.col("node").alias("b")))
-    found = settle(verified(first.distinct(), sets))
+    found = settle(verified(first.unionByName(close).distinct(), sets))
     if many.isEmpty():
         return found
     # Places of many: who isn't connected with most of the others meets all that it isn't connected with.
@@ -171,11 +194,11 @@ def near_duplicates(
     """doc_id, fp (a hash of the set of shingles), component_id, and the columns of ``keep``."""
     slim = docs.select(*dict.fromkeys([doc_id, *keep]), F.xxhash64(text).alias("__own"), signatures(shingle_hashes(text_of(text))).alias("__s"))
     kept = [F.col(f"`{c}`") for c in dict.fromkeys([doc_id, *keep])]
-    marked = settle(slim.select(*kept, "__own", F.col("__s.fp").alias("fp"), F.col("__s.n").alias("__n"), F.col("__s.places").alias("__places")))
+    marked = settle(slim.select(*kept, "__own", F.col("__s.fp").alias("fp"), F.col("__s.n").alias("__n"), F.col("__s.places").alias("__places"), F.col("__s.bits").alias("__bits")))
     nodes = settle(
-        marked.groupBy("fp").agg(F.min(doc_id).alias("least"), F.min("__own").alias("own"), F.any_value("__n").alias("n"), F.any_value("__places").alias("places"))
+        marked.groupBy("fp").agg(F.min(doc_id).alias("least"), F.min("__own").alias("own"), F.any_value("__n").alias("n"), F.any_value("__places").alias("places"), F.any_value("__bits").alias("bits"))
     )
     texts = docs.select(F.xxhash64(text).alias("own"), F.col(text).alias("t"))
     grouped = components(links(nodes, texts, dense), nodes.select(F.col("fp").alias("node"), F.col("least").alias("label")))
     reach = grouped.select(F.col("node").alias("__fp"), F.col("label").alias("component_id"))
-    return marked.drop("__own", "__n", "__places").join(reach, marked["fp"] == reach["__fp"]).drop("__fp")
+    return marked.drop("__own", "__n", "__places", "__bits").join(reach, marked["fp"] == reach["__fp"]).drop("__fp")

@@ -56,18 +56,20 @@ def shingle_hashes(text: Column) -> Column:
     return let(words(lower_ascii(text)), hashed)
 
 
+def majority(hashes: np.ndarray) -> int:
+    """A long whose bits are those set in over half of the hashes."""
+    n = len(hashes)
+    if not n:
+        return 0
+    raw, total = np.ascontiguousarray(hashes, np.int64).view(np.uint8).reshape(n, 8), np.zeros(64, np.int64)
+    for at in range(0, n, 1 << 16):  # a piece at a time: memory stays small for any length
+        total += np.unpackbits(raw[at : at + (1 << 16)], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * total > n, bitorder="little").view(np.int64)[0])
+
+
 @F.pandas_udf(LongType())
 def majority_bits(hashes: pd.Series) -> pd.Series:
-    """A long whose bits are those set in over half of the hashes."""
-    out = np.zeros(len(hashes), np.int64)
-    for i, h in enumerate(hashes):
-        n = len(h)
-        if n:
-            raw, total = np.ascontiguousarray(h, np.int64).view(np.uint8).reshape(n, 8), np.zeros(64, np.int64)
-            for at in range(0, n, 1 << 16):  # a piece at a time: memory stays small for any length
-                total += np.unpackbits(raw[at : at + (1 << 16)], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-            out[i] = np.packbits(2 * total > n, bitorder="little").view(np.int64)[0]
-    return pd.Series(out)
+    return pd.Series([majority(h) for h in hashes], dtype=np.int64)
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:

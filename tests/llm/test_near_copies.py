@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rowtide.llm import near_copies
@@ -104,3 +105,21 @@ def test_defined_cases(spark):
     got = sorted(((r.doc_id, r.component_id) for r in out.collect()), key=str)
     assert got == sorted([(5, 3), (3, 3), (9, 3), (7, 7), (7, 7), (None, 7), (None, None), (1, 1), (2, 1)], key=str)
     assert near_copies.near_duplicates(spark.createDataFrame([], kind)).count() == 0
+
+
+def test_simhash_gives_candidates_and_they_are_verified(spark):
+    rng = random.Random(21)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(2000)]
+    close = base[:1000] + ["other"] + base[1001:]
+    far = [f"v{rng.randrange(10**6)}" for _ in range(2000)]
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate([base, close, far])], "doc_id long, text string")
+    s = d.select("doc_id", near_copies.signatures(near_copies.shingle_hashes(F.col("text"))).alias("s"))
+    nodes = s.select("doc_id", "s.*")
+    fp = {r.doc_id: r.fp for r in nodes.collect()}
+    assert {(r.a, r.b) for r in near_copies.simhash_candidates(nodes).collect()} == {tuple(sorted([fp[0], fp[1]]))}
+    # Without a place in which they meet, SimHash alone joins the first two; a third of the same fingerprint is no copy.
+    nodes = nodes.join(d, "doc_id").select(
+        "fp", "n", F.array().cast("array<long>").alias("places"), F.xxhash64("text").alias("own"), F.lit(5).cast("long").alias("bits")
+    )
+    found = near_copies.links(nodes, d.select(F.xxhash64("text").alias("own"), F.col("text").alias("t")))
+    assert {(r.a, r.b) for r in found.collect()} <= {tuple(sorted([fp[0], fp[1]]))}
