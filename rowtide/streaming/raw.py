@@ -27,10 +27,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rowtide.operators import shape
+from rowtide.operators import shape, sinks
 from rowtide.operators.cursor import PLACE, valid_last_pk
 from rowtide.sources import log
 
+#: Tables that a task writes side by side; of more, it sorts the rest of its rows.
+OPEN_TABLES = 16
 _AT = "struct<resp_id: bigint, event_idx: int>"
 _KEY = "struct<fields: array<string>, values: array<string>>"
 #: The state's tables: one row per version of a layout, per shard, and per shard and table.
@@ -149,7 +151,8 @@ def tail_raw_log(spark: SparkSession, log_dir: str, schema: StructType, out_dir:
 
         move("layouts", next_layouts)
         rows = dealt_rows(events, _state(session, out_dir, "layouts", batch))
-        rows.write.mode("overwrite").partitionBy("keyspace", "table").parquet(f"{out_dir}/rows/batch={batch}")
+        with sinks.open_writers(session, OPEN_TABLES):
+            rows.write.mode("overwrite").partitionBy("keyspace", "table").parquet(f"{out_dir}/rows/batch={batch}")
         move("keys", next_keys)
         move("shards", next_shards)  # the last: it says that the batch is done
         ran.append(batch)
