@@ -153,8 +153,8 @@ def links(nodes: DataFrame, texts: DataFrame, dense: int = DENSE) -> DataFrame:
     """(a, b): links enough to connect all near copies. ``nodes``: fp, n, places, bits, own; ``texts``: own, t."""
     close = settle(simhash_candidates(nodes))
     stored = nodes.select(F.col("fp").alias("node"), "n", F.explode("places").alias("place"))
-    met = stored.groupBy("place").agg(F.count("*").alias("members"), F.min(F.struct("node", "n")).alias("first")).filter("members > 1")
-    shared = settle(stored.join(met, "place").withColumn("many", F.col("members") > dense).select("place", "node", "n", "many", "first"))
+    met = stored.groupBy("place").agg(F.count("*").alias("members")).filter("members > 1")
+    shared = settle(stored.join(met, "place").withColumn("many", F.col("members") > dense).select("place", "node", "n", "many"))
     ends = close.select(F.explode(F.array("a", "b")).alias("node"))
     members = settle(shared.select("node").unionByName(ends).distinct())
     # One text of each set that meets another.
@@ -164,7 +164,8 @@ def links(nodes: DataFrame, texts: DataFrame, dense: int = DENSE) -> DataFrame:
     few, many = shared.filter(~F.col("many")).select("place", "node", "n"), shared.filter("many")
     other = few.select("place", F.col("node").alias("b"), F.col("n").alias("nb"))
     pairs = few.join(other, "place").filter((F.col("node") < F.col("b")) & _comparable(F.col("n"), F.col("nb")))
-    stars = many.filter((F.col("node") != F.col("first.node")) & _comparable(F.col("n"), F.col("first.n")))
+    least = many.groupBy("place").agg(F.min(F.struct("node", "n")).alias("first"))
+    stars = many.join(least, "place").filter((F.col("node") != F.col("first.node")) & _comparable(F.col("n"), F.col("first.n")))
     first = pairs.select(F.col("node").alias("a"), "b").unionByName(stars.select(F.col("first.node").alias("a"), F.col("node").alias("b")))
     found = settle(verified(first.unionByName(close).distinct(), sets))
     if many.isEmpty():
@@ -185,7 +186,9 @@ def links(nodes: DataFrame, texts: DataFrame, dense: int = DENSE) -> DataFrame:
     enough = shared * (up + down) >= (F.col("size") + F.col("size_b")).cast("long") * up
     rest = apart.join(other, "g").filter((F.col("label") != F.col("of")) & _comparable(F.col("size"), F.col("size_b")) & enough)
     rest = rest.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-    return found.unionByName(verified(rest, sets))
+    # What is connected already is so by one link a text.
+    joined = label.filter(F.col("node") != F.col("label")).select(F.col("label").alias("a"), F.col("node").alias("b"))
+    return joined.unionByName(verified(rest, sets))
 
 
 def near_duplicates(

@@ -86,6 +86,11 @@ def _halves(fp: Column) -> Column:
     )
 
 
+def _rest(seg: Column, fp: Column) -> Column:
+    """The other half than the one that ``seg`` numbers."""
+    return F.when(seg == 0, F.shiftrightunsigned(fp, 32)).otherwise(fp.bitwiseAND(F.lit(0xFFFFFFFF)))
+
+
 def _apart(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
@@ -110,8 +115,10 @@ def links(nodes: DataFrame, dense: int = DENSE) -> DataFrame:
         "seg",
         F.explode(F.transform(F.filter(bits, lambda b: F.col("key").bitwiseAND(b) == 0), lambda b: F.col("key") + b)).alias("key"),
         "fp",
-        "rest",
     )
+    # Most lookups find nobody: those that do are told once, for buckets of few and of many.
+    taken = stored.groupBy("seg", "key").agg(F.max("hot").alias("hot"))
+    probes = settle(probes.join(taken, ["seg", "key"])).withColumn("rest", _rest(F.col("seg"), F.col("fp")))
     other = stored.select("seg", "key", F.col("fp").alias("other"), F.col("rest").alias("other_rest"), "hot")
     # Buckets of few: pairs, verified within the join.
     few = other.filter(~F.col("hot"))
@@ -121,13 +128,12 @@ def links(nodes: DataFrame, dense: int = DENSE) -> DataFrame:
         .join(few, ["seg", "key"])
         .filter((F.col("fp") < F.col("other")) & (_apart(F.col("rest"), F.col("other_rest")) <= MAX_BITS))
     )
-    flipped = probes.join(few, ["seg", "key"]).filter(_apart(F.col("rest"), F.col("other_rest")) <= MAX_BITS - 1)
+    flipped = probes.filter(~F.col("hot")).drop("hot").join(few, ["seg", "key"]).filter(_apart(F.col("rest"), F.col("other_rest")) <= MAX_BITS - 1)
     pairs = same.select("fp", "other").unionByName(flipped.select("fp", "other"))
     # Buckets of many: whoever meets at a midpoint is connected to the least there.
     many = stored.filter("hot").select("seg", "key", "fp", "rest")
     inside = many.select("seg", "key", "fp", F.explode(_ball(F.col("rest"), 2)).alias("x")).select("seg", "key", "fp", "x.mid", "x.d")
-    hot_keys = many.select("seg", "key").distinct()
-    looking = probes.join(hot_keys, ["seg", "key"], "left_semi").select(
+    looking = probes.filter("hot").select(
         "seg", "key", "fp", F.explode(_ball(F.col("rest"), 1)).alias("x")
     ).select("seg", "key", "fp", "x.mid", F.lit(1).alias("d"), F.lit(True).alias("probe"))
     inside = inside.withColumn("probe", F.lit(False))
